@@ -22,7 +22,7 @@ from navloom.operators import benchmark as bench
 from navloom.operators import documents, marts, quality, reports, returns
 from navloom.operators.staging import coerce_reports, stage_reports
 from navloom.plans.ingest import ingest_files
-from navloom.plans.warehouse import Ranking, build_marts, publish, table_inventory
+from navloom.plans.warehouse import Ranking, build_marts, publish, store, table_inventory
 from navloom.sources import archives, delimited, lake
 from navloom.sources.lineitem_reports import lineitem_reports, orders_benchmark
 from navloom.sources.shared import new_folder
@@ -128,20 +128,24 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def monthly_fact(spark: SparkSession, folder: str) -> DataFrame:
-    reports_ = staged(spark, folder)
+    """Fact from a stored rollup, which keeps both sides of its join to one scan."""
+    rollup = store(
+        returns.month_rollup(staged(spark, folder)), new_folder(spark, "rollup")
+    )
     return rounded(
-        marts.monthly_fact(returns.monthly_returns(reports_), marts.class_dimension(reports_))
+        marts.monthly_fact(returns.returns_of_rollup(rollup), marts.dimension_of_rollup(rollup))
     )
 
 
 @query
 def top_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    reports_ = staged(spark, folder)
-    monthly = marts.monthly_fact(
-        returns.monthly_returns(reports_), marts.class_dimension(reports_)
-    )
+    """Reports to ranking in one lazy plan; the ranking needs no dimension."""
     ranked = marts.top_by_month(
-        monthly, RANKING.top_n, RANKING.min_days, RANKING.min_net_assets, RANKING.min_holders
+        returns.monthly_returns(staged(spark, folder)),
+        RANKING.top_n,
+        RANKING.min_days,
+        RANKING.min_net_assets,
+        RANKING.min_holders,
     )
     return rounded(marts.in_mart_order(ranked))
 
@@ -320,9 +324,10 @@ def delimited_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def archive_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Reports packed into monthly archives, ingested, and read from the lake."""
-    files = packed_archives(labelled(spark, folder))
+    packed = new_folder(spark, "archives")
+    packed_archives(labelled(spark, folder)).write.parquet(packed)
     root = new_folder(spark, "lake")
-    ingest_files(files, root)
+    ingest_files(spark.read.parquet(packed), root)
     return rounded(lake.read_lake(spark, root))
 
 
@@ -439,9 +444,12 @@ def negative_assets(spark: SparkSession, folder: str) -> DataFrame:
 def packed_archives(reports_: DataFrame) -> DataFrame:
     """Monthly archives of report text, as ``path, year_month, content`` rows.
 
-    Every batch of rows becomes one archive per month in it.
+    Every batch of rows becomes one archive per month in it; sorting the rows of a
+    task by month keeps that to few.
     """
-    text = reports_.select("year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS])
+    text = reports_.select(
+        "year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS]
+    ).sortWithinPartitions("year_month")
     files = text.mapInPandas(_pack, "path string, content binary")
     return archives.with_period(files)
 
