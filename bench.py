@@ -1,10 +1,10 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Besides the queries
-there are three runs at the size of a year of reports (6.3 million rows, made by copying
-the reports of the given tables under new class ids): ``year_ingest`` brings their ZIP
-archives into the lake, ``year_build`` goes from the lake to all stored marts,
-``year_reports`` reads every market report from them.
+there are three runs at the size of a year of reports (6.3 million rows in about 13
+months, made from the reports of the given tables): ``year_ingest`` brings their monthly
+ZIP archives into the lake, ``year_build`` goes from the lake to all stored marts, and
+``year_reports`` computes the market reports of all months from them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import json
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navloom.operators import reports
@@ -59,21 +59,33 @@ def timed(work) -> float:
     return round(time.perf_counter() - start, 3)
 
 
-def copied_reports(spark: SparkSession, folder: str) -> DataFrame:
-    once = checks.labelled(spark, folder)
+def year_of_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports in the shape of real ones: dense business days, about 13 months.
+
+    Each series keeps its values but gets consecutive business days instead of its
+    own sparse ones, and is copied under new class ids up to the wanted size.
+    """
+    once = checks.raw(spark, folder)
     copies = max(1, round(YEAR_ROWS / once.count()))
-    return (
-        once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-        .withColumn("CNPJ_FUNDO_CLASSE", F.concat_ws("/", "CNPJ_FUNDO_CLASSE", "copy"))
-        .drop("copy")
+    in_series = Window.partitionBy("CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE").orderBy("DT_COMPTC")
+    nth = F.row_number().over(in_series) - 1
+    # 2025-05-05 is a Monday; five days a week.
+    day = F.date_add(F.lit("2025-05-05").cast("date"), (nth + 2 * F.floor(nth / 5)).cast("int"))
+    copy = F.explode(F.sequence(F.lit(1), F.lit(copies)))
+    dense = once.withColumn("day", day).withColumn("copy", copy)
+    return dense.select(
+        "TP_FUNDO_CLASSE",
+        F.concat_ws("/", "CNPJ_FUNDO_CLASSE", "copy").alias("CNPJ_FUNDO_CLASSE"),
+        "ID_SUBCLASSE",
+        F.col("day").alias("DT_COMPTC"),
+        *checks.RAW_COLUMNS[4:],
+        F.date_format("day", "yyyy-MM").alias("year_month"),
     )
 
 
 def year_runs(spark: SparkSession, folder: str) -> dict[str, float]:
     packed, root, marts = (new_folder(spark, n) for n in ("archives", "lake", "year-marts"))
-    checks.packed_archives(copied_reports(spark, folder).repartition("year_month")).write.parquet(
-        packed
-    )
+    checks.monthly_archives(year_of_reports(spark, folder)).write.parquet(packed)
     seconds = {"year_ingest": timed(lambda: ingest_files(spark.read.parquet(packed), root))}
     seconds["year_build"] = timed(
         lambda: build_marts(stage_reports(lake.read_lake(spark, root)), marts, checks.RANKING)

@@ -41,10 +41,12 @@ def _coerced(name: str, kind: str) -> Column:
     if kind == "string":
         return text
     if kind == "date":
-        return F.try_to_date(text, "yyyy-MM-dd")
-    # Java number texts may end in d or f ("1.5d"); report files know no such thing.
-    number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
-    number = F.when(~F.isnan(number), number)
+        return F.try_to_date(text, "yyyy-M-d")
+    number = text.try_cast("double")
+    # Spark also reads the Java forms "1.5d" and "1.5f"; report files know no such thing.
+    last = F.lower(F.right(F.rtrim(text), F.lit(1)))
+    java_form = last.isin("d", "f") & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    number = F.when(~java_form & ~F.isnan(number), number)
     return F.rint(number).try_cast("bigint") if kind == "bigint" else number
 
 

@@ -1,7 +1,7 @@
 """Monthly ZIP archives of delimited report files, read in one job over all of them.
 
 The only Python inside a job of this package is here: Spark has no ZIP reader.
-A task opens one archive at a time and streams its member in chunks.
+A task opens one archive at a time and streams its report file in Arrow batches.
 """
 
 from __future__ import annotations
@@ -9,8 +9,10 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
+from csv import reader
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,18 @@ from navloom.fixed_values import MISSING_CELLS, RAW_COLUMNS, REPORT_CHARSET, REP
 from navloom.functions.calendar import label_from_period
 from navloom.sources.delimited import require_columns
 
-CHUNK_ROWS = 100_000
+BLOCK_BYTES = 4 << 20
 ROWS_SCHEMA = ", ".join(["year_month string", *[f"{name} string" for name in RAW_COLUMNS]])
 STATUS_SCHEMA = "path string, year_month string, ok boolean, rows bigint, error string"
+STATUS_ARROW = pa.schema(
+    [
+        ("path", pa.string()),
+        ("year_month", pa.string()),
+        ("ok", pa.bool_()),
+        ("rows", pa.int64()),
+        ("error", pa.string()),
+    ]
+)
 
 
 def archive_files(spark: SparkSession, source: str) -> DataFrame:
@@ -46,12 +57,12 @@ def with_period(files: DataFrame) -> DataFrame:
 
 def archive_status(files: DataFrame) -> DataFrame:
     """One row per archive: readable or why not, and its number of report rows."""
-    return files.select("path", "year_month", "content").mapInPandas(_inspect, STATUS_SCHEMA)
+    return files.select("path", "year_month", "content").mapInArrow(_inspect, STATUS_SCHEMA)
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
     """Report rows of all archives as text; an unreadable archive fails the job."""
-    return files.select("path", "year_month", "content").mapInPandas(_extract, ROWS_SCHEMA)
+    return files.select("path", "year_month", "content").mapInArrow(_extract, ROWS_SCHEMA)
 
 
 def read_archives(spark: SparkSession, source: str) -> tuple[DataFrame, DataFrame]:
@@ -68,50 +79,89 @@ def readable(files: DataFrame, status: DataFrame) -> DataFrame:
     return files.join(status.filter("ok").select("path"), "path", "left_semi")
 
 
-def _chunks(content: bytes) -> Iterator[pd.DataFrame]:
+def _batches(content: bytes) -> Iterator[pa.RecordBatch]:
+    """Text of the required columns of the first report file in an archive.
+
+    Rows that end early are filled with nulls; rows that are too long are an error.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         members = [name for name in archive.namelist() if name.endswith(".csv")]
         if not members:
             raise ValueError("no CSV file in the archive")
         with archive.open(members[0]) as member:
-            chunks = pd.read_csv(
+            header = require_columns(_cells(member.readline().decode(REPORT_CHARSET)))
+        short: list[str] = []
+
+        def on_invalid(row: csv.InvalidRow) -> str:
+            if row.actual_columns > row.expected_columns:
+                return "error"
+            short.append(row.text)
+            return "skip"
+
+        with archive.open(members[0]) as member:
+            batches = csv.open_csv(
                 member,
-                sep=REPORT_SEPARATOR,
-                encoding=REPORT_CHARSET,
-                dtype=str,
-                keep_default_na=False,
-                na_values=MISSING_CELLS,
-                chunksize=CHUNK_ROWS,
+                csv.ReadOptions(
+                    use_threads=False, block_size=BLOCK_BYTES, encoding=REPORT_CHARSET
+                ),
+                csv.ParseOptions(
+                    delimiter=REPORT_SEPARATOR,
+                    newlines_in_values=True,
+                    invalid_row_handler=on_invalid,
+                ),
+                csv.ConvertOptions(
+                    include_columns=RAW_COLUMNS,
+                    column_types={name: pa.string() for name in RAW_COLUMNS},
+                    strings_can_be_null=True,
+                    null_values=MISSING_CELLS,
+                ),
             )
-            for chunk in chunks:
-                require_columns(list(chunk.columns))
-                yield chunk[RAW_COLUMNS]
+            for batch in batches:
+                yield batch
+                if short:
+                    yield _filled(short, header)
+                    short.clear()
+            if short:
+                yield _filled(short, header)
 
 
-def _inspect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, month, content in zip(batch.path, batch.year_month, batch.content):
-            rows, error = 0, None
-            try:
-                if month is None:
-                    raise ValueError("no period YYYYMM in the file name")
-                for chunk in _chunks(content):
-                    rows += len(chunk)
-            except Exception as problem:  # any broken archive is a result here
-                rows, error = 0, f"{type(problem).__name__}: {problem}"
-            yield pd.DataFrame(
-                {
-                    "path": [path],
-                    "year_month": [month],
-                    "ok": [error is None],
-                    "rows": [rows],
-                    "error": [error],
-                }
-            )
+def _cells(line: str) -> list[str]:
+    return next(reader([line], delimiter=REPORT_SEPARATOR), [])
+
 
+def _filled(lines: list[str], header: list[str]) -> pa.RecordBatch:
+    missing = set(MISSING_CELLS)
+    rows = [dict(zip(header, _cells(line))) for line in lines]
+    columns = [
+        pa.array([None if (cell := row.get(name)) in missing else cell for row in rows], pa.string())
+        for name in RAW_COLUMNS
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=RAW_COLUMNS)
 
-def _extract(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str | None, bytes]]:
     for batch in batches:
-        for month, content in zip(batch.year_month, batch.content):
-            for chunk in _chunks(content):
-                yield chunk.assign(year_month=month)
+        for path, month, content in zip(*(batch.column(i) for i in range(3))):
+            yield path.as_py(), month.as_py(), content.as_py()
+
+
+def _inspect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for path, month, content in _archives(batches):
+        rows, error = 0, None
+        try:
+            if month is None:
+                raise ValueError("no period YYYYMM in the file name")
+            rows = sum(batch.num_rows for batch in _batches(content))
+        except Exception as problem:  # any broken archive is a result here
+            error = f"{type(problem).__name__}: {problem}"
+        status = {"path": path, "year_month": month, "ok": error is None, "rows": rows}
+        yield pa.RecordBatch.from_pylist([{**status, "error": error}], STATUS_ARROW)
+
+
+def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, month, content in _archives(batches):
+        for batch in _batches(content):
+            label = pa.repeat(pa.scalar(month, pa.string()), batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [label, *batch.columns], names=["year_month", *RAW_COLUMNS]
+            )

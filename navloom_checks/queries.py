@@ -454,6 +454,15 @@ def packed_archives(reports_: DataFrame) -> DataFrame:
     return archives.with_period(files)
 
 
+def monthly_archives(reports_: DataFrame) -> DataFrame:
+    """One archive per month; for benchmarks, where a month is known to fit a task."""
+    text = reports_.select("year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS])
+    files = text.groupBy("year_month").applyInPandas(
+        lambda rows: pd.concat(_pack([rows])), "path string, content binary"
+    )
+    return archives.with_period(files)
+
+
 def _pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for month, rows in batch.groupby("year_month"):
