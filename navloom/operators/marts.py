@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from navloom.fixed_values import MIN_DAYS, MIN_HOLDERS, MIN_NET_ASSETS, TOP_N
 from navloom.functions.measures import latest, surrogate_key, to_pct
-from navloom.operators.returns import SERIES, month_rollup
+from navloom.operators.returns import SERIES, day_of_order, month_rollup
 
 
 def class_dimension(staged: DataFrame) -> DataFrame:
@@ -18,8 +18,8 @@ def class_dimension(staged: DataFrame) -> DataFrame:
 def dimension_of_rollup(rollup: DataFrame) -> DataFrame:
     per_series = rollup.groupBy(*SERIES).agg(
         latest(F.col("class_type"), F.col("class_type_order")).alias("class_type"),
-        F.min("first_day").alias("first_day"),
-        F.max("last_day").alias("last_day"),
+        day_of_order(F.min("first_order")).alias("first_day"),
+        day_of_order(F.max("last_order")).alias("last_day"),
         F.max_by("net_assets", "net_assets_order").alias("net_assets"),
         F.max_by("holders", "holders_order").alias("holders"),
     )

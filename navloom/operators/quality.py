@@ -114,24 +114,26 @@ def top_rules(limits: Limits) -> list[RowRule]:
     ]
 
 
-def count_rules(table: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """Result rows of row rules: one pass over the table for all of them."""
+def count_rules(
+    table: DataFrame, rules: list[RowRule], name: str = "", more_than: int | None = None
+) -> DataFrame:
+    """Result rows of row rules: one pass over the table for all of them.
+
+    ``more_than`` adds the rule that the table (called ``name``) has more rows than that.
+    """
     counts = table.agg(
         F.count("*").alias("total"),
         *[F.count_if(rule.bad).alias(f"bad_{i}") for i, rule in enumerate(rules)],
     )
-    results = F.array(
-        *[
-            F.struct(
-                F.lit(rule.name).alias("check"),
-                F.col(f"bad_{i}").alias("failures"),
-                F.col("total"),
-                rule.passed(F.col(f"bad_{i}"), F.col("total")).alias("passed"),
-            )
-            for i, rule in enumerate(rules)
-        ]
-    )
-    return _with_ratio(counts.select(F.inline(results)))
+    total = F.col("total")
+    results = [
+        _result(rule.name, F.col(f"bad_{i}"), total, rule.passed(F.col(f"bad_{i}"), total))
+        for i, rule in enumerate(rules)
+    ]
+    if more_than is not None:
+        enough = total > more_than
+        results.append(_result(f"{name} has enough rows", _one_unless(enough), total, enough))
+    return _with_ratio(counts.select(F.inline(F.array(*results))))
 
 
 def failing_rows(table: DataFrame, rule: RowRule) -> DataFrame:
@@ -164,70 +166,66 @@ def most_ranked_in_a_month(top: DataFrame) -> DataFrame:
     return per_month.agg(F.max("rows").alias("most_rows"))
 
 
-def _failure_count(name: str, failures: DataFrame, checked: DataFrame) -> DataFrame:
-    """Result row of a rule whose failures are rows of their own."""
-    counts = failures.select(F.lit(1).alias("failed"), F.lit(0).alias("checked")).unionAll(
-        checked.select(F.lit(0).alias("failed"), F.lit(1).alias("checked"))
-    )
-    summed = counts.agg(
-        F.coalesce(F.sum("failed"), F.lit(0)).alias("failures"),
-        F.coalesce(F.sum("checked"), F.lit(0)).alias("total"),
-    )
-    return _with_ratio(
-        summed.select(
-            F.lit(name).alias("check"),
-            F.col("failures").cast("bigint"),
-            F.col("total").cast("bigint"),
-            (F.col("failures") == 0).alias("passed"),
-        )
+def unique_check(name: str, table: DataFrame, columns: list[str]) -> DataFrame:
+    """Result row of the rule that ``columns`` identify a row; failures are keys."""
+    per_key = table.groupBy(*columns).agg(F.count("*").alias("rows"))
+    return _counted(name, per_key, F.sum("rows"), F.col("rows") > 1)
+
+
+def parent_check(
+    name: str, child: DataFrame, parent: DataFrame, columns: list[str]
+) -> DataFrame:
+    """Result row of the rule that every child row has a parent; failures are rows."""
+    known = parent.select(*columns).distinct().withColumn("known", F.lit(True))
+    joined = child.select(*columns).join(known, columns, "left")
+    return _counted(name, joined, F.count("*"), F.col("known").isNull())
+
+
+def _counted(name: str, rows: DataFrame, total: Column, bad: Column) -> DataFrame:
+    counts = rows.agg(
+        F.coalesce(total, F.lit(0)).alias("total"), F.count_if(bad).alias("failures")
     )
+    failures = F.col("failures")
+    return _one_result(counts, _result(name, failures, F.col("total"), failures == 0))
+
 
+def bound_check(name: str, measured: DataFrame, passed: Column) -> DataFrame:
+    """Result row of a rule on the one number in column ``total`` of one row."""
+    passed = F.coalesce(passed, F.lit(False))
+    return _one_result(measured, _result(name, _one_unless(passed), F.col("total"), passed))
 
-def _bound_check(name: str, measured: DataFrame, passed: Column) -> DataFrame:
-    """Result row of a rule on one measured number in column ``total``."""
-    return _with_ratio(
-        measured.select(
-            F.lit(name).alias("check"),
-            F.when(passed, 0).otherwise(1).cast("bigint").alias("failures"),
-            F.coalesce("total", F.lit(0)).cast("bigint").alias("total"),
-            F.coalesce(passed, F.lit(False)).alias("passed"),
-        )
+
+def _result(name: str, failures: Column, total: Column, passed: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("check"),
+        failures.cast("bigint").alias("failures"),
+        F.coalesce(total, F.lit(0)).cast("bigint").alias("total"),
+        passed.alias("passed"),
     )
 
 
+def _one_unless(passed: Column) -> Column:
+    return F.when(passed, 0).otherwise(1)
+
+
+def _one_result(counts: DataFrame, result: Column) -> DataFrame:
+    return _with_ratio(counts.select(F.inline(F.array(result))))
+
+
 def _with_ratio(results: DataFrame) -> DataFrame:
     ratio = F.coalesce(F.col("failures") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0))
     return results.select("check", "failures", "total", ratio.alias("ratio"), "passed")
 
 
-def volume_checks(
-    staged: DataFrame, dimension: DataFrame, fact: DataFrame, limits: Limits
-) -> DataFrame:
-    """Row counts above their minimum; facts per dimension row within their range."""
-    rows = F.count("*").alias("total")
-    staged_rows, class_rows, fact_rows = staged.agg(rows), dimension.agg(rows), fact.agg(rows)
-    low, high = limits.fact_per_class
-    counted = class_rows.withColumn("table", F.lit("dimension")).unionByName(
-        fact_rows.withColumn("table", F.lit("fact"))
-    )
-    both = counted.agg(
-        F.max(F.when(F.col("table") == "fact", F.col("total"))).alias("total"),
-        F.max(F.when(F.col("table") == "dimension", F.col("total"))).alias("classes"),
+def facts_per_class(fact: DataFrame, dimension: DataFrame, limits: Limits) -> DataFrame:
+    """Result row of the rule on the number of facts per dimension row."""
+    counted = fact.select(F.lit(1).alias("fact"), F.lit(0).alias("class")).unionAll(
+        dimension.select(F.lit(0), F.lit(1))
     )
+    both = counted.agg(F.sum("fact").alias("total"), F.sum("class").alias("classes"))
     per_class = F.col("total") / F.nullif(F.col("classes"), F.lit(0))
-    return (
-        _bound_check(
-            "staged has enough rows", staged_rows, F.col("total") > limits.min_staged_rows
-        )
-        .unionByName(
-            _bound_check(
-                "dimension has enough rows", class_rows, F.col("total") > limits.min_dimension_rows
-            )
-        )
-        .unionByName(
-            _bound_check("fact rows per class plausible", both, per_class.between(low, high))
-        )
-    )
+    low, high = limits.fact_per_class
+    return bound_check("fact rows per class plausible", both, per_class.between(low, high))
 
 
 def run_checks(
@@ -237,29 +235,25 @@ def run_checks(
     top: DataFrame,
     limits: Limits | None = None,
 ) -> DataFrame:
-    """All rules over the four tables."""
+    """All rules over the four tables, which should be stored ones."""
     limits = limits or Limits()
     most = most_ranked_in_a_month(top).withColumnRenamed("most_rows", "total")
     sample = top.orderBy(F.desc("month"), F.asc("rank")).limit(10).select("return_pct")
     results = [
-        volume_checks(staged, dimension, fact, limits),
-        count_rules(staged, staged_rules(limits)),
-        count_rules(dimension, dimension_rules()),
+        count_rules(staged, staged_rules(limits), "staged", limits.min_staged_rows),
+        count_rules(dimension, dimension_rules(), "dimension", limits.min_dimension_rows),
         count_rules(fact, fact_rules(limits)),
         count_rules(top, top_rules(limits)),
-        _failure_count(
-            "staged series and day unique",
-            repeated_keys(staged, ["class_id", "subclass_id", "as_of"]),
-            staged,
-        ),
-        _failure_count(
-            "dimension.class_key unique", repeated_keys(dimension, ["class_key"]), dimension
+        facts_per_class(fact, dimension, limits),
+        unique_check(
+            "staged series and day unique", staged, ["class_id", "subclass_id", "as_of"]
         ),
-        _failure_count("fact.return_key unique", repeated_keys(fact, ["return_key"]), fact),
-        _failure_count("fact.class_key in dimension", orphan_facts(fact, dimension), fact),
-        _failure_count("top rows exist in fact", ranked_without_fact(top, fact), top),
-        _bound_check("top rows per month limited", most, F.col("total") <= limits.top_n),
-        _bound_check(
+        unique_check("dimension.class_key unique", dimension, ["class_key"]),
+        unique_check("fact.return_key unique", fact, ["return_key"]),
+        parent_check("fact.class_key in dimension", fact, dimension, ["class_key"]),
+        parent_check("top rows exist in fact", top, fact, ["class_id", "month"]),
+        bound_check("top rows per month limited", most, F.col("total") <= limits.top_n),
+        bound_check(
             "top report answers", sample.agg(F.count("*").alias("total")), F.col("total") >= 1
         ),
     ]

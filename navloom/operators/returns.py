@@ -34,14 +34,18 @@ def row_order() -> Column:
     )
 
 
-def daily_returns(staged: DataFrame) -> DataFrame:
+def day_of_order(order: Column) -> Column:
+    return F.date_from_unix_date(F.shiftright(order, 40).cast("int"))
+
+
+def daily_returns(staged: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Each report with the quote before it in its series and the return on it.
 
     The series are cut into months, so that no task ever sorts more than a month
-    of one series, however long or dense the series is. Within a month the
-    previous quote is a plain lag; the first report of each month takes the last
-    quote of the month before it that has reports. Both branches read the same
-    shuffle, and only one row per series and month is shuffled again.
+    of one series, however long or dense the series is. For the first report of a
+    month the last quote before it is carried over from the month rollup as an
+    extra row ahead of that month, so one shuffle and one plain lag do for all.
+    ``rollup`` is computed from ``staged`` unless a stored one is given.
     """
     reports = staged.select(
         "class_id",
@@ -54,20 +58,20 @@ def daily_returns(staged: DataFrame) -> DataFrame:
         "inflow",
         "outflow",
         month_of(F.col("as_of")).alias("month"),
-    ).withColumn("row_order", row_order())
-    in_month = Window.partitionBy(*BLOCK).orderBy("row_order")
-    whole_month = in_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lagged = reports.select(
-        "*",
-        F.lag("unit_value").over(in_month).alias("previous_unit_value"),
-        F.last("unit_value").over(whole_month).alias("closing_unit_value"),
+        row_order().alias("row_order"),
     )
-    following = lagged.filter(F.col("previous_unit_value").isNotNull())
-    opening = lagged.filter(F.col("previous_unit_value").isNull()).withColumn(
-        "previous_unit_value",
-        F.lag("closing_unit_value").over(Window.partitionBy(*SERIES).orderBy("month")),
+    rollup = month_rollup(staged) if rollup is None else rollup
+    following_month = F.lead("month").over(Window.partitionBy(*SERIES).orderBy("month"))
+    carried = rollup.select(*SERIES, "unit_value", following_month.alias("month")).filter(
+        F.col("month").isNotNull()
     )
-    return following.unionByName(opening).select(
+    in_month = Window.partitionBy(*BLOCK).orderBy(F.asc_nulls_first("row_order"))
+    lagged = (
+        reports.unionByName(carried, allowMissingColumns=True)
+        .withColumn("previous_unit_value", F.lag("unit_value").over(in_month))
+        .filter(F.col("row_order").isNotNull())
+    )
+    return lagged.select(
         *SERIES,
         "class_type",
         "as_of",
@@ -123,7 +127,6 @@ def month_rollup(staged: DataFrame) -> DataFrame:
         subclass_or_none(F.col("subclass_id")).alias("subclass_id"),
         month_of(F.col("as_of")).alias("month"),
         "class_type",
-        "as_of",
         "unit_value",
         "net_assets",
         "holders",
@@ -132,26 +135,25 @@ def month_rollup(staged: DataFrame) -> DataFrame:
     order = F.col("row_order")
     by_type = reports.groupBy(*BLOCK, "class_type").agg(
         F.count("*").alias("reports"),
-        F.min("as_of").alias("first_day"),
-        F.max("as_of").alias("last_day"),
         F.min(order).alias("first_order"),
+        F.max(order).alias("last_order"),
         F.min_by("unit_value", order).alias("first_unit_value"),
-        F.max(order).alias("type_order"),
-        *_latest_columns(["unit_value", "net_assets", "holders"], order),
+        F.max_by("unit_value", order).alias("unit_value"),
+        *_latest_columns(["net_assets", "holders"], order),
     )
-    kind = F.col("class_type")
+    kind, last = F.col("class_type"), F.col("last_order")
     return (
         by_type.repartition(*SERIES)
         .groupBy(*BLOCK)
         .agg(
-            latest(kind, F.col("type_order")).alias("class_type"),
-            latest_order(kind, F.col("type_order")).alias("class_type_order"),
             F.sum("reports").alias("reports"),
-            F.min("first_day").alias("first_day"),
-            F.max("last_day").alias("last_day"),
-            F.min_by("first_unit_value", "first_order").alias("first_unit_value"),
             F.min("first_order").alias("first_order"),
-            *_latest_again(["unit_value", "net_assets", "holders"], with_order=True),
+            F.max("last_order").alias("last_order"),
+            F.min_by("first_unit_value", "first_order").alias("first_unit_value"),
+            F.max_by("unit_value", "last_order").alias("unit_value"),
+            latest(kind, last).alias("class_type"),
+            latest_order(kind, last).alias("class_type_order"),
+            *_latest_again(["net_assets", "holders"], with_order=True),
         )
     )
 

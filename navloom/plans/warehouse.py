@@ -47,15 +47,17 @@ def build_marts(staged: DataFrame, root: str, ranking: Ranking = Ranking()) -> d
 
 
 def store(table: DataFrame, path: str, by: str | None = None) -> DataFrame:
-    """Write a table in full, in even files, and read it back.
+    """Write a table in full and read it back.
 
-    The rebalance hint lets Spark choose the number of files by size at run time;
-    with ``by`` the rows of one partition meet in few files, and a partition much
+    Files follow the partitions of the last shuffle, which Spark sizes at run time.
+    With ``by`` the rows of one partition value meet in few files, and a value much
     larger than the others is split over several tasks.
     """
-    even = table.hint("rebalance", *([by] if by else []))
-    writer = even.write.mode("overwrite").option("compression", "snappy")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    if by is None:
+        table.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    else:
+        even = table.hint("rebalance", by)
+        even.write.mode("overwrite").option("compression", "snappy").partitionBy(by).parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
@@ -64,11 +66,12 @@ def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def publish(marts: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Copy the tables that readers need to ``root``, without staging and rollup."""
-    kept = {name: marts[name] for name in MARTS}
+    """Copy the tables that readers need to ``root`` in even files, without the rollup."""
+    dimension, top = marts["dimension"].hint("rebalance"), marts["top"].hint("rebalance")
     return {
-        name: store(table, f"{root}/{name}", by="month" if name == "fact" else None)
-        for name, table in kept.items()
+        "dimension": store(dimension, f"{root}/dimension"),
+        "fact": store(marts["fact"], f"{root}/fact", by="month"),
+        "top": store(top, f"{root}/top"),
     }
 
 

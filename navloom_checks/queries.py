@@ -36,7 +36,8 @@ LIMITS = quality.Limits(
     min_staged_rows=1_000, min_dimension_rows=10, fact_per_class=(0.5, 100.0), top_n=10,
     min_holders=1,
 )
-_MARTS: dict[tuple[str, str], str] = {}
+_ROOTS: dict[tuple[str, str], str] = {}
+_WRITTEN: set[str] = set()
 
 
 def query(function: Query) -> Query:
@@ -68,15 +69,35 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
     return stage_reports(raw(spark, folder))
 
 
-def stored_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def stored_staged(spark: SparkSession, folder: str) -> DataFrame:
+    """The staged reports as a table, which all further tables are built from."""
+    path = f"{_root(spark, folder)}/staged"
+    if path not in _WRITTEN:
+        store(staged(spark, folder), path)
+        _WRITTEN.add(path)
+    return spark.read.parquet(path)
+
+
+def stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The staged reports and the marts built from them, each stored."""
+    root = _root(spark, folder)
+    if root not in _WRITTEN:
+        build_marts(stored_staged(spark, folder), root, RANKING)
+        _WRITTEN.add(root)
+    names = ("staged", "dimension", "fact", "top")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+
+
+def _root(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _MARTS:
-        root = new_folder(spark, "marts")
-        build_marts(staged(spark, folder), root, RANKING)
-        _MARTS[key] = root
-    return {
-        name: spark.read.parquet(f"{_MARTS[key]}/{name}") for name in ("dimension", "fact", "top")
-    }
+    if key not in _ROOTS:
+        _ROOTS[key] = new_folder(spark, "marts")
+    return _ROOTS[key]
+
+
+def stored_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    tables = stored(spark, folder)
+    return {name: tables[name] for name in ("dimension", "fact", "top")}
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +108,7 @@ def top(spark: SparkSession, folder: str) -> DataFrame:
     return stored_marts(spark, folder)["top"]
 
 
-# Staging, returns and marts, straight from the tables.
+# Staging and the ranking in one plan from the tables; returns and marts from staging.
 
 
 @query
@@ -97,28 +118,28 @@ def staged_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def daily_return(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(returns.daily_returns(staged(spark, folder)))
+    return rounded(returns.daily_returns(stored_staged(spark, folder)))
 
 
 @query
 def monthly_return(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(returns.monthly_returns(staged(spark, folder)))
+    return rounded(returns.monthly_returns(stored_staged(spark, folder)))
 
 
 @query
 def monthly_return_from_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(returns.compound_daily(returns.daily_returns(staged(spark, folder))))
+    return rounded(returns.compound_daily(returns.daily_returns(stored_staged(spark, folder))))
 
 
 @query
 def class_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(marts.class_dimension(staged(spark, folder)))
+    return rounded(marts.class_dimension(stored_staged(spark, folder)))
 
 
 @query
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Both forms of the dimension key."""
-    return marts.class_dimension(staged(spark, folder)).select(
+    return marts.class_dimension(stored_staged(spark, folder)).select(
         "class_id",
         "subclass_id",
         "class_key",
@@ -130,7 +151,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 def monthly_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Fact from a stored rollup, which keeps both sides of its join to one scan."""
     rollup = store(
-        returns.month_rollup(staged(spark, folder)), new_folder(spark, "rollup")
+        returns.month_rollup(stored_staged(spark, folder)), new_folder(spark, "rollup")
     )
     return rounded(
         marts.monthly_fact(returns.returns_of_rollup(rollup), marts.dimension_of_rollup(rollup))
@@ -392,8 +413,7 @@ def published_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def inventory_with_staging(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {"staged": staged(spark, folder), **stored_marts(spark, folder)}
-    return table_inventory(tables)
+    return table_inventory(stored(spark, folder))
 
 
 # Data quality.
@@ -401,8 +421,7 @@ def inventory_with_staging(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:
-    tables = stored_marts(spark, folder)
-    return rounded(quality.run_checks(staged(spark, folder), **tables, limits=LIMITS))
+    return rounded(quality.run_checks(**stored(spark, folder), limits=LIMITS))
 
 
 @query
