@@ -19,6 +19,9 @@ from navloom.functions.measures import (
 
 SERIES = ["class_id", "subclass_id"]
 BLOCK = [*SERIES, "month"]
+DENSE_MONTH = 10_000_000
+SLICE_BITS = 28
+COPIES_PER_CHUNK = 1_000_000
 
 
 def row_order() -> Column:
@@ -38,14 +41,22 @@ def day_of_order(order: Column) -> Column:
     return F.date_from_unix_date(F.shiftright(order, 40).cast("int"))
 
 
-def daily_returns(staged: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+def daily_returns(
+    staged: DataFrame, rollup: DataFrame | None = None, dense_month: int = DENSE_MONTH
+) -> DataFrame:
     """Each report with the quote before it in its series and the return on it.
 
-    The series are cut into months, so that no task ever sorts more than a month
-    of one series, however long or dense the series is. For the first report of a
-    month the last quote before it is carried over from the month rollup as an
-    extra row ahead of that month, so one shuffle and one plain lag do for all.
-    ``rollup`` is computed from ``staged`` unless a stored one is given.
+    The series are cut into months, so that no task sorts more than a month of one
+    series, however long the series is. For the first report of a month the last
+    quote before it is carried over from the month rollup as an extra row ahead of
+    that month, so one shuffle and one plain lag do for all.
+
+    A month of a series has about 20 reports. Should one have more than
+    ``dense_month``, as with copies of reports, it is cut further, see
+    :func:`_dense_lag`. Without any, Spark drops that branch at run time.
+
+    ``rollup`` is computed from ``staged`` unless a stored one is given, which is
+    better: it is read twice.
     """
     reports = staged.select(
         "class_id",
@@ -61,15 +72,21 @@ def daily_returns(staged: DataFrame, rollup: DataFrame | None = None) -> DataFra
         row_order().alias("row_order"),
     )
     rollup = month_rollup(staged) if rollup is None else rollup
-    following_month = F.lead("month").over(Window.partitionBy(*SERIES).orderBy("month"))
-    carried = rollup.select(*SERIES, "unit_value", following_month.alias("month")).filter(
-        F.col("month").isNotNull()
-    )
-    in_month = Window.partitionBy(*BLOCK).orderBy(F.asc_nulls_first("row_order"))
-    lagged = (
-        reports.unionByName(carried, allowMissingColumns=True)
-        .withColumn("previous_unit_value", F.lag("unit_value").over(in_month))
-        .filter(F.col("row_order").isNotNull())
+    # At most one row per dense_month reports: a million in 10^13 reports.
+    dense = F.broadcast(rollup.filter(F.col("reports") > dense_month).select(*BLOCK))
+    in_series = Window.partitionBy(*SERIES).orderBy("month")
+    carried = rollup.select(
+        *SERIES,
+        "unit_value",
+        F.lead("month").over(in_series).alias("month"),
+        F.lead("first_order").over(in_series).alias("first_order"),
+    ).filter(F.col("month").isNotNull())
+    lagged = _lag_with_carried(
+        reports.join(dense, BLOCK, "left_anti"), carried.drop("first_order"), BLOCK
+    ).unionByName(
+        _dense_lag(
+            reports.join(dense, BLOCK, "left_semi"), carried.join(dense, BLOCK, "left_semi")
+        )
     )
     return lagged.select(
         *SERIES,
@@ -85,6 +102,56 @@ def daily_returns(staged: DataFrame, rollup: DataFrame | None = None) -> DataFra
     )
 
 
+def _lag_with_carried(reports: DataFrame, carried: DataFrame, group: list[str]) -> DataFrame:
+    """Lag within groups; ``carried`` rows have no ``row_order`` and come first."""
+    in_group = Window.partitionBy(*group).orderBy(F.asc_nulls_first("row_order"))
+    return (
+        reports.unionByName(carried, allowMissingColumns=True)
+        .withColumn("previous_unit_value", F.lag("unit_value").over(in_group))
+        .filter(F.col("row_order").isNotNull())
+    )
+
+
+def _dense_lag(reports: DataFrame, carried: DataFrame) -> DataFrame:
+    """The same lag for months with very many reports of one series.
+
+    Copies are counted instead of sorted and written out again at the end: the first
+    of them follows the report before, each other one follows a copy of itself. What
+    is left of a month is cut into slices of its order, by day and leading bits of
+    the hash, with the last quote of each slice carried to the next.
+    """
+    slice_of = F.shiftright("row_order", SLICE_BITS)
+    copied = (
+        reports.groupBy(*reports.columns)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("slice", slice_of)
+    )
+    group = [*BLOCK, "slice"]
+    closings = copied.groupBy(*group).agg(F.max_by("unit_value", "row_order").alias("unit_value"))
+    in_month = Window.partitionBy(*BLOCK).orderBy("slice")
+    between_slices = closings.select(
+        *BLOCK, "unit_value", F.lead("slice").over(in_month).alias("slice")
+    ).filter(F.col("slice").isNotNull())
+    into_month = carried.select(
+        *BLOCK, "unit_value", F.shiftright("first_order", SLICE_BITS).alias("slice")
+    )
+    lagged = _lag_with_carried(copied, between_slices.unionByName(into_month), group)
+    # Copies are written out in two steps, so that no task has to produce all of them.
+    last = F.col("copies") - 1
+    chunks = lagged.withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), (last / COPIES_PER_CHUNK).cast("bigint")))
+    ).repartition("class_id", "subclass_id", "row_order", "chunk")
+    start = F.col("chunk") * COPIES_PER_CHUNK
+    return chunks.withColumn(
+        "copy", F.explode(F.sequence(start, F.least(start + (COPIES_PER_CHUNK - 1), last)))
+    ).select(
+        *reports.columns,
+        F.when(F.col("copy") == 0, F.col("previous_unit_value"))
+        .otherwise(F.col("unit_value"))
+        .alias("previous_unit_value"),
+    )
+
+
 def compound_daily(daily: DataFrame) -> DataFrame:
     """Monthly returns from daily ones; days without a return do not count."""
     observed = daily.filter(F.col("day_return").isNotNull()).withColumn("row_order", row_order())

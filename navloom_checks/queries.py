@@ -78,6 +78,15 @@ def stored_staged(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    reports_ = stored_staged(spark, folder)
+    return store(returns.month_rollup(reports_), new_folder(spark, "rollup"))
+
+
+def daily(spark: SparkSession, folder: str) -> DataFrame:
+    return returns.daily_returns(stored_staged(spark, folder), stored_rollup(spark, folder))
+
+
 def stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The staged reports and the marts built from them, each stored."""
     root = _root(spark, folder)
@@ -118,7 +127,7 @@ def staged_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def daily_return(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(returns.daily_returns(stored_staged(spark, folder)))
+    return rounded(daily(spark, folder))
 
 
 @query
@@ -128,7 +137,7 @@ def monthly_return(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def monthly_return_from_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(returns.compound_daily(returns.daily_returns(stored_staged(spark, folder))))
+    return rounded(returns.compound_daily(daily(spark, folder)))
 
 
 @query
@@ -150,9 +159,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def monthly_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Fact from a stored rollup, which keeps both sides of its join to one scan."""
-    rollup = store(
-        returns.month_rollup(stored_staged(spark, folder)), new_folder(spark, "rollup")
-    )
+    rollup = stored_rollup(spark, folder)
     return rounded(
         marts.monthly_fact(returns.returns_of_rollup(rollup), marts.dimension_of_rollup(rollup))
     )

@@ -151,6 +151,39 @@ class TestMonthly:
             assert rows[key].month_return == pytest.approx(value, abs=1e-9)
 
 
+@pytest.mark.parametrize("chunk", [2, 1000])
+def test_dense_months_are_cut_without_changing_the_result(make_staged, monkeypatch, chunk):
+    from navloom.operators import returns
+
+    monkeypatch.setattr(returns, "COPIES_PER_CHUNK", chunk)
+    draw = random.Random(11)
+    rows = []
+    for class_id in "abc":
+        for month in (1, 2, 4, 5):
+            for _ in range(draw.choice([1, 3, 40])):
+                report = (class_id, None, f"2026-{month:02d}-{draw.randint(1, 5):02d}",
+                          draw.choice([1.0, 2.0, 4.0]), draw.choice([1e6, 2e6]))
+                rows += [report] * draw.choice([1, 1, 5])
+    staged = make_staged(rows)
+    plain, cut = (
+        sorted(map(str, daily_returns(staged, dense_month=limit).collect()))
+        for limit in (10**6, 4)
+    )
+    assert len(plain) == len(rows)
+    assert plain == cut
+
+
+def test_equal_reports_follow_each_other(make_staged):
+    staged = make_staged(
+        [("a", None, "2026-01-30", 1.0)] + [("a", None, "2026-02-02", 2.0)] * 9
+        + [("a", None, "2026-02-03", 3.0)]
+    )
+    found = sorted(
+        (r.as_of.day, r.previous_unit_value or 0.0) for r in daily_returns(staged, dense_month=5).collect()
+    )
+    assert found == [(2, 1.0)] + [(2, 2.0)] * 8 + [(3, 2.0), (30, 0.0)]
+
+
 def test_daily_rows_add_up_to_monthly_days(make_staged):
     staged = make_staged(
         [(c, None, f"2026-{m:02d}-{d:02d}", d + 1.0) for c in "ab" for m in (1, 2, 3) for d in (1, 9)]
