@@ -22,6 +22,10 @@ RAW_COLUMNS = list(RAW_TO_STAGED)
 # Fixed value: subclass text of a class that reports without subclasses.
 NO_SUBCLASS = "__sem_subclasse__"
 
+# Labels of a series whose type or subclass is never given.
+NO_TYPE_LABEL = "Classe de fundo"
+NO_SUBCLASS_LABEL = "—"
+
 # Format of a monthly report file.
 REPORT_SEPARATOR = ";"
 REPORT_CHARSET = "ISO-8859-1"

@@ -7,7 +7,12 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from navloom.fixed_values import BENCHMARK_DEFAULT_PCT, BENCHMARK_PCT
+from navloom.fixed_values import (
+    BENCHMARK_DEFAULT_PCT,
+    BENCHMARK_PCT,
+    NO_SUBCLASS_LABEL,
+    NO_TYPE_LABEL,
+)
 from navloom.functions.measures import above_or_below, to_pct
 from navloom.operators.returns import SERIES
 
@@ -92,11 +97,11 @@ def cumulative_vs_benchmark(
     )
 
 
-def series_kpis(
-    cumulative: DataFrame, default_type: str = "Classe de fundo"
-) -> DataFrame:
+def series_kpis(cumulative: DataFrame, default_type: str = NO_TYPE_LABEL) -> DataFrame:
     """Per series: accumulated returns, best and worst month, volatility and verdict."""
-    kpis = cumulative.groupBy(*SERIES).agg(
+    kpis = cumulative.groupBy(
+        "class_id", F.coalesce("subclass_id", F.lit(NO_SUBCLASS_LABEL)).alias("subclass_id")
+    ).agg(
         F.coalesce(F.min("class_type"), F.lit(default_type)).alias("class_type"),
         F.count("*").alias("months"),
         to_pct(F.max_by("cumulative", "month")).alias("cumulative_pct"),

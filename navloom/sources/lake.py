@@ -14,15 +14,19 @@ LAKE_SCHEMA = ", ".join(
 )
 
 
-def write_lake(reports: DataFrame, root: str) -> None:
+def write_lake(reports: DataFrame, root: str, gather: bool = False) -> None:
     """Replace exactly the months that ``reports`` holds; other months stay.
 
-    Tasks write what they hold: no single-file bottleneck, and archives come as one
-    task per month anyway.
+    Every task writes a file for each month it holds. That is right for archives, of
+    which a task reads a few whole months. Reports that are spread over tasks should be
+    brought together by month with ``gather``; a month much larger than the others is
+    then split over several tasks.
     """
+    rows = reports.select(*RAW_COLUMNS, "year_month")
+    if gather:
+        rows = rows.hint("rebalance", "year_month")
     (
-        reports.select(*RAW_COLUMNS, "year_month")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("year_month")

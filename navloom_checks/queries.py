@@ -371,7 +371,7 @@ def archive_status(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def lake_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "lake")
-    lake.write_lake(labelled(spark, folder), root)
+    lake.write_lake(labelled(spark, folder), root, gather=True)
     return rounded(lake.read_lake(spark, root))
 
 
@@ -382,7 +382,7 @@ def lake_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     reports_ = labelled(spark, folder)
     counts = []
     for name in ("rows_first", "rows_again"):
-        lake.write_lake(reports_, root)
+        lake.write_lake(reports_, root, gather=True)
         copy = new_folder(spark, name)
         per_month = lake.read_lake(spark, root).groupBy("year_month")
         per_month.agg(F.count("*").alias(name)).write.parquet(copy)
@@ -480,15 +480,6 @@ def packed_archives(reports_: DataFrame) -> DataFrame:
     return archives.with_period(files)
 
 
-def monthly_archives(reports_: DataFrame) -> DataFrame:
-    """One archive per month; for benchmarks, where a month is known to fit a task."""
-    text = reports_.select("year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS])
-    files = text.groupBy("year_month").applyInPandas(
-        lambda rows: pd.concat(_pack([rows])), "path string, content binary"
-    )
-    return archives.with_period(files)
-
-
 def _pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for month, rows in batch.groupby("year_month"):
