@@ -201,6 +201,20 @@ def top_of_newest_month(top: DataFrame, limit: int = 10) -> DataFrame:
     return top.join(newest, "month", "left_semi").filter(F.col("rank") <= n).orderBy("rank")
 
 
+def ranking_report(ranked: DataFrame) -> DataFrame:
+    """The columns of a ranking that its readers are shown."""
+    return ranked.select(
+        "month",
+        "rank",
+        "class_id",
+        "class_type",
+        "return_pct",
+        "obs_days",
+        "month_end_net_assets",
+        "month_end_holders",
+    )
+
+
 def global_top(top: DataFrame, n: int = 10) -> DataFrame:
     """First rows of the ranking in mart order."""
     return top.orderBy(F.desc("month"), F.asc("rank")).limit(n)

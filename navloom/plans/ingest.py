@@ -35,7 +35,7 @@ def ingest_archives(
 
 
 def ingest_files(files: DataFrame, lake: str) -> DataFrame:
-    """:func:`ingest_archives` for given ``path, year_month, content`` rows.
+    """:func:`ingest_archives` for given rows as ``archive_files`` makes them.
 
     First all archives are read through and their status is stored, then the rows of
     the sound ones are written, so that half a broken archive never reaches the lake.

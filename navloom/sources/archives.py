@@ -21,6 +21,8 @@ from navloom.functions.calendar import label_from_period
 from navloom.sources.delimited import require_columns
 
 BLOCK_BYTES = 4 << 20
+LARGE_BYTES = 256_000_000
+MAX_BYTES = 2_000_000_000
 ROWS_SCHEMA = ", ".join(["year_month string", *[f"{name} string" for name in RAW_COLUMNS]])
 STATUS_SCHEMA = "path string, year_month string, ok boolean, rows bigint, error string"
 STATUS_ARROW = pa.schema(
@@ -35,9 +37,10 @@ STATUS_ARROW = pa.schema(
 
 
 def archive_files(spark: SparkSession, source: str) -> DataFrame:
-    """Archives below ``source``: ``path``, ``year_month`` from the name, ``content``.
+    """Archives below ``source``: ``path``, ``year_month`` from the name, ``bytes``, ``content``.
 
     Scan tasks hold ``spark.sql.files.maxPartitionBytes`` of archives, or one larger.
+    Filters on ``bytes`` reach the scan, which then does not open the others.
     """
     files = (
         spark.read.format("binaryFile")
@@ -45,24 +48,46 @@ def archive_files(spark: SparkSession, source: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .load(source)
     )
-    return with_period(files.select("path", "content"))
+    return with_period(files)
 
 
 def with_period(files: DataFrame) -> DataFrame:
-    """Add ``year_month``, the six digits before ``.zip`` in the file name."""
+    """Rows of the binary file source with ``year_month`` from the name: ``..._YYYYMM.zip``."""
     period = F.regexp_extract("path", r"(\d{6})\.zip$", 1)
     label = F.when(period != "", label_from_period(period))
-    return files.select("path", label.alias("year_month"), "content")
+    return files.select(
+        "path", label.alias("year_month"), F.col("length").alias("bytes"), "content"
+    )
 
 
 def archive_status(files: DataFrame) -> DataFrame:
     """One row per archive: readable or why not, and its number of report rows."""
-    return files.select("path", "year_month", "content").mapInArrow(_inspect, STATUS_SCHEMA)
+    inspected = _openable(files).mapInArrow(_inspect, STATUS_SCHEMA)
+    too_large = files.filter(F.col("bytes") > MAX_BYTES).select(
+        "path",
+        "year_month",
+        F.lit(False).alias("ok"),
+        F.lit(0).cast("bigint").alias("rows"),
+        F.lit(f"larger than {MAX_BYTES} bytes").alias("error"),
+    )
+    return inspected.unionByName(too_large)
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
-    """Report rows of all archives as text; an unreadable archive fails the job."""
-    return files.select("path", "year_month", "content").mapInArrow(_extract, ROWS_SCHEMA)
+    """Report rows of all archives as text; an unreadable archive fails the job.
+
+    An archive is read by one task. The rows of large ones are then spread over tasks;
+    those of the others stay where they are.
+    """
+    small = files.filter(F.col("bytes") <= LARGE_BYTES)
+    large = files.filter(F.col("bytes") > LARGE_BYTES)
+    spread = _openable(large).mapInArrow(_extract, ROWS_SCHEMA).hint("rebalance", "year_month")
+    return _openable(small).mapInArrow(_extract, ROWS_SCHEMA).unionByName(spread)
+
+
+def _openable(files: DataFrame) -> DataFrame:
+    """What a task gets; the binary file source ends at 2 GB per file."""
+    return files.filter(F.col("bytes") <= MAX_BYTES).select("path", "year_month", "content")
 
 
 def read_archives(spark: SparkSession, source: str) -> tuple[DataFrame, DataFrame]:

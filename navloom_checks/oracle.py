@@ -321,6 +321,11 @@ SQL: dict[str, str] = {
     "top_of_newest_month": select(
         TOP, f"{TOP_SELECT} WHERE month = (SELECT MAX(month) FROM top) AND rank <= 5"
     ),
+    "ranking_report": select(
+        TOP,
+        f"""SELECT month, rank, class_id, class_type, {r("return_pct")}, obs_days,
+            {r("month_end_net_assets")}, month_end_holders FROM top""",
+    ),
     "global_top": select(TOP, f"{TOP_SELECT} ORDER BY month DESC, rank LIMIT 10"),
     "months_desc": select(FACT, "SELECT DISTINCT month FROM fact ORDER BY month DESC"),
     "newest_month": select(FACT, "SELECT MAX(month) AS month FROM fact"),

@@ -11,7 +11,8 @@ import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import compute, csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +187,11 @@ def top_of_newest_month(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reports.top_of_newest_month(top(spark, folder), 5))
 
 
+@query
+def ranking_report(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(reports.ranking_report(top(spark, folder)))
+
+
 @query
 def global_top(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reports.global_top(top(spark, folder)))
@@ -468,7 +474,7 @@ def negative_assets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packed_archives(reports_: DataFrame) -> DataFrame:
-    """Monthly archives of report text, as ``path, year_month, content`` rows.
+    """Monthly archives of report text, as rows like those of the binary file source.
 
     Every batch of rows becomes one archive per month in it; sorting the rows of a
     task by month keeps that to few.
@@ -476,18 +482,23 @@ def packed_archives(reports_: DataFrame) -> DataFrame:
     text = reports_.select(
         "year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS]
     ).sortWithinPartitions("year_month")
-    files = text.mapInPandas(_pack, "path string, content binary")
-    return archives.with_period(files)
+    files = text.mapInArrow(_pack, "path string, content binary")
+    return archives.with_period(files.withColumn("length", F.length("content").cast("bigint")))
 
 
-def _pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for month, rows in batch.groupby("year_month"):
+        for month in batch.column("year_month").unique().to_pylist():
+            rows = batch.filter(compute.field("year_month") == month).select(RAW_COLUMNS)
+            text = io.BytesIO()
+            csv.write_csv(
+                rows, text, csv.WriteOptions(delimiter=REPORT_SEPARATOR, quoting_style="none",
+                                             quoting_header="none")
+            )
             period = month.replace("-", "")
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                body = rows[RAW_COLUMNS].to_csv(sep=REPORT_SEPARATOR, index=False)
-                archive.writestr(f"reports_{period}.csv", body.encode(REPORT_CHARSET))
-            yield pd.DataFrame(
+                archive.writestr(f"reports_{period}.csv", text.getvalue())
+            yield pa.RecordBatch.from_pydict(
                 {"path": [f"reports_{period}.zip"], "content": [buffer.getvalue()]}
             )

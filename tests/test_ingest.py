@@ -107,6 +107,21 @@ def test_first_report_file_counts_and_large_files_stream(spark, drop, monkeypatc
     assert sum(b.num_rows for b in batches) == 5001
 
 
+def test_large_archives_are_spread_and_too_large_ones_reported(spark, drop, monkeypatch, tmp_path):
+    many = HEADER + "\n" + "".join(f"FIF;{n};;2026-03-02;1;1;1;1;1;{n}\n" for n in range(3000))
+    source = drop(p202603=archive(many), p202604=archive(VALID))
+    monkeypatch.setattr(archives, "LARGE_BYTES", 1000)
+    root = str(tmp_path / "lake")
+    assert {m: r["rows"] for m, r in status_of(ingest_archives(spark, source, root)).items()} == {
+        "2026-03": 3000, "2026-04": 3,
+    }
+    assert lake.read_lake(spark, root).count() == 3003
+    monkeypatch.setattr(archives, "MAX_BYTES", 1000)
+    status = status_of(ingest_archives(spark, source, str(tmp_path / "other")))
+    assert {m: r.ok for m, r in status.items()} == {"2026-03": False, "2026-04": True}
+    assert "larger than" in status["2026-03"].error
+
+
 def test_months_are_skipped_or_replaced(spark, drop, tmp_path):
     root = str(tmp_path / "lake")
     source = drop(p202603=archive(VALID), p202604=archive(VALID))
