@@ -139,7 +139,8 @@ history AS (
 
 
 def r(expression: str, name: str | None = None, places: int = 6) -> str:
-    return f"ROUND({expression}, {places}) + 0.0 AS {name or expression}"
+    """Rounded as in ``queries.rounded``."""
+    return f"ROUND(({expression}) + 1e-9, {places}) + 0.0 AS {name or expression}"
 
 
 RAW_SELECT = f"""

@@ -47,10 +47,14 @@ def query(function: Query) -> Query:
 
 
 def rounded(table: DataFrame, places: int = 6) -> DataFrame:
-    """All doubles to fixed places, without negative zeros."""
+    """All doubles to fixed places, without negative zeros.
+
+    Quotes have two decimals, so some returns end exactly half-way between two rounded
+    values, where the last bit of a double decides. A billionth moves them off it.
+    """
     return table.select(
         *[
-            (F.round(name, places) + F.lit(0.0)).alias(name) if kind == "double" else F.col(name)
+            (F.round(F.col(name) + 1e-9, places) + F.lit(0.0)).alias(name) if kind == "double" else F.col(name)
             for name, kind in table.dtypes
         ]
     )
