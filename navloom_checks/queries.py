@@ -480,12 +480,14 @@ def negative_assets(spark: SparkSession, folder: str) -> DataFrame:
 def packed_archives(reports_: DataFrame) -> DataFrame:
     """Monthly archives of report text, as rows like those of the binary file source.
 
-    Every batch of rows becomes one archive per month in it; sorting the rows of a
-    task by month keeps that to few.
+    Every batch of rows becomes one archive per month in it. Tasks get ranges of months,
+    and of classes within a large month, which keeps that to few.
     """
-    text = reports_.select(
-        "year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS]
-    ).sortWithinPartitions("year_month")
+    text = (
+        reports_.select("year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS])
+        .repartitionByRange("year_month", "CNPJ_FUNDO_CLASSE")
+        .sortWithinPartitions("year_month")
+    )
     files = text.mapInArrow(_pack, "path string, content binary")
     return archives.with_period(files.withColumn("length", F.length("content").cast("bigint")))
 
