@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from navloom_checks.oracle import SQL
+from navloom_checks.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SPARK_TO_SQL = {
@@ -37,13 +39,13 @@ def in_order(rows):
 
 
 def test_every_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sql, name):
-    frame = driver.queries()[name](spark, FOLDER)
-    expected = sql.sql(driver.oracle_sql()[name])
+    frame = QUERIES[name](spark, FOLDER)
+    expected = sql.sql(SQL[name])
     columns = sorted(frame.columns)
     assert columns == sorted(expected.columns)
     types = dict(zip(expected.columns, map(str, expected.types)))
