@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, token_counts
+from navloom.llm import bpe, exact_dedup, token_counts
 from navloom.llm.common import read
 
 #: Tokens beyond which a text is too long for the context of a model.
@@ -39,7 +39,12 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
+    "op3_exact_dedup": op3_exact_dedup,
 }

@@ -1,3 +1,19 @@
 """The same results in SQL, where SQL can express them."""
 
-SQL: dict[str, str] = {}
+EXACT_DEDUP = r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+        FROM documents
+    )
+    SELECT
+        doc_id,
+        min(doc_id) OVER (PARTITION BY t) AS keep_id,
+        count(*) OVER (PARTITION BY t) AS group_size,
+        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
+        sha256(t) AS text_sha256
+    FROM texts
+"""
+
+SQL: dict[str, str] = {
+    "op3_exact_dedup": EXACT_DEDUP,
+}
