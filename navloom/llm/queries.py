@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, token_counts
+from navloom.llm import bpe, exact_dedup, simhash, token_counts
 from navloom.llm.common import read
 
 #: Tokens beyond which a text is too long for the context of a model.
@@ -43,8 +43,13 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, folder, "documents"))
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(read(spark, folder, "documents"), words=3, radius=3)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_simhash": op8_simhash,
 }
