@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from navloom.sources.shared import new_folder
 
 #: Bytes of text that a task works on at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 3_000_000
+#: Texts that are passed to a Python worker at once.
+TEXTS_PER_BATCH = 1_000
 #: The white space that separates words: space, and tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -21,6 +23,12 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def read_texts(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
+    """A table of long texts; Arrow batches get fewer rows, as each may be large."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+    return read(spark, folder, table)
+
+
 def picked(table: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under fixed names; others cannot clash with results."""
     return table.select(*[table[f"`{old}`"].alias(new) for new, old in columns.items()])

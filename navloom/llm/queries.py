@@ -6,17 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, simhash, token_counts
-from navloom.llm.common import read
+from navloom.llm import bpe, exact_dedup, quality, simhash, token_counts, toxicity
+from navloom.llm.common import read, read_texts
+from navloom.llm.labelled import fold
 
 #: Tokens beyond which a text is too long for the context of a model.
 TOKEN_LIMIT = 4096
+#: Score from which a text counts as label 1.
+CUT = 0.3
 
 
 def _sha256_of_ids(ids) -> F.Column:
     return F.sha2(F.concat_ws(" ", ids.cast("array<string>")), 256)
 
 
+def _predicted() -> F.Column:
+    return (F.col("score") >= CUT).cast("int").alias("predicted")
+
+
 def byte_ranks() -> bytes:
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         return file.read()
@@ -24,7 +31,7 @@ def byte_ranks() -> bytes:
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = byte_ranks()
-    encoded = bpe.encode(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    encoded = bpe.encode(read_texts(spark, folder), ranks, public_tokenizers.PATTERN)
     return bpe.decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -35,21 +42,37 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     order = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    counted = token_counts.count_tokens(read(spark, folder, "documents"), order)
+    counted = token_counts.count_tokens(read_texts(spark, folder), order)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_groups(read(spark, folder, "documents"))
+    return exact_dedup.exact_groups(read_texts(spark, folder))
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = read_texts(spark, folder), fold(F.col("doc_id"), 5) == 0
+    machine = quality.trained(docs, read(spark, folder, "labels"), "quality", ~held_out)
+    return quality.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", _predicted())
 
 
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_groups(read(spark, folder, "documents"), words=3, radius=3)
+    return simhash.near_groups(read_texts(spark, folder), words=3, radius=3)
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = read_texts(spark, folder), fold(F.col("doc_id"), 4) == 2
+    model = toxicity.trained(docs, read(spark, folder, "labels"), "toxic", ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", _predicted(), F.size("passages").alias("n_passages")
+    )
 
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
+    "op10_toxicity": op10_toxicity,
 }

@@ -11,6 +11,7 @@ are made when a text first needs them.
 
 from __future__ import annotations
 
+import marshal
 from collections.abc import Iterable
 
 import numpy as np
@@ -68,7 +69,7 @@ class MergeRules:
         key = (left, right)
         if (known := self._stable.get(key)) is not None:
             return known
-        if len(self._stable) > 1_000_000:
+        if len(self._stable) > 200_000:
             self._stable.clear()
         a, b, a_gone, b_gone = left, right, NEVER, NEVER
         while True:
@@ -95,13 +96,16 @@ class Transducer:
     them, so memory is bounded and frequent pieces stay fast.
     """
 
-    def __init__(self, rules: MergeRules, symbols, number_of: dict, most: int = 200_000):
+    def __init__(self, rules: MergeRules, symbols, number_of: dict, most: int = 100_000):
         self.rules, self.symbols, self.number_of, self.most = rules, symbols, number_of, most
         start = (((), None, None),)
-        self.states, self.ids = [start], {start: 0}
+        # Packed, a state takes a tenth of the memory; only new transitions unpack one.
+        self.states = [marshal.dumps(start, 2)]
+        self.ids = {self.states[0]: 0}
         self.next: dict[int, int] = {}
         self.emits: dict[int, tuple] = {}
         self.rest: list[tuple] = [()]
+        self._lists: dict[tuple, tuple] = {}
         self._compiled: Compiled | None = None
 
     def _step(self, state: tuple, code: int) -> tuple[tuple, tuple]:
@@ -141,24 +145,29 @@ class Transducer:
             key = number << 21 | code
             after = following.get(key)
             if after is None:
-                state, emitted = self._step(self.states[number], code)
-                after = self.ids.get(state)
+                state, emitted = self._step(marshal.loads(self.states[number]), code)
+                packed = marshal.dumps(state, 2)
+                after = self.ids.get(packed)
                 if after is None:
                     if len(self.states) >= self.most:
                         out.extend(emitted)
                         return self._walk(state, codes, out)
-                    after = self.ids[state] = len(self.states)
-                    self.states.append(state)
-                    self.rest.append(self._held(state))
+                    after = self.ids[packed] = len(self.states)
+                    self.states.append(packed)
+                    self.rest.append(self._shared(self._held(state)))
                 following[key] = after
                 if emitted:
-                    self.emits[key] = emitted
+                    self.emits[key] = self._shared(emitted)
             if key in self.emits:
                 out.extend(self.emits[key])
             number = after
         out.extend(self.rest[number])
         return out
 
+    def _shared(self, tokens: tuple) -> tuple:
+        """One object for equal lists of tokens."""
+        return self._lists.setdefault(tokens, tokens)
+
     def _walk(self, state: tuple, codes: Iterable[int], out: list) -> list:
         """The rest of a piece, without keeping states."""
         for code in codes:
