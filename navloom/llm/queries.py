@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, quality, simhash, token_counts, toxicity
+from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, toxicity
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -50,6 +50,12 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(read_texts(spark, folder))
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read_texts(spark, folder)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = read_texts(spark, folder), fold(F.col("doc_id"), 5) == 0
     machine = quality.trained(docs, read(spark, folder, "labels"), "quality", ~held_out)
@@ -72,6 +78,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_mixing": op4_mixing,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op10_toxicity": op10_toxicity,
