@@ -45,6 +45,14 @@ def stored(table: DataFrame, purpose: str, partition_by: list[str] | None = None
     return spark.read.schema(table.schema).parquet(folder)
 
 
+def keyed(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The table stored with a number for each row, and the name of that column."""
+    name = "row"
+    while name in table.columns:
+        name = f"_{name}"
+    return stored(table.withColumn(name, F.monotonically_increasing_id()), purpose), name
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds a bounded number of bytes, or one long text."""
     for batch in batches:

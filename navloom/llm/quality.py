@@ -174,3 +174,15 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     return picked(docs, doc_id=id_col, text=text_col).mapInArrow(
         work, f"doc_id {kind}, score double"
     )
+
+
+def accepted(docs: DataFrame, machine: Machine, cut: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least ``cut``."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, text_col):
+            scores = shared.value.scores(*features(raw_texts(part.column(text_col))))
+            yield part.filter(pa.array(scores >= cut))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from navloom.llm.common import picked, raw_texts, stored, text_slices
+from navloom.llm.common import keyed, picked, raw_texts, stored, text_slices
 from navloom.llm.components import components
 
 BITS = 64
@@ -79,29 +79,27 @@ def fingerprints(
 
 
 def _keys(vertices: DataFrame, blocks: int, radius: int) -> DataFrame:
-    """``bucket, print``: once for each choice of blocks that may agree."""
+    """The vertices with ``n, key``: once for each choice of blocks that may agree."""
     edges = [BITS * i // blocks for i in range(blocks + 1)]
     keys = []
     for number, chosen in enumerate(combinations(range(blocks), blocks - radius)):
         mask = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in chosen)
         signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
         keys.append(F.struct(F.lit(number).alias("n"), F.col("print").bitwiseAND(F.lit(signed)).alias("key")))
-    exploded = vertices.select("print", F.explode(F.array(*keys)).alias("bucket"))
-    return exploded.select("print", "bucket.n", "bucket.key")
+    exploded = vertices.select("*", F.explode(F.array(*keys)).alias("bucket"))
+    return exploded.select(*vertices.columns, "bucket.n", "bucket.key")
 
 
-def _in_chunks(keyed: DataFrame, chunk: int) -> DataFrame:
-    """``n, key, lo, hi, print``: buckets of two rows or more, large ones as pairs of chunks."""
-    sizes = keyed.groupBy("n", "key").count().where("count > 1")
-    joined = keyed.join(sizes, ["n", "key"])
+def _in_chunks(table: DataFrame, chunk: int) -> DataFrame:
+    """With ``lo, hi``: buckets of two rows or more, large ones as pairs of chunks."""
+    sizes = table.groupBy("n", "key").count().where("count > 1")
+    joined = table.join(sizes, ["n", "key"])
     chunks = F.ceil(F.col("count") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("print"), chunks).cast("int")
+    own = F.pmod(F.xxhash64("vertex"), chunks).cast("int")
     other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    pairs = joined.select("n", "key", "print", own.alias("own"), other.alias("other"))
-    return pairs.select(
-        "n", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-        "print",
-    )
+    pairs = joined.select(*table.columns, own.alias("own"), other.alias("other"))
+    lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    return pairs.select(*table.columns, lo, hi)
 
 
 def close_masks(prints: np.ndarray, groups: np.ndarray, radius: int):
@@ -171,7 +169,9 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def _links(prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _links(
+    prints: np.ndarray, groups: np.ndarray, radius: int, second: np.ndarray, second_radius: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Rows joined to the first row of their part of the group, by all close pairs."""
     label = np.arange(len(prints))
 
@@ -188,6 +188,9 @@ def _links(prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndar
             bits = np.unpackbits(close[part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             which, lane = np.nonzero(bits)
             a, b = row[part][which], lane_first[part][which] + lane
+            if second_radius < BITS:
+                near = np.bitwise_count(second[a] ^ second[b]) <= second_radius
+                a, b = a[near], b[near]
             while (label[label] != label).any():
                 label[:] = label[label]
             a, b = label[a], label[b]
@@ -201,8 +204,14 @@ def _links(prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndar
     return linked, label[linked]
 
 
-def links(vertices: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
-    """``a, b``: links that connect the same different fingerprints as all close pairs."""
+def links(
+    vertices: DataFrame, radius: int = 3, second_radius: int = BITS, chunk: int = CHUNK
+) -> DataFrame:
+    """``a, b``: links that connect the same vertices as all close pairs do.
+
+    ``vertices`` has ``vertex, print, second``; the second fingerprints of a close pair
+    differ in at most ``second_radius`` bits.
+    """
     n, blocks = vertices.count(), radius + 1
     # Longer keys for more fingerprints: a choice of speed, every choice finds all pairs.
     while blocks < radius + 4 and n > PER_BUCKET << (BITS * (blocks - radius) // blocks):
@@ -217,8 +226,11 @@ def links(vertices: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame
         for key in keys:
             new[1:] |= key[1:] != key[:-1]
         prints = table.column("print").to_numpy()
-        linked, to = _links(prints.view(np.uint64), np.cumsum(new), radius)
-        arrays = [pa.array(prints[linked]), pa.array(prints[to])]
+        second = table.column("second").to_numpy().view(np.uint64)
+        groups = np.cumsum(new)
+        linked, to = _links(prints.view(np.uint64), groups, radius, second, second_radius)
+        vertex = table.column("vertex").to_numpy()
+        arrays = [pa.array(vertex[linked]), pa.array(vertex[to])]
         return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +267,109 @@ def near_groups(
     rows = stored(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
     vertices = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
     vertices = stored(vertices, "vertices")
-    roots = components(links(vertices.select("print"), radius))
+    each = vertices.select(F.col("print").alias("vertex"), "print", F.lit(0).cast("long").alias("second"))
+    roots = components(links(each, radius))
     joined = vertices.join(roots, vertices["print"] == roots["vertex"], "left")
     joined = joined.select("print", "least", F.coalesce("root", "print").alias("root"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(joined.join(least, "root").select("print", "component_id"), "components")
     shown = F.lpad(F.lower(F.hex("print")), 16, "0")
     return rows.join(of, "print").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def _several(text: bytes, words: int, seeds: int, seed: int = 42) -> list[int]:
+    """Fingerprints of the set of a text's words by ``seeds`` hashes, then one of shingles."""
+    known = set(text.lower().split())
+    hashes = np.fromiter(map(xxh64_intdigest, known, repeat(seed)), np.uint64, len(known))
+    found = []
+    for number in range(seeds):
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        majority = 2 * bits.sum(0, dtype=np.int64) > len(known)
+        found.append(int.from_bytes(np.packbits(majority, bitorder="little").tobytes(), "little"))
+        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * number)
+        hashes ^= hashes >> np.uint64(32)
+    return [*found, fingerprint(text, words, seed)]
+
+
+def _shingles(texts: DataFrame, key: str, words: int) -> DataFrame:
+    """``key, shingles``: the different hashes of each text's word shingles."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            lists = []
+            for text in raw_texts(part.column("text")):
+                w = text.lower().split()
+                n = max(1, len(w) - words + 1) if w else 0
+                found = {xxh64_intdigest(b" ".join(w[i : i + words]), 42) for i in range(n)}
+                lists.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+            arrays = [part.column(key), pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "shingles"])
+
+    return texts.mapInArrow(work, f"{key} bigint, shingles array<bigint>")
+
+
+def without_near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    seeds: int = 6,
+    second_radius: int = 20,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less the near copies of others.
+
+    Texts are near copies if the sets of their shingles of ``words`` words have at least
+    this Jaccard similarity. Fingerprints of shingles of five words stray too far at 0.8
+    (up to 15 bits), so candidates are pairs whose fingerprints of the set of words differ
+    in at most three bits, by one of ``seeds`` hashes, and whose fingerprints of shingles
+    are closer than those of unrelated texts. In each component of candidates the row of
+    least id stays and the rows similar to it go, by the exact similarity; the same is done
+    with what is left, until nothing is. So a row goes only if it is similar to one that stays.
+    """
+    spark, (rows, row) = docs.sparkSession, keyed(docs, "near-rows")
+    texts = picked(rows, row=row, text=text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            found = [_several(t, words, seeds) for t in raw_texts(part.column("text"))]
+            prints = np.array(found, np.uint64).reshape(-1, seeds + 1).view(np.int64)
+            names = ["row", *[f"p{i}" for i in range(seeds)], "second"]
+            columns = [pa.array(np.ascontiguousarray(c)) for c in prints.T]
+            yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names)
+
+    kinds = ", ".join(f"p{i} bigint" for i in range(seeds))
+    prints = stored(texts.mapInArrow(work, f"row bigint, {kinds}, second bigint"), "near-prints")
+    edges = None
+    for number in range(seeds):
+        print_ = F.col(f"p{number}").alias("print")
+        each = prints.select("row", print_, "second")
+        vertices = each.groupBy("print", "second").agg(F.min("row").alias("vertex"))
+        vertices = stored(vertices, "near-vertices")
+        same = each.join(vertices, ["print", "second"]).where("row != vertex")
+        found = same.select(F.col("row").alias("a"), F.col("vertex").alias("b"))
+        found = found.unionByName(links(vertices, 3, second_radius))
+        edges = found if edges is None else edges.unionByName(found)
+    members = components(edges).select(F.col("vertex").alias("row"), "root")
+    members = members.join(picked(rows, row=row, id=id_col), "row")
+    shingles = _shingles(texts.join(members.select("row"), "row", "left_semi"), "row", words)
+    left = stored(members.join(shingles, "row"), "near-members")
+    gone = None
+    while left.limit(1).count():
+        least = F.min(F.struct(F.isnull("id").alias("none"), "id", "row"))
+        first = left.groupBy("root").agg(least.alias("least")).select("least.row")
+        kept = left.join(first, "row", "left_semi").select(
+            "root", F.col("row").alias("kept"), F.col("shingles").alias("of_kept")
+        )
+        compared = left.join(kept, "root").where("row != kept")
+        both = F.size(F.array_intersect("shingles", "of_kept"))
+        either = F.size("shingles") + F.size("of_kept") - both
+        alike = (both >= F.lit(similarity) * either).alias("alike")
+        compared = stored(compared.select("row", "root", "id", "shingles", alike), "near-round")
+        some = compared.where("alike").select("row")
+        gone = some if gone is None else gone.unionByName(some)
+        left = compared.where("not alike").drop("alike")
+    if gone is None:
+        gone = spark.createDataFrame([], "row bigint")
+    gone = gone.withColumnRenamed("row", "gone")
+    return rows.join(gone, rows[row] == gone["gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
