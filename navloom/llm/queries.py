@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, toxicity
+from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, topk, toxicity
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -66,6 +66,10 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(read_texts(spark, folder), words=3, radius=3)
 
 
+def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"), every=100, k=10, scale=1024)
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = read_texts(spark, folder), fold(F.col("doc_id"), 4) == 2
     model = toxicity.trained(docs, read(spark, folder, "labels"), "toxic", ~held_out)
@@ -81,5 +85,6 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
+    "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
 }

@@ -14,6 +14,29 @@ EXACT_DEDUP = r"""
     FROM texts
 """
 
+TOP_K = """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT
+            q.vec_id AS query_id,
+            c.vec_id,
+            CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole AS q JOIN whole AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    ),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (
+            PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
+    "op9_top_k": TOP_K,
 }
