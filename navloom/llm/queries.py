@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, topk, toxicity
+from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, topk, toxicity, url_filter
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -56,6 +56,11 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge(read(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = read_texts(spark, folder), fold(F.col("doc_id"), 5) == 0
     machine = quality.trained(docs, read(spark, folder, "labels"), "quality", ~held_out)
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_top_k": op9_top_k,

@@ -36,7 +36,103 @@ TOP_K = """
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+URL_FILTER = r"""
+    WITH cut AS (
+        SELECT page_id, CASE WHEN contains(url, '://')
+            THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ),
+    parts AS (
+        SELECT page_id,
+            translate(regexp_extract(rest, '^[^/?#]*'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM cut
+    ),
+    ruled AS (
+        SELECT *,
+            CASE WHEN host = 'example.net' OR host LIKE '%.example.net' THEN
+                    CASE WHEN path LIKE '/en/%' THEN 'example.net/en/' WHEN path LIKE '/%' THEN 'net/' END
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%'
+                    THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+            list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+                lambda s: regexp_replace(s, '[0-9]+', '*', 'g')) AS shape
+        FROM parts
+    ),
+    rows_ AS (
+        SELECT page_id, host, path, rule, shape[1] AS s1, shape[2] AS s2, shape[3] AS s3,
+            len(shape) > 3 AS more,
+            CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+                WHEN rule IS NOT NULL THEN 'allow' END AS by_rule
+        FROM ruled
+    ),
+    shapes AS (
+        SELECT host, s1, s2, s3, more, count(*) AS n, count(by_rule) AS labelled,
+            count(*) FILTER (by_rule = 'block') AS blocked
+        FROM rows_ GROUP BY ALL
+    ),
+    branch1 AS (
+        SELECT host, s1, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
+        FROM shapes WHERE s1 IS NOT NULL GROUP BY ALL
+    ),
+    whole1 AS (
+        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
+        FROM branch1 WINDOW w AS (PARTITION BY host)
+    ),
+    new1 AS (
+        SELECT host, s1, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
+            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s1 END AS t1
+        FROM whole1
+    ),
+    tree1 AS (SELECT s.*, t1 FROM shapes AS s LEFT JOIN new1 USING (host, s1)),
+    branch2 AS (
+        SELECT host, t1, s2, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
+        FROM tree1 WHERE s2 IS NOT NULL GROUP BY ALL
+    ),
+    whole2 AS (
+        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
+        FROM branch2 WINDOW w AS (PARTITION BY host, t1)
+    ),
+    new2 AS (
+        SELECT host, t1, s2, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
+            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s2 END AS t2
+        FROM whole2
+    ),
+    tree2 AS (SELECT s.*, t2 FROM tree1 AS s LEFT JOIN new2 USING (host, t1, s2)),
+    branch3 AS (
+        SELECT host, t1, t2, s3, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
+        FROM tree2 WHERE s3 IS NOT NULL GROUP BY ALL
+    ),
+    whole3 AS (
+        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
+        FROM branch3 WINDOW w AS (PARTITION BY host, t1, t2)
+    ),
+    new3 AS (
+        SELECT host, t1, t2, s3, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
+            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s3 END AS t3
+        FROM whole3
+    ),
+    tree3 AS (SELECT s.*, t3 FROM tree2 AS s LEFT JOIN new3 USING (host, t1, t2, s3)),
+    judged AS (
+        SELECT *,
+            sum(labelled) OVER t AS tl, sum(blocked) OVER t AS tb,
+            sum(labelled) OVER f AS fl, sum(blocked) OVER f AS fb,
+            coalesce(sum(blocked) OVER () / nullif(sum(labelled) OVER (), 0), 0) AS overall
+        FROM tree3
+        WINDOW t AS (PARTITION BY host, t1, t2, t3, more), f AS (PARTITION BY s1)
+    )
+    SELECT r.page_id, r.host, r.path, r.rule,
+        coalesce(r.by_rule, CASE WHEN (tb + 4.0 * ((fb + 4.0 * overall) / (fl + 4.0))) / (tl + 4.0) >= 0.5
+            THEN 'block' ELSE 'allow' END) AS verdict
+    FROM rows_ AS r JOIN judged AS j
+        ON r.host = j.host AND r.s1 IS NOT DISTINCT FROM j.s1 AND r.s2 IS NOT DISTINCT FROM j.s2
+        AND r.s3 IS NOT DISTINCT FROM j.s3 AND r.more = j.more
+"""
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
+    "op6_url_filter": URL_FILTER,
     "op9_top_k": TOP_K,
 }
