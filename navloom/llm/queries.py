@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, token_counts, topk, toxicity, url_filter
+from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, toxicity, url_filter
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -56,6 +56,16 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_texts(spark, folder)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.judge(read(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -88,6 +98,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
