@@ -189,14 +189,16 @@ def return_histogram(
     )
 
 
-def top_of_month(top: DataFrame, month: str | datetime.date, limit: int = 10) -> DataFrame:
-    """First ``limit`` ranks of a month, by rank."""
-    n = checked_limit(limit)
+def top_of_month(
+    top: DataFrame, month: str | datetime.date, limit: int = 10, most: int = TOP_N
+) -> DataFrame:
+    """First ``limit`` ranks of a month, by rank; ``most`` is the size of the ranking."""
+    n = checked_limit(limit, most)
     return _of_month(top, as_month(month)).filter(F.col("rank") <= n).orderBy("rank")
 
 
-def top_of_newest_month(top: DataFrame, limit: int = 10) -> DataFrame:
-    n = checked_limit(limit)
+def top_of_newest_month(top: DataFrame, limit: int = 10, most: int = TOP_N) -> DataFrame:
+    n = checked_limit(limit, most)
     newest = F.broadcast(newest_month(top))
     return top.join(newest, "month", "left_semi").filter(F.col("rank") <= n).orderBy("rank")
 
@@ -241,8 +243,13 @@ def class_search(
 
 
 def first_subclasses(fact: DataFrame) -> DataFrame:
-    """Per class the subclass with the earliest month, the least by name among equals."""
-    return fact.groupBy("class_id").agg(
+    """Per class the subclass with the earliest month, the least by name among equals.
+
+    Facts are combined to one row per series first, in hash aggregation; the minimum of
+    pairs, which sorts, then runs on those.
+    """
+    series = fact.groupBy(*SERIES).agg(F.min("month").alias("month"))
+    return series.groupBy("class_id").agg(
         F.min(F.struct("month", "subclass_id"))["subclass_id"].alias("subclass_id")
     )
 
@@ -250,7 +257,7 @@ def first_subclasses(fact: DataFrame) -> DataFrame:
 def class_history(
     fact: DataFrame, class_id: str | None = None, subclass_id: str | None = None
 ) -> DataFrame:
-    """Monthly series of a class (of every class without ``class_id``).
+    """Monthly series of a class in order of month, or of every class, unordered.
 
     Without ``subclass_id`` a class is represented by its first subclass.
     """
@@ -259,7 +266,7 @@ def class_history(
         rows = rows.filter(F.col("subclass_id") == subclass_id)
     else:
         rows = rows.join(first_subclasses(rows), SERIES, "left_semi")
-    return rows.select(
+    history = rows.select(
         *SERIES,
         "class_type",
         "month",
@@ -268,4 +275,5 @@ def class_history(
         "obs_days",
         "month_end_net_assets",
         "month_end_holders",
-    ).orderBy(*SERIES, "month")
+    )
+    return history if class_id is None else history.orderBy(*SERIES, "month")

@@ -19,6 +19,10 @@ from navloom.functions.measures import (
 
 SERIES = ["class_id", "subclass_id"]
 BLOCK = [*SERIES, "month"]
+#: What a report holds besides its series and day.
+VALUES = ["class_type", "unit_value", "net_assets", "holders", "inflow", "outflow"]
+#: What describes a month as its latest known value.
+DESCRIBING = ["class_type", "net_assets", "holders"]
 DENSE_MONTH = 10_000_000
 SLICE_BITS = 28
 COPIES_PER_CHUNK = 1_000_000
@@ -28,8 +32,10 @@ def row_order() -> Column:
     """Position of a report in its series as one long: the day, then a hash.
 
     The hash only decides between reports of one series on one day, whose order
-    is not given by the data; it makes reruns and retried tasks agree. Being a
-    long, the position keeps ``max_by`` in hash aggregation.
+    is not given by the data; it makes reruns and retried tasks agree. Reports that
+    share it agree in all that a position looks up (quote, type, net assets, holders),
+    and :func:`_lag_with_carried` orders them by their values. Being a long, the
+    position keeps ``max_by`` in hash aggregation.
     """
     tie = F.xxhash64("class_type", "unit_value", "net_assets", "holders")
     return F.shiftleft(F.unix_date("as_of").cast("bigint"), 40).bitwiseOR(
@@ -103,8 +109,12 @@ def daily_returns(
 
 
 def _lag_with_carried(reports: DataFrame, carried: DataFrame, group: list[str]) -> DataFrame:
-    """Lag within groups; ``carried`` rows have no ``row_order`` and come first."""
-    in_group = Window.partitionBy(*group).orderBy(F.asc_nulls_first("row_order"))
+    """Lag within groups; ``carried`` rows have no ``row_order`` and come first.
+
+    The values themselves come last in the order: reports of one day that differ in flows
+    only share ``row_order``, and its hash is short.
+    """
+    in_group = Window.partitionBy(*group).orderBy(F.asc_nulls_first("row_order"), *VALUES)
     return (
         reports.unionByName(carried, allowMissingColumns=True)
         .withColumn("previous_unit_value", F.lag("unit_value").over(in_group))
@@ -206,6 +216,8 @@ def month_rollup(staged: DataFrame) -> DataFrame:
         F.max(order).alias("last_order"),
         F.min_by("unit_value", order).alias("first_unit_value"),
         F.max_by("unit_value", order).alias("unit_value"),
+        F.count("class_type").alias("class_type_known"),
+        *[F.count(name).alias(f"{name}_known") for name in ("net_assets", "holders")],
         *_latest_columns(["net_assets", "holders"], order),
     )
     kind, last = F.col("class_type"), F.col("last_order")
@@ -220,6 +232,7 @@ def month_rollup(staged: DataFrame) -> DataFrame:
             F.max_by("unit_value", "last_order").alias("unit_value"),
             latest(kind, last).alias("class_type"),
             latest_order(kind, last).alias("class_type_order"),
+            *[F.sum(f"{name}_known").alias(f"{name}_known") for name in DESCRIBING],
             *_latest_again(["net_assets", "holders"], with_order=True),
         )
     )
@@ -251,7 +264,9 @@ def returns_of_rollup(rollup: DataFrame) -> DataFrame:
     ).filter(F.col("obs_days") > 0)
 
     def described(name: str) -> Column:
-        only_on_first_row = first & (F.col(f"{name}_order") == F.col("first_order"))
+        # The latest known value is of the first order, and no copy of that report has it.
+        on_first = F.col(f"{name}_order") == F.col("first_order")
+        only_on_first_row = first & on_first & (F.col(f"{name}_known") == 1)
         return F.when(~F.coalesce(only_on_first_row, F.lit(False)), F.col(name))
 
     start = F.when(first, F.col("first_unit_value")).otherwise(F.col("opening"))
@@ -260,7 +275,7 @@ def returns_of_rollup(rollup: DataFrame) -> DataFrame:
         described("class_type").alias("class_type"),
         "month",
         "obs_days",
-        (F.col("unit_value") / start - 1).alias("month_return"),
+        change_ratio(F.col("unit_value"), start).alias("month_return"),
         described("net_assets").alias("month_end_net_assets"),
         described("holders").alias("month_end_holders"),
     )

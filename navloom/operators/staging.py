@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navloom.fixed_values import RAW_TO_STAGED
+from navloom.fixed_values import MISSING_CELLS, RAW_TO_STAGED
 
 
 def coerce_reports(raw: DataFrame) -> DataFrame:
-    """Text columns of a report file to their types; what cannot be read becomes null."""
+    """Text columns of a report file to their types; what cannot be read becomes null.
+
+    Cells that stand for a missing value are null in every column, whichever reader the
+    text came from.
+    """
     kinds = {name: kind for name, (_, kind) in RAW_TO_STAGED.items()}
     numbers = [name for name, kind in kinds.items() if kind in ("double", "bigint")]
     # A column of its own per parsed number, since each is looked at more than once.
@@ -44,7 +48,7 @@ def stage_reports(raw: DataFrame) -> DataFrame:
 def _coerced(name: str, kind: str) -> Column:
     text = F.col(name)
     if kind == "string":
-        return text
+        return F.when(~text.isin(MISSING_CELLS), text)
     if kind == "date":
         # A cast reads ISO days faster than a pattern does, but takes more forms.
         return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from navloom.fixed_values import MIN_DAYS, MIN_HOLDERS, MIN_NET_ASSETS, TOP_N
+from navloom.fixed_values import MIN_DAYS, MIN_HOLDERS, MIN_NET_ASSETS, RAW_TO_STAGED, TOP_N
 from navloom.operators.marts import dimension_of_rollup, monthly_fact, top_by_month
 from navloom.operators.returns import month_rollup, returns_of_rollup
 from navloom.sources.lake import stored_files
@@ -62,7 +63,20 @@ def store(table: DataFrame, path: str, by: str | None = None) -> DataFrame:
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in MARTS}
+    schemas = _schemas(spark)
+    return {
+        name: spark.read.schema(schemas[name]).parquet(f"{root}/{name}") for name in MARTS
+    }
+
+
+def _schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Those of marts over no reports: a table without rows may have no file to tell."""
+    columns = ", ".join(f"{name} {kind}" for name, kind in RAW_TO_STAGED.values())
+    rollup = month_rollup(spark.createDataFrame([], columns))
+    dimension = dimension_of_rollup(rollup)
+    fact = monthly_fact(returns_of_rollup(rollup), dimension)
+    tables = {"dimension": dimension, "fact": fact, "top": top_by_month(fact)}
+    return {name: table.schema for name, table in tables.items()}
 
 
 def publish(marts: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:

@@ -96,3 +96,17 @@ def test_medians_hold_no_group_in_one_buffer(spark, small_fact):
 
     plan = plan_of(reports.month_kpis(small_fact, default_benchmark(spark)))
     assert "median(" not in plan and re.search(r"\bpercentile\(", plan) is None
+
+
+def test_history_of_all_classes_is_not_sorted_as_a_whole(small_fact):
+    plan = plan_of(reports.class_history(small_fact))
+    assert "rangepartitioning" not in plan
+    # Facts are combined to one row per series by hash before anything sorts them.
+    assert "HashAggregate" in plan[plan.rindex("SortAggregate") :]
+
+
+def test_facts_do_not_move_for_the_check_of_the_ranking(spark, small_fact):
+    from navloom.operators import quality
+
+    plan = plan_of(quality.ranked_without_fact(top_by_month(small_fact), small_fact))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

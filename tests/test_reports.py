@@ -147,7 +147,7 @@ def test_history_takes_the_first_subclass(make_fact):
         ]
     )
     whole = [(r.class_id, r.subclass_id, r.month.month) for r in reports.class_history(fact).collect()]
-    assert whole == [("a", "x", 1), ("a", "x", 3), ("b", "z", 1)]
+    assert sorted(whole) == [("a", "x", 1), ("a", "x", 3), ("b", "z", 1)]
     one = reports.class_history(fact, "a").collect()
     assert [r.month_return for r in one] == [0.3, 0.4]
     assert one[0].month_end_net_assets is None and one[0].month_end_holders is None

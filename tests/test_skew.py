@@ -59,3 +59,28 @@ def test_hot_copies_of_one_report(spark, make_staged):
     monthly = {r.class_id: r for r in returns.monthly_returns(staged).collect()}
     assert (monthly["hot"].obs_days, monthly["hot"].month_return) == (49_999, 0.0)
     assert monthly["a"].month_return == pytest.approx(2.0 / 1.1 - 1)
+    # The copies but the first describe the month.
+    assert (monthly["hot"].month_end_net_assets, monthly["hot"].class_type) == (1e6, "FIF")
+
+
+def test_copies_as_only_reports_describe_their_month(make_staged):
+    once = make_staged([("a", None, "2026-01-05", 3.0), ("b", None, "2026-01-05", 2.0)])
+    staged = once.unionByName(once.filter("class_id = 'a'"))
+    straight = returns.monthly_returns(staged).collect()
+    compounded = returns.compound_daily(returns.daily_returns(staged)).collect()
+    assert [r.asDict() for r in straight] == [r.asDict() for r in compounded]
+    assert [(r.class_id, r.class_type, r.month_end_holders) for r in straight] == [("a", "FIF", 10)]
+
+
+@pytest.mark.parametrize("dense", [2, 1000])
+def test_order_of_reports_that_differ_in_flows_only(spark, make_staged, dense):
+    rows = make_staged([("a", None, "2026-01-04", 1.0), ("a", None, "2026-01-05", 2.0)])
+    flows = rows.filter("unit_value = 2.0").drop("inflow").selectExpr(
+        "*", "explode(array(3.0D, 0.0D, 2.0D, 1.0D)) AS inflow"
+    )
+    staged = rows.filter("unit_value = 1.0").unionByName(flows)
+    firsts = set()
+    for parts in (1, 3, 4):
+        daily = returns.daily_returns(staged.repartition(parts), dense_month=dense)
+        firsts.add(daily.filter("previous_unit_value = 1.0").first().inflow)
+    assert firsts == {0.0}
