@@ -11,6 +11,7 @@ from navloom.sources.archives import (
     archive_files,
     archive_rows,
     archive_status,
+    newest_sound,
     readable,
 )
 from navloom.sources.lake import lake_months, write_lake
@@ -18,35 +19,62 @@ from navloom.sources.shared import new_folder
 
 
 def ingest_archives(
-    spark: SparkSession, source: str, lake: str, skip_present: bool = True
+    spark: SparkSession,
+    source: str,
+    lake: str,
+    skip_present: bool = True,
+    log: str | None = None,
 ) -> DataFrame:
     """Bring the archives below ``source`` into ``lake`` and return their status.
 
-    A month already in the lake is skipped, unless ``skip_present`` is off, when it
-    is replaced. A broken archive becomes a status row with its error and the others
-    go on; ``failed`` says whether any broke.
+    A month has the rows of one archive: the newest sound one. A month already in the lake
+    is left as it is, unless ``skip_present`` is off, when it is replaced. Every archive gets
+    a status row, stored in ``log`` (default: a new folder): ``ok`` is in the lake now,
+    ``present`` was not looked at, ``superseded`` is older than another of its month, and
+    ``failed`` could not be read. Broken archives do not stop the others.
     """
     files = archive_files(spark, source)
+    present = None
     if skip_present:
         # Labels are four and two digits, so there are never many of them.
-        present = F.broadcast(lake_months(spark, lake))
-        files = files.join(present, "year_month", "left_anti")
-    return ingest_files(files, lake)
+        months = F.broadcast(lake_months(spark, lake))
+        present = files.join(months, "year_month", "left_semi")
+        files = files.join(months, "year_month", "left_anti")
+    return ingest_files(files, lake, log or new_folder(spark, "ingest-status"), present)
 
 
-def ingest_files(files: DataFrame, lake: str) -> DataFrame:
+def ingest_files(
+    files: DataFrame,
+    lake: str,
+    log: str,
+    present: DataFrame | None = None,
+    earlier: DataFrame | None = None,
+) -> DataFrame:
     """:func:`ingest_archives` for given rows as ``archive_files`` makes them.
 
     First all archives are read through and their status is stored, then the rows of
-    the sound ones are written, so that half a broken archive never reaches the lake.
+    the chosen ones are written, so that half a broken archive never reaches the lake.
+    ``earlier`` is the status of what the months of the lake hold.
     """
     spark = files.sparkSession
-    log = new_folder(spark, "ingest-status")
-    archive_status(files).write.parquet(log)
+    status = newest_sound(archive_status(files), earlier)
+    if present is not None:
+        status = status.unionByName(
+            present.select(
+                "path",
+                "year_month",
+                "modified",
+                F.lit(None).cast("boolean").alias("ok"),
+                F.lit(None).cast("bigint").alias("rows"),
+                F.lit(None).cast("string").alias("error"),
+                F.lit("present").alias("state"),
+            )
+        )
+    status.write.mode("overwrite").parquet(log)
     status = spark.read.schema(STATUS_SCHEMA).parquet(log)
     write_lake(coerce_reports(archive_rows(readable(files, status))), lake)
     return status
 
 
 def failed(status: DataFrame) -> DataFrame:
-    return status.filter(~F.col("ok")).select("path", "year_month", "error")
+    return status.filter("state = 'failed'").select("path", "year_month", "error")

@@ -1,19 +1,21 @@
 """Monthly ZIP archives of delimited report files, read in one job over all of them.
 
-The only Python inside a job of this package is here: Spark has no ZIP reader.
-A task opens one archive at a time and streams its report file in Arrow batches.
+The only Python inside a job of this package is here: Spark has no ZIP reader. Spark lists
+the archives and hands out their paths; a task opens one archive at a time where it lies
+and streams its report file in Arrow batches, so archives may be of any size.
 """
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterable, Iterator
 from csv import reader
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import csv
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import csv, fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navloom.fixed_values import MISSING_CELLS, RAW_COLUMNS, REPORT_CHARSET, REPORT_SEPARATOR
@@ -21,26 +23,21 @@ from navloom.functions.calendar import label_from_period
 from navloom.sources.delimited import require_columns
 
 BLOCK_BYTES = 4 << 20
-LARGE_BYTES = 256_000_000
-MAX_BYTES = 2_000_000_000
 ROWS_SCHEMA = ", ".join(["year_month string", *[f"{name} string" for name in RAW_COLUMNS]])
-STATUS_SCHEMA = "path string, year_month string, ok boolean, rows bigint, error string"
-STATUS_ARROW = pa.schema(
-    [
-        ("path", pa.string()),
-        ("year_month", pa.string()),
-        ("ok", pa.bool_()),
-        ("rows", pa.int64()),
-        ("error", pa.string()),
-    ]
+STATUS_SCHEMA = (
+    "path string, year_month string, modified timestamp, ok boolean, rows bigint,"
+    " error string, state string"
+)
+INSPECTED_ARROW = pa.schema(
+    [("path", pa.string()), ("ok", pa.bool_()), ("rows", pa.int64()), ("error", pa.string())]
 )
 
 
 def archive_files(spark: SparkSession, source: str) -> DataFrame:
-    """Archives below ``source``: ``path``, ``year_month`` from the name, ``bytes``, ``content``.
+    """Archives below ``source``: ``path``, ``year_month`` from the name, ``modified``, ``bytes``.
 
-    Scan tasks hold ``spark.sql.files.maxPartitionBytes`` of archives, or one larger.
-    Filters on ``bytes`` reach the scan, which then does not open the others.
+    Only the listing is read. Scan tasks get ``spark.sql.files.maxPartitionBytes`` of
+    archives, or one larger.
     """
     files = (
         spark.read.format("binaryFile")
@@ -56,60 +53,77 @@ def with_period(files: DataFrame) -> DataFrame:
     period = F.regexp_extract("path", r"(\d{6})\.zip$", 1)
     label = F.when(period != "", label_from_period(period))
     return files.select(
-        "path", label.alias("year_month"), F.col("length").alias("bytes"), "content"
+        "path",
+        label.alias("year_month"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("bytes"),
     )
 
 
 def archive_status(files: DataFrame) -> DataFrame:
     """One row per archive: readable or why not, and its number of report rows."""
-    inspected = _openable(files).mapInArrow(_inspect, STATUS_SCHEMA)
-    too_large = files.filter(F.col("bytes") > MAX_BYTES).select(
-        "path",
-        "year_month",
-        F.lit(False).alias("ok"),
-        F.lit(0).cast("bigint").alias("rows"),
-        F.lit(f"larger than {MAX_BYTES} bytes").alias("error"),
-    )
-    return inspected.unionByName(too_large)
+    checked = files.select("path", "year_month", "modified")
+    # One Python pass: what it adds comes back beside the columns that it gets.
+    schema = "path string, year_month string, modified timestamp, ok boolean, rows bigint, error string"
+    return checked.mapInArrow(_inspect, schema)
 
 
-def archive_rows(files: DataFrame) -> DataFrame:
-    """Report rows of all archives as text; an unreadable archive fails the job.
+def newest_sound(status: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Adds ``state``: ``ok`` for the newest sound archive of each month, ``failed`` for
+    unsound ones, and ``superseded`` for the others.
 
-    An archive is read by one task. The rows of large ones are then spread over tasks;
-    those of the others stay where they are.
+    Newest is by time of modification, then path. ``earlier`` are the archives of former
+    runs that months now hold; an archive older than that of its month is superseded too.
     """
-    small = files.filter(F.col("bytes") <= LARGE_BYTES)
-    large = files.filter(F.col("bytes") > LARGE_BYTES)
-    spread = _openable(large).mapInArrow(_extract, ROWS_SCHEMA).hint("rebalance", "year_month")
-    return _openable(small).mapInArrow(_extract, ROWS_SCHEMA).unionByName(spread)
+    columns = ["path", "year_month", "modified", "ok"]
+    sound = status.select(*columns, F.lit(True).alias("now")).filter("ok")
+    if earlier is not None:
+        sound = sound.unionByName(earlier.select(*columns, F.lit(False).alias("now")))
+    newest = Window.partitionBy("year_month").orderBy(F.desc("modified"), F.desc("path"), F.desc("now"))
+    chosen = sound.withColumn("place", F.row_number().over(newest))
+    chosen = chosen.filter("place = 1 AND now").select("path", F.lit("ok").alias("chosen"))
+    state = F.when(~F.col("ok"), "failed").otherwise(F.coalesce("chosen", F.lit("superseded")))
+    return status.join(chosen, "path", "left").withColumn("state", state).drop("chosen")
 
 
-def _openable(files: DataFrame) -> DataFrame:
-    """What a task gets; the binary file source ends at 2 GB per file."""
-    return files.filter(F.col("bytes") <= MAX_BYTES).select("path", "year_month", "content")
+def archive_rows(files: DataFrame) -> DataFrame:
+    """Report rows of all archives as text; an unreadable archive fails the job.
+
+    An archive is read by one task. Its rows are then dealt out by month, large months to
+    several tasks.
+    """
+    rows = files.select("path", "year_month").mapInArrow(_extract, ROWS_SCHEMA)
+    return rows.hint("rebalance", "year_month")
 
 
 def read_archives(spark: SparkSession, source: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the readable archives below ``source``, and the status of all.
+    """Rows of the newest sound archive of each month below ``source``, and the status of all.
 
     Callers that need both should store the status first, see ``plans.ingest``.
     """
     files = archive_files(spark, source)
-    status = archive_status(files)
+    status = newest_sound(archive_status(files))
     return archive_rows(readable(files, status)), status
 
 
 def readable(files: DataFrame, status: DataFrame) -> DataFrame:
-    return files.join(status.filter("ok").select("path"), "path", "left_semi")
+    return files.join(status.filter("state = 'ok'").select("path"), "path", "left_semi")
+
+
+def open_archive(path: str) -> BinaryIO:
+    """A seekable file from a path as Spark lists it (``file:/...``, ``hdfs://...``, ...)."""
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    where, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    return where.open_input_file(inner)
 
 
-def _batches(content: bytes) -> Iterator[pa.RecordBatch]:
+def _batches(file: BinaryIO) -> Iterator[pa.RecordBatch]:
     """Text of the required columns of the first report file in an archive.
 
     Rows that end early are filled with nulls; rows that are too long are an error.
     """
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+    with zipfile.ZipFile(file) as archive:
         members = [name for name in archive.namelist() if name.endswith(".csv")]
         if not members:
             raise ValueError("no CSV file in the archive")
@@ -164,29 +178,32 @@ def _filled(lines: list[str], header: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=RAW_COLUMNS)
 
 
-def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str | None, bytes]]:
-    for batch in batches:
-        for path, month, content in zip(*(batch.column(i) for i in range(3))):
-            yield path.as_py(), month.as_py(), content.as_py()
-
-
 def _inspect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for path, month, content in _archives(batches):
-        rows, error = 0, None
-        try:
-            if month is None:
-                raise ValueError("no period YYYYMM in the file name")
-            rows = sum(batch.num_rows for batch in _batches(content))
-        except Exception as problem:  # any broken archive is a result here
-            error = f"{type(problem).__name__}: {problem}"
-        status = {"path": path, "year_month": month, "ok": error is None, "rows": rows}
-        yield pa.RecordBatch.from_pylist([{**status, "error": error}], STATUS_ARROW)
+    for batch in batches:
+        found = []
+        for path, month in zip(batch.column("path").to_pylist(), batch.column("year_month").to_pylist()):
+            rows, error = 0, None
+            try:
+                if month is None:
+                    raise ValueError("no period YYYYMM in the file name")
+                with open_archive(path) as file:
+                    rows = sum(part.num_rows for part in _batches(file))
+            except Exception as problem:  # any broken archive is a result here
+                error = f"{type(problem).__name__}: {problem}"
+            found.append({"path": path, "ok": error is None, "rows": rows, "error": error})
+        checked = pa.RecordBatch.from_pylist(found, INSPECTED_ARROW)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *checked.columns[1:]],
+            names=[*batch.schema.names, *INSPECTED_ARROW.names[1:]],
+        )
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, month, content in _archives(batches):
-        for batch in _batches(content):
-            label = pa.repeat(pa.scalar(month, pa.string()), batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [label, *batch.columns], names=["year_month", *RAW_COLUMNS]
-            )
+    for batch in batches:
+        for path, month in zip(batch.column("path").to_pylist(), batch.column("year_month").to_pylist()):
+            with open_archive(path) as file:
+                for part in _batches(file):
+                    label = pa.repeat(pa.scalar(month, pa.string()), part.num_rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [label, *part.columns], names=["year_month", *RAW_COLUMNS]
+                    )

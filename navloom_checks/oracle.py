@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from navloom.fixed_values import NO_TYPE_LABEL
+
 RAW = """
 raw AS (
   SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS "TP_FUNDO_CLASSE",
@@ -304,6 +306,10 @@ SQL: dict[str, str] = {
             {r("inflow")}, {r("outflow")} FROM daily""",
     ),
     "monthly_return": select(MONTHLY, f"{MONTHLY_SELECT} FROM monthly"),
+    "monthly_return_of_copies": select(
+        MONTHLY.replace("FROM staged\n", "FROM (FROM staged UNION ALL FROM staged)\n"),
+        f"{MONTHLY_SELECT} FROM monthly",
+    ),
     "monthly_return_from_daily": select(MONTHLY, f"{MONTHLY_SELECT} FROM monthly"),
     "class_dimension": select(
         STAGED + DIMENSION,
@@ -385,18 +391,40 @@ spine AS (SELECT DISTINCT w.month, s.bin FROM within w, (SELECT UNNEST(RANGE(1,
     "class_history": select(HISTORY, HISTORY_SELECT),
     "series_document": select(
         HISTORY,
-        f"""SELECT class_id, subclass_id, MIN(class_type) AS class_type, COUNT(*) AS months,
-            STRING_AGG(STRFTIME(month, '%Y-%m'), ',' ORDER BY month) AS month_list,
-            {r("ARG_MIN(month_return, month) * 100", "first_return_pct")},
-            {r("ARG_MAX(month_return, month) * 100", "last_return_pct")},
-            ARG_MAX(month_end_holders, month) AS last_holders
-            FROM history GROUP BY class_id, subclass_id""",
+        f"""SELECT class_id, subclass_id,
+            MIN(class_type) OVER (PARTITION BY class_id, subclass_id) AS document_type,
+            CAST(ROW_NUMBER() OVER (PARTITION BY class_id, subclass_id ORDER BY month) - 1
+                 AS INTEGER) AS place,
+            month, {r("month_return")}, {r("month_return * 100", "return_pct")}, obs_days,
+            {r("month_end_net_assets")}, month_end_holders FROM history""",
     ),
     "ranking_document": select(
         TOP,
-        f"""SELECT month, COUNT(*) AS total,
-            STRING_AGG(class_id, ',' ORDER BY rank) AS class_ids,
-            {r("ARG_MIN(return_pct, rank)", "best_return_pct")} FROM top GROUP BY month""",
+        f"""SELECT month, COUNT(*) OVER (PARTITION BY month) AS total,
+            CAST(ROW_NUMBER() OVER (PARTITION BY month ORDER BY rank) - 1 AS INTEGER) AS place,
+            rank, class_id, class_type, {r("return_pct")}, obs_days,
+            {r("month_end_net_assets")}, month_end_holders FROM top""",
+    ),
+    "top_of_month": select(TOP, f"{TOP_SELECT} WHERE month = DATE '1997-03-01' AND rank <= 5"),
+    "history_of_class": select(
+        HISTORY,
+        f"""{HISTORY_SELECT.replace("FROM history", ", 'class' AS asked FROM history")}
+            WHERE class_id = '7' UNION ALL
+            {HISTORY_SELECT.replace("FROM history", ", 'subclass' AS asked FROM fact")}
+            WHERE class_id = '7' AND subclass_id = 'F'""",
+    ),
+    "kpis_of_empty_month": """SELECT DATE '2031-05-01' AS month, 1.1::DOUBLE AS benchmark_pct,
+        CAST(COUNT(*) AS BIGINT) AS series_count, 0.0::DOUBLE AS net_assets,
+        0.0::DOUBLE AS median_return_pct, 0.0::DOUBLE AS share_above_pct,
+        -1.1::DOUBLE AS median_delta_pct, -50.0::DOUBLE AS share_delta_pct
+        FROM lineitem WHERE l_shipdate >= DATE '2031-05-01' AND l_shipdate < DATE '2031-06-01'""",
+    "untyped_series": select(
+        CUMULATIVE,
+        f"""SELECT class_id, subclass_id,
+            CASE WHEN CAST(class_id AS BIGINT) % 2 = 0 THEN MIN(class_type)
+                 ELSE '{NO_TYPE_LABEL}' END AS class_type, COUNT(*) AS months,
+            {r("ARG_MAX(cumulative, month) * 100", "cumulative_pct", 4)}
+            FROM cumulated GROUP BY class_id, subclass_id""",
     ),
     "benchmark_delta": select(
         TOP + RATES,
@@ -461,9 +489,29 @@ spine AS (SELECT DISTINCT w.month, s.bin FROM within w, (SELECT UNNEST(RANGE(1,
     ),
     "archive_status": select(
         RAW,
-        """SELECT STRFTIME("DT_COMPTC", '%Y-%m') AS year_month, TRUE AS ok, COUNT(*) AS "rows"
+        """SELECT STRFTIME("DT_COMPTC", '%Y-%m') AS year_month,
+           CASE WHEN MIN("DT_COMPTC") < '1997-01-01' THEN 'present' ELSE 'ok' END AS state,
+           CASE WHEN MIN("DT_COMPTC") >= '1997-01-01' THEN TRUE END AS ok,
+           CASE WHEN MIN("DT_COMPTC") >= '1997-01-01' THEN COUNT(*) END AS "rows"
            FROM raw GROUP BY STRFTIME("DT_COMPTC", '%Y-%m')""",
     ),
+    "archive_replaced": select(
+        RAW, f"""{RAW_SELECT}, STRFTIME("DT_COMPTC", '%Y-%m') AS year_month FROM raw"""
+    ),
+    "archive_failures": select(
+        RAW,
+        """SELECT STRFTIME("DT_COMPTC", '%Y-%m') AS year_month,
+           CASE WHEN MIN(MONTH("DT_COMPTC")) % 3 = 0 THEN 'failed' ELSE 'ok' END AS state,
+           CASE WHEN MIN(MONTH("DT_COMPTC")) % 3 = 0 THEN 0 ELSE COUNT(*) END AS "rows",
+           MIN(MONTH("DT_COMPTC")) % 3 = 0 AS has_error,
+           CASE WHEN MIN(MONTH("DT_COMPTC")) % 3 = 0 THEN 0 ELSE COUNT(*) END AS in_lake
+           FROM raw GROUP BY STRFTIME("DT_COMPTC", '%Y-%m')""",
+    ),
+    "missing_cells": select(
+        RAW,
+        f"""{RAW_SELECT}, reader
+            FROM raw CROSS JOIN (SELECT UNNEST(['text', 'archive']) AS reader)""",
+    ),
     "lake_roundtrip": select(
         RAW, f"""{RAW_SELECT}, STRFTIME("DT_COMPTC", '%Y-%m') AS year_month FROM raw"""
     ),

@@ -8,8 +8,10 @@ per session and folder.
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyarrow import compute, csv
@@ -22,9 +24,9 @@ from navloom.functions.measures import surrogate_key_null_safe
 from navloom.operators import benchmark as bench
 from navloom.operators import documents, marts, quality, reports, returns
 from navloom.operators.staging import coerce_reports, stage_reports
-from navloom.plans.ingest import ingest_files
+from navloom.plans.ingest import ingest_archives
 from navloom.plans.warehouse import Ranking, build_marts, publish, store, table_inventory
-from navloom.sources import archives, delimited, lake
+from navloom.sources import delimited, lake
 from navloom.sources.lineitem_reports import lineitem_reports, orders_benchmark
 from navloom.sources.shared import new_folder
 
@@ -140,6 +142,13 @@ def monthly_return(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(returns.monthly_returns(stored_staged(spark, folder)))
 
 
+@query
+def monthly_return_of_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly returns of all reports twice: copies count as days without a change."""
+    reports_ = stored_staged(spark, folder)
+    return rounded(returns.monthly_returns(reports_.unionByName(reports_)))
+
+
 @query
 def monthly_return_from_daily(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(returns.compound_daily(daily(spark, folder)))
@@ -256,37 +265,52 @@ def class_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def series_document(spark: SparkSession, folder: str) -> DataFrame:
-    """The nested series of every class, shown by its size, ends and month list."""
-    history = reports.class_history(fact(spark, folder))
-    nested = documents.series_documents(history)
-    months = F.transform("series", lambda r: F.date_format(r["month"], "yyyy-MM"))
-    return rounded(
-        nested.select(
-            "class_id",
-            "subclass_id",
-            "class_type",
-            F.size("series").cast("bigint").alias("months"),
-            F.array_join(months, ",").alias("month_list"),
-            F.element_at("series", 1)["return_pct"].alias("first_return_pct"),
-            F.element_at("series", -1)["return_pct"].alias("last_return_pct"),
-            F.element_at("series", -1)["month_end_holders"].alias("last_holders"),
-        )
+    """The nested series of every class, with all its records by their place."""
+    nested = documents.series_documents(reports.class_history(fact(spark, folder)))
+    records = nested.select(
+        "class_id", "subclass_id", F.col("class_type").alias("document_type"),
+        F.posexplode("series").alias("place", "record"),
     )
+    return rounded(records.select("class_id", "subclass_id", "document_type", "place", "record.*"))
 
 
 @query
 def ranking_document(spark: SparkSession, folder: str) -> DataFrame:
-    """The nested ranking of every month, shown by its size, order and best return."""
+    """The nested ranking of every month, with all its records by their place."""
     nested = documents.ranking_documents(top(spark, folder))
-    ids = F.transform("ranking", lambda r: r["class_id"])
-    return rounded(
-        nested.select(
-            "month",
-            "total",
-            F.array_join(ids, ",").alias("class_ids"),
-            F.element_at("ranking", 1)["return_pct"].alias("best_return_pct"),
-        )
+    records = nested.select("month", "total", F.posexplode("ranking").alias("place", "record"))
+    return rounded(records.select("month", "total", "place", "record.*"))
+
+
+@query
+def top_of_month(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(reports.top_of_month(top(spark, folder), "1997-03-01", 5))
+
+
+@query
+def history_of_class(spark: SparkSession, folder: str) -> DataFrame:
+    """One class by its first subclass, and by a subclass given."""
+    facts = fact(spark, folder)
+    first = reports.class_history(facts, "7").withColumn("asked", F.lit("class"))
+    given = reports.class_history(facts, "7", "F").withColumn("asked", F.lit("subclass"))
+    return rounded(first.unionByName(given))
+
+
+@query
+def kpis_of_empty_month(spark: SparkSession, folder: str) -> DataFrame:
+    rates = orders_benchmark(spark, folder)
+    return rounded(reports.month_kpis(fact(spark, folder), rates, MIN_DAYS, "2031-05-01"))
+
+
+@query
+def untyped_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of series of which every other one has no type."""
+    facts = fact(spark, folder).withColumn(
+        "class_type", F.when(F.col("class_id").cast("long") % 2 == 0, F.col("class_type"))
     )
+    running = bench.cumulative_vs_benchmark(facts, orders_benchmark(spark, folder))
+    kpis = bench.series_kpis(running)
+    return rounded(kpis.select("class_id", "subclass_id", "class_type", "months", "cumulative_pct"), 4)
 
 
 @query
@@ -362,20 +386,66 @@ def delimited_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def archive_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Reports packed into monthly archives, ingested, and read from the lake."""
-    packed = new_folder(spark, "archives")
-    packed_archives(labelled(spark, folder)).write.parquet(packed)
-    root = new_folder(spark, "lake")
-    ingest_files(spark.read.parquet(packed), root)
+    source, root = new_folder(spark, "archives"), new_folder(spark, "lake")
+    pack_archives(labelled(spark, folder), source)
+    ingest_archives(spark, source, root)
     return rounded(lake.read_lake(spark, root))
 
 
 @query
 def archive_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Readable archives and their rows, by month."""
-    status = archives.archive_status(packed_archives(labelled(spark, folder)))
-    return status.groupBy("year_month").agg(
-        F.bool_and("ok").alias("ok"), F.sum("rows").alias("rows")
+    """The status of monthly archives, some of which hold months that the lake has."""
+    source, root = new_folder(spark, "archives"), new_folder(spark, "lake")
+    reports_ = labelled(spark, folder)
+    lake.write_lake(reports_.filter("year_month < '1997-01'"), root, gather=True)
+    pack_archives(reports_, source)
+    return ingest_archives(spark, source, root).select("year_month", "state", "ok", "rows")
+
+
+@query
+def archive_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Two archives of each month; the lake has the rows of the newer one."""
+    source, root = new_folder(spark, "archives"), new_folder(spark, "lake")
+    reports_ = labelled(spark, folder)
+    pack_archives(reports_.filter("NR_COTST > 1"), f"{source}/z-first")
+    pack_archives(reports_, f"{source}/a-second")
+    ingest_archives(spark, source, root)
+    return rounded(lake.read_lake(spark, root))
+
+
+@query
+def archive_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third month's archive is cut short: its status, and the rows in the lake."""
+    source, root = new_folder(spark, "archives"), new_folder(spark, "lake")
+    pack_archives(labelled(spark, folder), source, broken=3)
+    status = ingest_archives(spark, source, root)
+    counts = lake.read_lake(spark, root).groupBy("year_month").agg(F.count("*").alias("in_lake"))
+    return status.join(counts, "year_month", "left").select(
+        "year_month", "state", "rows", F.col("error").isNotNull().alias("has_error"),
+        F.coalesce("in_lake", F.lit(0)).cast("bigint").alias("in_lake"),
+    )
+
+
+@query
+def missing_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids that are texts for a missing value, read as plain text and from archives."""
+    marked = labelled(spark, folder).withColumn(
+        "ID_SUBCLASSE",
+        F.coalesce("ID_SUBCLASSE", F.when(F.col("CNPJ_FUNDO_CLASSE") % 2 == 0, "NA").otherwise("n/a")),
+    )
+    path, source, root = (new_folder(spark, n) for n in ("delimited", "archives", "lake"))
+    (
+        marked.select(*RAW_COLUMNS)
+        .write.option("sep", REPORT_SEPARATOR)
+        .option("header", True)
+        .option("encoding", REPORT_CHARSET)
+        .csv(path)
     )
+    pack_archives(marked, source)
+    ingest_archives(spark, source, root)
+    plain = coerce_reports(delimited.scan_csv(spark, path)).withColumn("reader", F.lit("text"))
+    packed = lake.read_lake(spark, root).drop("year_month").withColumn("reader", F.lit("archive"))
+    return rounded(plain.unionByName(packed))
 
 
 @query
@@ -477,34 +547,50 @@ def negative_assets(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.failing_rows(staged(spark, folder), rule))
 
 
-def packed_archives(reports_: DataFrame) -> DataFrame:
-    """Monthly archives of report text, as rows like those of the binary file source.
+def pack_archives(reports_: DataFrame, folder: str, broken: int | None = None) -> None:
+    """One ZIP file per month below ``folder``; of every ``broken`` months one is cut short.
 
-    Every batch of rows becomes one archive per month in it. Tasks get ranges of months,
-    and of classes within a large month, which keeps that to few.
+    A task writes its months one after the other and holds one batch of rows.
     """
     text = (
         reports_.select("year_month", *[F.col(c).cast("string") for c in RAW_COLUMNS])
-        .repartitionByRange("year_month", "CNPJ_FUNDO_CLASSE")
+        .repartition("year_month")
         .sortWithinPartitions("year_month")
     )
-    files = text.mapInArrow(_pack, "path string, content binary")
-    return archives.with_period(files.withColumn("length", F.length("content").cast("bigint")))
+    target = folder.removeprefix("file:")
+    pack = partial(_pack, folder=target, broken=broken)
+    text.mapInArrow(pack, "path string").write.format("noop").mode("overwrite").save()
+
+
+def _pack(batches: Iterable[pa.RecordBatch], folder: str, broken: int | None) -> Iterator[pa.RecordBatch]:
+    month, archive, member, done = None, None, None, []
+    os.makedirs(folder, exist_ok=True)
+
+    def close() -> None:
+        if archive is None:
+            return
+        member.close()
+        archive.close()
+        path = archive.filename
+        if broken and int(month[-2:]) % broken == 0:
+            with open(path, "r+b") as file:
+                file.truncate(os.path.getsize(path) // 2)
+        done.append(path)
 
-
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for month in batch.column("year_month").unique().to_pylist():
-            rows = batch.filter(compute.field("year_month") == month).select(RAW_COLUMNS)
+        for label in batch.column("year_month").unique().to_pylist():
+            rows = batch.filter(compute.field("year_month") == label).select(RAW_COLUMNS)
+            new = label != month
+            if new:
+                close()
+                month, period = label, label.replace("-", "")
+                archive = zipfile.ZipFile(f"{folder}/reports_{period}.zip", "w", zipfile.ZIP_DEFLATED)
+                member = archive.open(f"reports_{period}.csv", "w")
             text = io.BytesIO()
             csv.write_csv(
-                rows, text, csv.WriteOptions(delimiter=REPORT_SEPARATOR, quoting_style="none",
-                                             quoting_header="none")
-            )
-            period = month.replace("-", "")
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(f"reports_{period}.csv", text.getvalue())
-            yield pa.RecordBatch.from_pydict(
-                {"path": [f"reports_{period}.zip"], "content": [buffer.getvalue()]}
+                rows, text, csv.WriteOptions(include_header=new, delimiter=REPORT_SEPARATOR,
+                                             quoting_style="none", quoting_header="none")
             )
+            member.write(text.getvalue())
+    close()
+    yield pa.RecordBatch.from_pydict({"path": pa.array(done, pa.string())})

@@ -35,28 +35,28 @@ def test_repeated_rates_do_not_multiply_rows(small_fact, rates):
 def test_ranking_against_the_benchmark(small_fact, rates):
     rows = bench.top_against_benchmark(top_by_month(small_fact), rates).collect()
     by_key = {(r.month.month, r["rank"]): r for r in rows}
-    assert by_key[4, 1].delta_pct == pytest.approx(0.5)
-    assert by_key[4, 2].delta_pct == pytest.approx(-0.5)
-    assert by_key[4, 1].chart_bound_pct == pytest.approx(3.75)
-    assert by_key[2, 1].chart_bound_pct == pytest.approx(1.5)
+    assert by_key[4, 1].delta_pct == pytest.approx(2.1)
+    assert by_key[4, 2].delta_pct == pytest.approx(-0.3)
+    assert by_key[4, 1].chart_bound_pct == pytest.approx(4.6)
+    assert by_key[2, 1].chart_bound_pct == pytest.approx(3.1)
 
 
 def test_cumulative_and_kpis(small_fact, rates):
     running = bench.cumulative_vs_benchmark(small_fact, rates)
-    rows = running.filter("class_id like '%01-01'").orderBy("month").collect()
-    fund = [1.012 - 1, 1.012 * 1.015 - 1, 1.012 * 1.015 * 1.02 - 1]
+    rows = running.filter("class_id = 'one'").orderBy("month").collect()
+    fund = [1.031 - 1, 1.031 * 1.014 - 1, 1.031 * 1.014 * 1.022 - 1]
     rate = [1.01 - 1, 1.01 * 1.011 - 1, 1.01 * 1.011 * 1.025 - 1]
     assert [r.cumulative for r in rows] == pytest.approx(fund)
     assert [r.benchmark_cumulative for r in rows] == pytest.approx(rate)
     assert rows[2].delta_cumulative_pp == pytest.approx((fund[2] - rate[2]) * 100)
     assert [r.month_position for r in rows] == ["above", "above", "below"]
-    kpis = {r.class_id[-2:]: r for r in bench.series_kpis(running).collect()}
-    first, second = kpis["01"], kpis["02"]
+    kpis = {r.class_id: r for r in bench.series_kpis(running).collect()}
+    first, second = kpis["one"], kpis["two"]
     assert first.months == 3 and second.months == 1
     assert first.cumulative_pct == pytest.approx(fund[2] * 100)
     assert first.delta_cumulative_pp == pytest.approx((fund[2] - rate[2]) * 100)
-    assert (first.best_month_pct, first.worst_month_pct) == pytest.approx((2.0, 1.2))
-    assert first.volatility_pct == pytest.approx(statistics.pstdev([1.2, 1.5, 2.0]))
+    assert (first.best_month_pct, first.worst_month_pct) == pytest.approx((3.1, 1.4))
+    assert first.volatility_pct == pytest.approx(statistics.pstdev([3.1, 1.4, 2.2]))
     assert second.volatility_pct == 0.0
     assert (first.verdict, second.verdict) == ("above", "above")
 
@@ -79,15 +79,15 @@ def test_series_without_a_type_gets_a_label(make_fact, rates):
 
 
 def test_documents(small_fact):
-    series = {r.class_id[-2:]: r for r in documents.series_documents(small_fact).collect()}
-    first = series["01"].series
+    series = {r.class_id: r for r in documents.series_documents(small_fact).collect()}
+    first = series["one"].series
     assert [r.month.month for r in first] == [2, 3, 4]
-    assert first[0].return_pct == pytest.approx(1.2)
-    assert len(series["02"].series) == 1
+    assert first[0].return_pct == pytest.approx(3.1)
+    assert len(series["two"].series) == 1
     ranking = {r.month.month: r for r in documents.ranking_documents(top_by_month(small_fact)).collect()}
     april = ranking[4]
     assert april.total == 2
-    assert [(r["rank"], r.class_id[-2:]) for r in april.ranking] == [(1, "02"), (2, "01")]
+    assert [(r["rank"], r.class_id) for r in april.ranking] == [(1, "two"), (2, "one")]
 
 
 def test_documents_keep_nulls(make_fact):

@@ -1,3 +1,6 @@
+import io
+import os
+
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -36,16 +39,16 @@ def test_valid_archive(spark, drop):
     assert len(found) == 3
     assert found[0].asDict() == {
         "year_month": "2026-04",
-        "TP_FUNDO_CLASSE": "CLASSES - FIF",
-        "CNPJ_FUNDO_CLASSE": "00.000.001/0001-01",
+        "TP_FUNDO_CLASSE": "KIND A",
+        "CNPJ_FUNDO_CLASSE": "alpha",
         "ID_SUBCLASSE": None,
-        "DT_COMPTC": day("2026-04-01"),
-        "VL_TOTAL": 1000.5,
-        "VL_QUOTA": 1.1,
-        "VL_PATRIM_LIQ": 950.0,
-        "CAPTC_DIA": 10.0,
-        "RESG_DIA": 5.0,
-        "NR_COTST": 100,
+        "DT_COMPTC": day("2026-04-07"),
+        "VL_TOTAL": 734.25,
+        "VL_QUOTA": 4.5,
+        "VL_PATRIM_LIQ": 701.0,
+        "CAPTC_DIA": 12.0,
+        "RESG_DIA": 0.5,
+        "NR_COTST": 17,
     }
     statistics = lake.batch_statistics(coerce_reports(rows)).first()
     assert (statistics["rows"], statistics["classes"]) == (3, 3)
@@ -102,44 +105,104 @@ def test_first_report_file_counts_and_large_files_stream(spark, drop, monkeypatc
     monkeypatch.setattr(archives, "BLOCK_BYTES", 1 << 12)
     line = "FIF;{0};;2026-04-01;1;1;1;1;1;{0}\n"
     body = HEADER + "\n" + "".join(line.format(n) for n in range(5000)) + "FIF;last;1\n"
-    batches = list(archives._batches(archive(body)))
+    batches = list(archives._batches(io.BytesIO(archive(body))))
     assert len(batches) > 10
     assert sum(b.num_rows for b in batches) == 5001
 
 
-def test_large_archives_are_spread_and_too_large_ones_reported(spark, drop, monkeypatch, tmp_path):
-    many = HEADER + "\n" + "".join(f"FIF;{n};;2026-03-02;1;1;1;1;1;{n}\n" for n in range(3000))
-    source = drop(p202603=archive(many), p202604=archive(VALID))
-    monkeypatch.setattr(archives, "LARGE_BYTES", 1000)
-    root = str(tmp_path / "lake")
-    assert {m: r["rows"] for m, r in status_of(ingest_archives(spark, source, root)).items()} == {
-        "2026-03": 3000, "2026-04": 3,
-    }
-    assert lake.read_lake(spark, root).count() == 3003
-    monkeypatch.setattr(archives, "MAX_BYTES", 1000)
-    status = status_of(ingest_archives(spark, source, str(tmp_path / "other")))
-    assert {m: r.ok for m, r in status.items()} == {"2026-03": False, "2026-04": True}
-    assert "larger than" in status["2026-03"].error
+def test_archives_are_opened_by_path(spark, drop, tmp_path):
+    """Odd names, a subfolder; and no content of archives in any scan or exchange."""
+    source = drop(p202603=archive(VALID))
+    odd = tmp_path / "archives" / "a b%20c+é"
+    odd.mkdir()
+    (odd / "reports_202604.zip").write_bytes(archive(VALID))
+    files = archives.archive_files(spark, source)
+    assert files.columns == ["path", "year_month", "modified", "bytes"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        status = archives.newest_sound(archives.archive_status(files))
+        rows = archives.archive_rows(archives.readable(files, status))
+        assert rows.count() == 6
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "content" not in plan and "REBALANCE" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_months_are_skipped_or_replaced(spark, drop, tmp_path):
     root = str(tmp_path / "lake")
+
+    def states(status):
+        return {r.year_month: r.state for r in status.collect()}
+
     source = drop(p202603=archive(VALID), p202604=archive(VALID))
-    assert ingest_archives(spark, source, root).count() == 2
-    assert ingest_archives(spark, source, root).count() == 0
+    assert states(ingest_archives(spark, source, root)) == {"2026-03": "ok", "2026-04": "ok"}
+    again = ingest_archives(spark, source, root)
+    assert states(again) == {"2026-03": "present", "2026-04": "present"}
     assert lake.read_lake(spark, root).count() == 6
 
     one_line = "\n".join(VALID.splitlines()[:2]) + "\n"
     drop(p202604=archive(one_line), p202605=archive(VALID))
-    assert [r.year_month for r in ingest_archives(spark, source, root).collect()] == ["2026-05"]
+    log = str(tmp_path / "log")
+    assert states(ingest_archives(spark, source, root, log=log))["2026-05"] == "ok"
+    assert spark.read.parquet(log).count() == 3
     assert lake.read_lake(spark, root).count() == 9
 
     again = ingest_archives(spark, source, root, skip_present=False)
-    assert again.count() == 3
+    assert set(states(again).values()) == {"ok"}
     counts = {r.year_month: r["rows"] for r in lake.batch_statistics(lake.read_lake(spark, root)).collect()}
     assert counts == {"2026-03": 3, "2026-04": 1, "2026-05": 3}
 
 
+def versions(folder):
+    """Three archives of one month, of 3, 1 and 2 rows; the newest is broken. One of another."""
+    lines = VALID.splitlines()
+    contents = {
+        "b/reports_202604.zip": archive(VALID),
+        "a/reports_202604.zip": archive("\n".join(lines[:2]) + "\n"),
+        "c/late_202604.zip": archive("\n".join(lines[:3]) + "\n")[:-30],
+        "c/reports_202605.zip": archive(VALID),
+    }
+    for age, (name, content) in enumerate(contents.items()):
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+        os.utime(path, (1_700_000_000 + age * 10,) * 2)
+
+
+def test_a_month_has_the_rows_of_its_newest_sound_archive(spark, tmp_path):
+    versions(tmp_path / "archives")
+    root = str(tmp_path / "lake")
+    status = ingest_archives(spark, str(tmp_path / "archives"), root)
+    found = {r.path.split("/archives/")[1]: r.state for r in status.collect()}
+    assert found == {
+        "b/reports_202604.zip": "superseded", "a/reports_202604.zip": "ok",
+        "c/late_202604.zip": "failed", "c/reports_202605.zip": "ok",
+    }
+    assert lake.read_lake(spark, root).filter("year_month = '2026-04'").count() == 1
+
+
+@pytest.mark.parametrize("per_batch", [1, 10])
+def test_lakes_are_equal_at_any_batch_size(spark, tmp_path, per_batch):
+    versions(tmp_path / "archives")
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    query = ingest_arrivals(spark, str(tmp_path / "archives"), root, state, per_batch)
+    assert query.awaitTermination(240)
+    months = lake.read_lake(spark, root).groupBy("year_month").count().collect()
+    assert {r.year_month: r["count"] for r in months} == {"2026-04": 1, "2026-05": 3}
+    assert spark.read.parquet(f"{state}/status").count() == 4
+
+
+def test_missing_cells_are_null_from_both_readers(spark, drop, tmp_path):
+    text = f"{HEADER}\nNone;a;NA;2026-04-01;1;1;1;1;1;1\nFIF;b;n/a;2026-04-01;1;1;1;1;1;1\n"
+    (tmp_path / "a.csv").write_text(text)
+    plain = coerce_reports(delimited.scan_csv(spark, str(tmp_path / "a.csv")))
+    packed, _ = archives.read_archives(spark, drop(p202604=archive(text)))
+    for frame in (plain, coerce_reports(packed)):
+        rows = frame.orderBy("CNPJ_FUNDO_CLASSE").collect()
+        assert [(r.TP_FUNDO_CLASSE, r.ID_SUBCLASSE) for r in rows] == [(None, None), ("FIF", None)]
+
+
 def test_stream_takes_each_archive_once(spark, drop, tmp_path):
     root, state = str(tmp_path / "lake"), str(tmp_path / "state")
 

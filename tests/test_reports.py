@@ -21,14 +21,14 @@ def top(small_fact):
 def test_top_of_month(top):
     rows = reports.top_of_month(top, APRIL).collect()
     assert [(r["rank"], r.class_id) for r in rows] == [
-        (1, "00.000.002/0001-02"),
-        (2, "00.000.001/0001-01"),
+        (1, "two"),
+        (2, "one"),
     ]
-    assert rows[0].return_pct == pytest.approx(3.0)
+    assert rows[0].return_pct == pytest.approx(4.6)
     assert reports.top_of_month(top, APRIL, 1).count() == 1
     assert reports.top_of_month(top, day(APRIL)).count() == 2
     assert reports.top_of_month(top, "1999-01-01").count() == 0
-    assert reports.top_of_newest_month(top, 1).first().return_pct == pytest.approx(3.0)
+    assert reports.top_of_newest_month(top, 1).first().return_pct == pytest.approx(4.6)
     assert reports.global_top(top, 3).count() == 3
 
 
@@ -130,10 +130,10 @@ def test_class_search(make_fact):
 
 
 def test_history_of_one_class(small_fact):
-    rows = reports.class_history(small_fact, "00.000.001/0001-01").collect()
+    rows = reports.class_history(small_fact, "one").collect()
     assert [r.month.month for r in rows] == [2, 3, 4]
-    assert rows[0].return_pct == pytest.approx(1.2)
-    assert reports.class_history(small_fact, "99.999.999/9999-99").count() == 0
+    assert rows[0].return_pct == pytest.approx(3.1)
+    assert reports.class_history(small_fact, "none such").count() == 0
 
 
 def test_history_takes_the_first_subclass(make_fact):
