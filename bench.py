@@ -11,9 +11,7 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -84,24 +82,10 @@ def year_of_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def write_archives(table: DataFrame, folder: str) -> None:
-    """One ZIP file per month in a local folder."""
-
-    def pack(rows):
-        month = rows["year_month"].iloc[0].replace("-", "")
-        with zipfile.ZipFile(f"{folder}/reports_{month}.zip", "w", zipfile.ZIP_DEFLATED) as target:
-            text = rows[checks.RAW_COLUMNS].to_csv(sep=";", index=False)
-            target.writestr(f"reports_{month}.csv", text.encode("latin-1"))
-        return rows[["year_month"]].head(1)
-
-    text = table.select("year_month", *[F.col(c).cast("string") for c in checks.RAW_COLUMNS])
-    run(text.groupBy("year_month").applyInPandas(pack, "year_month string"))
-
-
 def year_runs(spark: SparkSession, folder: str) -> tuple[dict[str, float], int]:
     root, marts = (new_folder(spark, name) for name in ("lake", "year-marts"))
-    source = tempfile.mkdtemp(prefix="archives-")
-    write_archives(year_of_reports(spark, folder), source)
+    source = new_folder(spark, "year-archives")
+    checks.pack_archives(year_of_reports(spark, folder), source)
     seconds = {"year_ingest": timed(lambda: ingest_archives(spark, source, root))}
     seconds["year_build"] = timed(
         lambda: build_marts(stage_reports(lake.read_lake(spark, root)), marts, checks.RANKING)
