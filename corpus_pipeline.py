@@ -31,7 +31,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.col(row).alias("row")).alias("id"), "text"
     )
     gone = exact_dedup.exact_groups(ordered, "id").where("not kept").select("doc_id.row")
-    gone = gone.withColumnRenamed("row", "gone")
+    # Hashed, the few that go spare the texts a sort; so do the copies below.
+    gone = gone.withColumnRenamed("row", "gone").hint("shuffle_hash")
     left = rows.join(gone, rows[row] == gone["gone"], "left_anti")
     return left.select(*[f"`{c}`" for c in docs.columns])
 
@@ -47,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = mixing.mix(rows, id_col=row).where("copies > 0").select(
         F.col("doc_id").alias("of_row"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     )
-    joined = rows.join(copies, rows[row] == copies["of_row"])
+    joined = rows.join(copies.hint("shuffle_hash"), rows[row] == copies["of_row"])
     return joined.select(*[f"`{c}`" for c in docs.columns])
 
 

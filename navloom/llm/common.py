@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,16 +56,26 @@ def keyed(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds a bounded number of bytes, or one long text."""
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-        start = size = 0
-        for at, length in enumerate(lengths.to_pylist()):
-            if at > start and size + length > SLICE_BYTES:
-                yield batch.slice(start, at - start)
-                start, size = at, 0
-            size += length
-        if batch.num_rows > start:
-            yield batch.slice(start)
+    try:
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+            start = size = 0
+            for at, length in enumerate(lengths.to_pylist()):
+                if at > start and size + length > SLICE_BYTES:
+                    yield batch.slice(start, at - start)
+                    start, size = at, 0
+                size += length
+            if batch.num_rows > start:
+                yield batch.slice(start)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system; workers live on idle after their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def raw_texts(column: pa.Array) -> list[bytes]:

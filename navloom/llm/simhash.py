@@ -371,5 +371,6 @@ def without_near_copies(
         left = compared.where("not alike").drop("alike")
     if gone is None:
         gone = spark.createDataFrame([], "row bigint")
-    gone = gone.withColumnRenamed("row", "gone")
+    # Hashed, the few that go spare the texts a sort.
+    gone = gone.withColumnRenamed("row", "gone").hint("shuffle_hash")
     return rows.join(gone, rows[row] == gone["gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
