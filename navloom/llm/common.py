@@ -25,8 +25,13 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
-    """A table of long texts; Arrow batches get fewer rows, as each may be large."""
+    """A table of long texts.
+
+    Arrow batches get fewer rows, as each may be large. The files of a job's shuffles go
+    with the job: what is read again is stored.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return read(spark, folder, table)
 
 

@@ -6,8 +6,9 @@ least hash among those in it, and equal windows hold equal anchors at equal plac
 the map tasks find the anchors of every text, with a digest of the bytes that windows
 around the anchor can reach (its context), and rows with equal anchors meet. Of equal
 contexts all but the first are repeats as a whole. Where an anchor has several contexts,
-the first row of each is compared: the contexts' suffixes are sorted by grouping (see
-``suffix_array``), equal windows are neighbours in the array, and all but the first go.
+the first row of each is compared: what a context shares with no other is cut off its ends,
+the suffixes of those that still differ are sorted by grouping (see ``suffix_array``), equal
+windows are neighbours in the array, and all but the first go.
 
 An anchor whose contexts are too many for a task is not compared as a whole: the windows
 around it are cut in two halves by where they start, those of a half share a longer core,
@@ -38,7 +39,7 @@ LENGTH, ANCHOR = 100, 32
 #: How far before an anchor a window that holds it may start.
 REACH = LENGTH - ANCHOR
 #: Contexts of one group that a task sorts; larger groups are cut.
-MEMBERS = 512
+MEMBERS = 4_096
 #: Bytes of anchors that one reducing group should hold.
 BUCKET_BYTES = 4_000_000
 
@@ -211,13 +212,48 @@ def repeats(contexts: list[bytes], starts: list[int], order: list[int]) -> list[
     return found
 
 
+def shared_ends(contexts: list[bytes], shifts: list[int], size: int) -> list[tuple[int, int]]:
+    """How much of each context is shared with another, around the core at ``shifts``.
+
+    A window that two contexts share ends where both do, so what none shares can go before
+    suffixes are sorted. The longest shared stretch is one with a neighbour in order.
+    """
+    left = _longest([c[:a][::-1] for c, a in zip(contexts, shifts)])
+    right = _longest([c[a + size :] for c, a in zip(contexts, shifts)])
+    return [(a - l, a + size + r) for a, l, r in zip(shifts, left, right)]
+
+
+def _longest(texts: list[bytes]) -> list[int]:
+    """The longest start each text has in common with another."""
+    best = [0] * len(texts)
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    for i, j in zip(order, order[1:]):
+        n = min(len(texts[i]), len(texts[j]))
+        differ = int.from_bytes(texts[i][:n], "big") ^ int.from_bytes(texts[j][:n], "big")
+        same = n - (differ.bit_length() + 7) // 8
+        best[i], best[j] = max(best[i], same), max(best[j], same)
+    return best
+
+
 def _compare(groups: DataFrame) -> DataFrame:
     """``doc, start, stop``: stretches of bytes that the groups of contexts show to repeat."""
 
     def sort(held: list[dict]) -> list[tuple[int, int, int]]:
-        contexts, begin = [r["context"] for r in held], [r["begin"] for r in held]
-        found = repeats(contexts, begin, [r["doc"] for r in held])
-        return [(held[number]["doc"], at, at + LENGTH) for number, at in found]
+        size = len(held[0]["core"])
+        ends = shared_ends([r["context"] for r in held], [r["shift"] for r in held], size)
+        first: dict[bytes, tuple[int, int]] = {}
+        rows = []
+        for r, (a, b) in zip(held, ends):
+            if b - a >= LENGTH:
+                context, row = r["context"][a:b], (r["doc"], r["begin"] + a)
+                rows.append((context, row))
+                first[context] = min(first.get(context, row), row)
+        spans = [(*row, row[1] + len(c)) for c, row in rows if row > first[c]]
+        if len(first) > 1:
+            contexts, rows = list(first), list(first.values())
+            found = repeats(contexts, [at for _, at in rows], [doc for doc, _ in rows])
+            spans += [(rows[number][0], at, at + LENGTH) for number, at in found]
+        return spans
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -274,24 +310,26 @@ def _compared(contexts: DataFrame, members: int) -> DataFrame:
     begin = F.greatest(F.lit(0), F.col("at") + F.col("low"))
     while True:
         # Of equal contexts the first row stands for all; the others are repeats.
-        level = level.withColumn("begin", begin)
-        first = level.groupBy(*key, "context").agg(
+        shift = F.col("at") + F.col("high") - F.col("begin")
+        level = level.withColumn("begin", begin).withColumn("shift", shift)
+        first = level.groupBy(*key, "context", "shift").agg(
             F.min(F.struct("doc", "begin")).alias("first"), F.count("*").alias("n")
         )
         first = stored(first, "suffix-contexts")
-        copies = level.join(first.where("n > 1").drop("n"), [*key, "context"])
+        copies = level.join(first.where("n > 1").drop("n"), [*key, "context", "shift"])
         copies = copies.where(F.struct("doc", "begin") > F.col("first")).select(
             "doc", F.col("begin").alias("start"), (F.col("begin") + F.length("context")).cast("int").alias("stop")
         )
         spans = copies if spans is None else spans.unionByName(copies)
         sizes = first.groupBy(*key).count().where("count > 1")
-        joined = first.join(sizes, key).select(*key, "context", "first.*", "count")
+        joined = first.join(sizes, key).select(*key, "context", "shift", "first.*", "count")
         spans = spans.unionByName(_compare(joined.where(F.col("count") <= members)))
         large = joined.where(F.col("count") > members)
         if not large.limit(1).count():
             return spans
-        # A row of a large group stays with all its places; equal halves meet again.
-        level = stored(_halves(level.join(large.select(*key).distinct(), key, "left_semi")), "suffix-halves")
+        # Copies are repeats as a whole, so only first rows go on.
+        large = large.withColumn("at", F.col("begin") + F.col("shift") - F.col("high"))
+        level = stored(_halves(large), "suffix-halves")
 
 
 def _cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
