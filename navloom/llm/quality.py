@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from xxhash import xxh32_intdigest
 
-from navloom.llm.common import picked, raw_texts, text_slices
+from navloom.llm.common import give_back, picked, raw_texts, text_slices
 from navloom.llm.labelled import sample
 
 #: Most labelled rows that the machine is trained on.
@@ -156,6 +156,8 @@ def trained(docs: DataFrame, labels: DataFrame, label: str, train: Column, bound
         machine.train([t.encode() for t in rows.column("text").to_pylist()], marks)
     else:
         machine.vectors[:] = 0
+    del rows
+    give_back()
     return machine
 
 
