@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from navloom.llm.common import keyed, picked, raw_texts, stored, text_slices
 from navloom.llm.components import components
@@ -40,6 +40,12 @@ CHUNK = 2_048
 ROWS = 16_384
 #: Fingerprints that may share a bucket on average before buckets get longer keys.
 PER_BUCKET = 256
+#: Shingles of texts that are compared by one task.
+MEETING = 1_000_000
+#: A shingle in more prefixes than this goes last in the order, at most so many do.
+HOT, HOTTEST = 16, 100_000
+#: Lists of more rows meet by one row of each component first, in so many rounds at most.
+CROWD, ROUNDS = 8, 2
 
 
 def fingerprint(text: bytes, words: int, seed: int) -> int:
@@ -291,55 +297,148 @@ def _several(text: bytes, words: int, seeds: int, seed: int = 42) -> list[int]:
     return [*found, fingerprint(text, words, seed)]
 
 
-def _shingles(texts: DataFrame, key: str, words: int) -> DataFrame:
-    """``key, shingles``: the different hashes of each text's word shingles."""
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different hashes of a text's word shingles, in ascending order."""
+    parts = text.lower().split()
+    if not parts:
+        return np.empty(0, np.uint64)
+    hashes = np.fromiter(map(xxh64_intdigest, parts), np.uint64, len(parts))
+    size = min(words, len(parts))
+    n = len(parts) - size + 1
+    total = np.full(n, size, np.uint64)
+    for i in range(size):
+        total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25) + hashes[i : i + n]
+    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(total ^ (total >> np.uint64(29)))
+
+
+def _prefix(shingles: np.ndarray, similarity: float, hot: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The first shingles in an order common to all texts: two sets as similar as that share one.
+
+    Those in ``hot`` (ascending) are last in the order, by ``place``; the others are in order of
+    their hashes.
+    """
+    n = len(shingles)
+    size = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
+    if not len(hot) or not n:
+        return shingles[:size]
+    at = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
+    is_hot = hot[at] == shingles
+    last = shingles[is_hot][np.argsort(place[at[is_hot]])]
+    return np.concatenate([shingles[~is_hot], last])[:size]
+
+
+def _prefixes(texts: DataFrame, words: int, similarity: float, hot: np.ndarray, place: np.ndarray) -> DataFrame:
+    """``row, n, set, prefix``: number of shingles, digest of their set, its first shingles."""
+    shared = texts.sparkSession.sparkContext.broadcast((hot, place))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            lists = []
+            sizes, digests, lists = [], [], []
             for text in raw_texts(part.column("text")):
-                w = text.lower().split()
-                n = max(1, len(w) - words + 1) if w else 0
-                found = {xxh64_intdigest(b" ".join(w[i : i + words]), 42) for i in range(n)}
-                lists.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
-            arrays = [part.column(key), pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, [key, "shingles"])
+                found = shingle_set(text, words)
+                sizes.append(len(found))
+                digests.append(xxh3_128_digest(found.tobytes()))
+                lists.append(_prefix(found, similarity, *shared.value).view(np.int64))
+            arrays = [part.column("row"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                      pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "set", "prefix"])
 
-    return texts.mapInArrow(work, f"{key} bigint, shingles array<bigint>")
+    return texts.mapInArrow(work, "row bigint, n bigint, set binary, prefix array<bigint>")
 
 
-def without_near_copies(
-    docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    seeds: int = 6,
-    second_radius: int = 20,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """The rows of ``docs``, with all their columns, less the near copies of others.
+def _shingles(texts: DataFrame, words: int) -> DataFrame:
+    """``row, shingles``: the different hashes of each text's word shingles."""
 
-    Texts are near copies if the sets of their shingles of ``words`` words have at least
-    this Jaccard similarity. Fingerprints of shingles of five words stray too far at 0.8
-    (up to 15 bits), so candidates are pairs whose fingerprints of the set of words differ
-    in at most three bits, by one of ``seeds`` hashes, and whose fingerprints of shingles
-    are closer than those of unrelated texts. In each component of candidates the row of
-    least id stays and the rows similar to it go, by the exact similarity; the same is done
-    with what is left, until nothing is. So a row goes only if it is similar to one that stays.
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            lists = [shingle_set(text, words).view(np.int64) for text in raw_texts(part.column("text"))]
+            arrays = [part.column("row"), pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "shingles"])
+
+    return texts.mapInArrow(work, "row bigint, shingles array<bigint>")
+
+
+def similar_links(
+    rows: list[int], roots: list[int], sides: list[bool], sets: list[np.ndarray], similarity: float
+) -> list[tuple[int, int]]:
+    """Links of similar sets that join what all similar pairs join.
+
+    Rows of equal root are joined already. If there are rows of two sides, pairs of one
+    side are left to others.
     """
-    spark, (rows, row) = docs.sparkSession, keyed(docs, "near-rows")
-    texts = picked(rows, row=row, text=text_col)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    known, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    label, side = np.unique(np.array(roots), return_inverse=True)[1], np.array(sides)
+    across, mark, found = bool(side.any() and not side.all()), np.zeros(len(known), bool), []
+    for i in range(len(rows) - 1):
+        after = slice(i + 1, None)
+        least, most = np.minimum(sizes[after], sizes[i]), np.maximum(sizes[after], sizes[i])
+        open_ = (label[after] != label[i]) & (least >= similarity * most)
+        if across:
+            open_ &= side[after] != side[i]
+        others = i + 1 + np.flatnonzero(open_)
+        if not len(others):
+            continue
+        own = ids[starts[i] : starts[i] + sizes[i]]
+        mark[own] = True
+        ends = np.cumsum(sizes[others])
+        first = ends - sizes[others]
+        at = np.repeat(starts[others] - first, sizes[others]) + np.arange(ends[-1])
+        both = np.add.reduceat(mark[ids[at]], first, dtype=np.int64)
+        mark[own] = False
+        for j in others[both >= similarity * (sizes[i] + sizes[others] - both)].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                found.append((rows[i], rows[j]))
+    return found
+
+
+def _verified(members: DataFrame, sets: DataFrame, similarity: float, whole: bool) -> DataFrame:
+    """``a, b``: links of similar pairs among ``members (key, row, root, n)`` of equal keys.
+
+    Keys with many shingles are cut into chunks. With ``whole`` every pair of chunks is
+    compared, without it each chunk by itself.
+    """
+    sizes = members.groupBy("key").agg(
+        F.sum("n").alias("total"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("low < high")
+    chunks = F.ceil(F.col("total") / MEETING).cast("int")
+    joined = members.join(sizes.select("key", chunks.alias("chunks")), "key")
+    own = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int").alias("own")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)) if whole else own
+    spread = joined.select("key", "row", "root", own, other.alias("other"))
+    lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    spread = spread.select("key", "row", "root", lo, hi, (F.col("own") > F.col("other")).alias("side"))
+    group = ["key", "lo", "hi"]
+    laid = spread.join(sets, "row").repartition(*group).sortWithinPartitions(*group)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found = [_several(t, words, seeds) for t in raw_texts(part.column("text"))]
-            prints = np.array(found, np.uint64).reshape(-1, seeds + 1).view(np.int64)
-            names = ["row", *[f"p{i}" for i in range(seeds)], "second"]
-            columns = [pa.array(np.ascontiguousarray(c)) for c in prints.T]
-            yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names)
+        last, held = None, []
 
-    kinds = ", ".join(f"p{i} bigint" for i in range(seeds))
-    prints = stored(texts.mapInArrow(work, f"row bigint, {kinds}, second bigint"), "near-prints")
+        def close() -> pa.RecordBatch:
+            found = similar_links(*zip(*held), similarity) if len(held) > 1 else []
+            columns = list(zip(*found)) or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in group])
+            rows = zip(*[batch.column(c).to_pylist() for c in ("row", "root", "side")], batch.column("shingles"))
+            for key, (*values, shingles) in zip(keys, rows):
+                if key != last:
+                    if held:
+                        yield close()
+                    last, held = key, []
+                held.append((*values, shingles.values.to_numpy().copy()))
+        if held:
+            yield close()
+
+    return laid.select(*group, "row", "root", "side", "shingles").mapInArrow(work, "a bigint, b bigint")
+
+
+def _candidates(prints: DataFrame, seeds: int, second_radius: int) -> DataFrame:
+    """``row, key``: rows whose fingerprints link them have the same key."""
     edges = None
     for number in range(seeds):
         print_ = F.col(f"p{number}").alias("print")
@@ -350,9 +449,100 @@ def without_near_copies(
         found = same.select(F.col("row").alias("a"), F.col("vertex").alias("b"))
         found = found.unionByName(links(vertices, 3, second_radius))
         edges = found if edges is None else edges.unionByName(found)
+    return components(edges).select(F.col("vertex").alias("row"), F.col("root").alias("key"))
+
+
+def _with_roots(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """``members (key, row, n)`` with the component of each row."""
+    roots = components(edges).withColumnRenamed("vertex", "row")
+    joined = members.join(roots, "row", "left")
+    return joined.select("key", "row", F.coalesce("root", "row").alias("root"), "n")
+
+
+def _similar(
+    rows: DataFrame, words: int, similarity: float, seeds: int, second_radius: int
+) -> DataFrame:
+    """``a, b``: links of similar pairs that join what all similar pairs of ``rows (row, text)`` join."""
+    spark, none = rows.sparkSession, np.empty(0, np.uint64)
+    sets = stored(_prefixes(rows, words, similarity, none, none), "near-sets")
+    # Rows of equal sets are one vertex.
+    first = sets.groupBy("set").agg(F.min("row").alias("a"), F.count("*").alias("many")).where("many > 1")
+    same = stored(sets.select("row", "set").join(first, "set").where("row != a").select("a", F.col("row").alias("b")), "near-same")
+    once = lambda table: table.join(same.select(F.col("b").alias("row")), "row", "left_anti")
+    in_several = lambda table: table.groupBy("key").count().where("count > 1")
+    keyed_ = lambda table: once(table).select("row", "n", F.explode("prefix").alias("key"))
+    # Shingles many rows share go last in the order: a choice of speed, any order finds all pairs.
+    counts = stored(in_several(keyed_(sets)), "near-counts")
+    hot = counts.where(F.col("count") > HOT).orderBy(F.desc("count"), "key").limit(HOTTEST).toArrow()
+    hot, many = hot.column("key").to_numpy().view(np.uint64), hot.column("count").to_numpy()
+    order = np.argsort(hot)
+    some = keyed_(sets).join(counts.select("key"), "key", "left_semi").select("row").distinct()
+    texts = rows.join(stored(some, "near-some"), "row", "left_semi")
+    # All that can be similar share a shingle of this prefix; equal lists of rows are compared once.
+    prefixes = stored(keyed_(_prefixes(texts, words, similarity, hot[order], many[order])), "near-prefixes")
+    lists = prefixes.groupBy("key").agg(
+        F.count("*").alias("many"),
+        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("s1"),
+        F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("s2"),
+    ).where("many > 1")
+    lists = stored(lists.groupBy("many", "s1", "s2").agg(F.min("key").alias("key")).select("key", "many"), "near-lists")
+    members = stored(prefixes.join(lists, "key").select("key", "row", "n", "many"), "near-members")
+    met = stored(members.groupBy("row").agg(F.first("n").alias("n")), "near-met")
+    texts = stored(rows.join(met.select("row"), "row", "left_semi"), "near-texts")
+    shingles = stored(_shingles(texts, words), "near-shingles")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            found = [_several(t, words, seeds) for t in raw_texts(part.column("text"))]
+            prints = np.array(found, np.uint64).reshape(-1, seeds + 1).view(np.int64)
+            names = ["row", *[f"p{i}" for i in range(seeds)], "second"]
+            columns = [pa.array(np.ascontiguousarray(c)) for c in prints.T]
+            yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names)
+
+    kinds = ", ".join(f"p{i} bigint" for i in range(seeds))
+    prints = stored(texts.mapInArrow(work, f"row bigint, {kinds}, second bigint"), "near-prints")
+    # Most similar rows are joined here, by fingerprints, and need not meet under each shingle.
+    close = _candidates(prints, seeds, second_radius).join(met, "row")
+    edges = stored(_verified(close.withColumn("root", F.col("row")), shingles, similarity, False), "near-links")
+    crowded = members.where(F.col("many") > CROWD).drop("many")
+    for _ in range(ROUNDS):
+        # Of large lists, one row of each component.
+        each = _with_roots(crowded, edges).groupBy("key", "root").agg(F.min_by("row", "row").alias("row"), F.min_by("n", "row").alias("n"))
+        found = stored(_verified(each, shingles, similarity, False), "near-links")
+        if not found.limit(1).count():
+            break
+        edges = edges.unionByName(found)
+    rooted = stored(_with_roots(members.drop("many"), edges), "near-rooted")
+    found = stored(_verified(rooted, shingles, similarity, True), "near-links")
+    return edges.unionByName(found).unionByName(same)
+
+
+def without_near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    seeds: int = 6,
+    second_radius: int = 20,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less the near copies of others.
+
+    Texts are near copies if the sets of their shingles of ``words`` words have at least
+    this Jaccard similarity. All such pairs are found: two sets as similar as that share one
+    of their first shingles in any common order, here the rarest, and rows that share one are
+    compared exactly. Rows that fingerprints of the set of words bring together (at most
+    three bits apart by one of ``seeds`` hashes, with fingerprints of shingles closer than those
+    of unrelated texts) are compared before, so that few are left to meet under their shingles.
+    In each component of similar rows the row of least id stays and the rows similar to it
+    go; the same is done with what is left, until nothing is.
+    """
+    spark, (rows, row) = docs.sparkSession, keyed(docs, "near-rows")
+    texts = picked(rows, row=row, text=text_col)
+    edges = _similar(texts, words, similarity, seeds, second_radius)
     members = components(edges).select(F.col("vertex").alias("row"), "root")
     members = members.join(picked(rows, row=row, id=id_col), "row")
-    shingles = _shingles(texts.join(members.select("row"), "row", "left_semi"), "row", words)
+    shingles = _shingles(texts.join(members.select("row"), "row", "left_semi"), words)
     left = stored(members.join(shingles, "row"), "near-members")
     gone = None
     while left.limit(1).count():

@@ -146,6 +146,42 @@ def test_near_copies_go_and_others_stay(spark, empty, odd):
     assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(["1", "3", "5", "8", "None"])
 
 
+def jaccard_components(docs, words=5, similarity=0.8):
+    """Of each row, the least id of its component of similar rows, by brute force."""
+    sets = {}
+    for i, text in docs:
+        w = text.lower().split()
+        sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))}
+    least = {i: i for i in sets}
+    pairs = [(a, b) for a in sets for b in sets if a < b
+             and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("meeting", [simhash.MEETING, 500])
+def test_near_copies_cut_or_longer_are_found(spark, monkeypatch, meeting):
+    """Truncated, appended and edited copies beside a line that all texts share."""
+    monkeypatch.setattr(simhash, "MEETING", meeting)
+    chance = random.Random(6)
+    some = lambda n: [f"w{chance.randint(0, 3000)}" for _ in range(n)]
+    line, docs = some(12), []
+    for _ in range(60):
+        words = some(chance.randint(100, 300)) + line
+        edited, at = list(words), chance.randint(20, 90)
+        edited[at : at + 3] = some(3)
+        share = chance.uniform(0.1, 0.24)
+        cut = words[: int(len(words) * (1 - share))]
+        longer = words + some(int(len(words) * share))
+        for copy in (words, cut, longer, edited):
+            docs.append((len(docs), " ".join(copy)))
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], TEXT_SCHEMA)
+    kept = sorted(r.doc_id for r in simhash.without_near_copies(frame).collect())
+    assert kept == sorted(set(jaccard_components(docs).values()))
+
+
 def test_suffix_array():
     chance = random.Random(3)
     for n in range(1500):
