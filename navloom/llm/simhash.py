@@ -463,7 +463,7 @@ def _similar(
     rows: DataFrame, words: int, similarity: float, seeds: int, second_radius: int
 ) -> DataFrame:
     """``a, b``: links of similar pairs that join what all similar pairs of ``rows (row, text)`` join."""
-    spark, none = rows.sparkSession, np.empty(0, np.uint64)
+    none = np.empty(0, np.uint64)
     sets = stored(_prefixes(rows, words, similarity, none, none), "near-sets")
     # Rows of equal sets are one vertex.
     first = sets.groupBy("set").agg(F.min("row").alias("a"), F.count("*").alias("many")).where("many > 1")
@@ -505,7 +505,7 @@ def _similar(
     close = _candidates(prints, seeds, second_radius).join(met, "row")
     edges = stored(_verified(close.withColumn("root", F.col("row")), shingles, similarity, False), "near-links")
     crowded = members.where(F.col("many") > CROWD).drop("many")
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if crowded.limit(1).count() else 0):
         # Of large lists, one row of each component.
         each = _with_roots(crowded, edges).groupBy("key", "root").agg(F.min_by("row", "row").alias("row"), F.min_by("n", "row").alias("n"))
         found = stored(_verified(each, shingles, similarity, False), "near-links")
@@ -534,33 +534,17 @@ def without_near_copies(
     compared exactly. Rows that fingerprints of the set of words bring together (at most
     three bits apart by one of ``seeds`` hashes, with fingerprints of shingles closer than those
     of unrelated texts) are compared before, so that few are left to meet under their shingles.
-    In each component of similar rows the row of least id stays and the rows similar to it
-    go; the same is done with what is left, until nothing is.
+    Of each component of similar rows the row of least id stays, as in ``near_groups``; a row
+    that goes is similar to one of its component, not always to the one that stays.
     """
-    spark, (rows, row) = docs.sparkSession, keyed(docs, "near-rows")
+    rows, row = keyed(docs, "near-rows")
     texts = picked(rows, row=row, text=text_col)
     edges = _similar(texts, words, similarity, seeds, second_radius)
     members = components(edges).select(F.col("vertex").alias("row"), "root")
-    members = members.join(picked(rows, row=row, id=id_col), "row")
-    shingles = _shingles(texts.join(members.select("row"), "row", "left_semi"), words)
-    left = stored(members.join(shingles, "row"), "near-members")
-    gone = None
-    while left.limit(1).count():
-        least = F.min(F.struct(F.isnull("id").alias("none"), "id", "row"))
-        first = left.groupBy("root").agg(least.alias("least")).select("least.row")
-        kept = left.join(first, "row", "left_semi").select(
-            "root", F.col("row").alias("kept"), F.col("shingles").alias("of_kept")
-        )
-        compared = left.join(kept, "root").where("row != kept")
-        both = F.size(F.array_intersect("shingles", "of_kept"))
-        either = F.size("shingles") + F.size("of_kept") - both
-        alike = (both >= F.lit(similarity) * either).alias("alike")
-        compared = stored(compared.select("row", "root", "id", "shingles", alike), "near-round")
-        some = compared.where("alike").select("row")
-        gone = some if gone is None else gone.unionByName(some)
-        left = compared.where("not alike").drop("alike")
-    if gone is None:
-        gone = spark.createDataFrame([], "row bigint")
+    members = stored(members.join(picked(rows, row=row, id=id_col), "row"), "near-groups")
+    least = F.min(F.struct(F.isnull("id").alias("none"), "id", "row"))
+    first = members.groupBy("root").agg(least.alias("least")).select("root", F.col("least.row").alias("kept"))
+    gone = members.join(first, "root").where("row != kept").select("row")
     # Hashed, the few that go spare the texts a sort.
     gone = gone.withColumnRenamed("row", "gone").hint("shuffle_hash")
     return rows.join(gone, rows[row] == gone["gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -182,6 +182,20 @@ def test_near_copies_cut_or_longer_are_found(spark, monkeypatch, meeting):
     assert kept == sorted(set(jaccard_components(docs).values()))
 
 
+def test_one_of_a_group_around_a_centre_stays(spark):
+    """Copies that are similar to the base only, and the base does not have the least id."""
+    chance = random.Random(8)
+    base, docs = [f"w{chance.randint(0, 3000)}" for _ in range(150)], []
+    for i in range(20):
+        changed = list(base)
+        changed[7 * i + 3], changed[(7 * i + 60) % 140 + 5] = "one", "two"
+        docs.append((i, " ".join(changed)))
+    docs.append((20, " ".join(base)))
+    assert set(jaccard_components(docs).values()) == {0}
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], TEXT_SCHEMA)
+    assert [r.doc_id for r in simhash.without_near_copies(frame).collect()] == [0]
+
+
 def test_suffix_array():
     chance = random.Random(3)
     for n in range(1500):
