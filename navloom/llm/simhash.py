@@ -42,8 +42,8 @@ ROWS = 16_384
 PER_BUCKET = 256
 #: Shingles of texts that are compared by one task.
 MEETING = 1_000_000
-#: A shingle in more prefixes than this goes last in the order, at most so many do.
-HOT, HOTTEST = 16, 100_000
+#: Shared shingles that go last in the order, and how many prefixes long their count looks.
+HOTTEST, WIDER = 1_000_000, 2
 #: Lists of more rows meet by one row of each component first, in so many rounds at most.
 CROWD, ROUNDS = 8, 2
 
@@ -315,8 +315,8 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
 def _prefix(shingles: np.ndarray, similarity: float, hot: np.ndarray, place: np.ndarray) -> np.ndarray:
     """The first shingles in an order common to all texts: two sets as similar as that share one.
 
-    Those in ``hot`` (ascending) are last in the order, by ``place``; the others are in order of
-    their hashes.
+    Those in ``hot`` (ascending) are last in the order, by ``place`` and then their hashes; the
+    others are in order of their hashes.
     """
     n = len(shingles)
     size = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
@@ -324,27 +324,44 @@ def _prefix(shingles: np.ndarray, similarity: float, hot: np.ndarray, place: np.
         return shingles[:size]
     at = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
     is_hot = hot[at] == shingles
-    last = shingles[is_hot][np.argsort(place[at[is_hot]])]
+    last = shingles[is_hot][np.argsort(place[at[is_hot]], kind="stable")]
     return np.concatenate([shingles[~is_hot], last])[:size]
 
 
-def _prefixes(texts: DataFrame, words: int, similarity: float, hot: np.ndarray, place: np.ndarray) -> DataFrame:
-    """``row, n, set, prefix``: number of shingles, digest of their set, its first shingles."""
-    shared = texts.sparkSession.sparkContext.broadcast((hot, place))
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``row, set``: a digest of each text's set of shingles."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            sizes, digests, lists = [], [], []
+            found = [xxh3_128_digest(shingle_set(t, words).tobytes()) for t in raw_texts(part.column("text"))]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.binary())], ["row", "set"])
+
+    return texts.mapInArrow(work, "row bigint, set binary")
+
+
+def _prefixes(texts: DataFrame, words: int, similarity: float, hot=None) -> DataFrame:
+    """``row, n, key``: number of shingles of each text, and each of its first ones.
+
+    Without ``hot``, the places of shared shingles, the first are by hash and ``WIDER`` times as many.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(hot)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            sizes, lists = [], []
             for text in raw_texts(part.column("text")):
                 found = shingle_set(text, words)
                 sizes.append(len(found))
-                digests.append(xxh3_128_digest(found.tobytes()))
-                lists.append(_prefix(found, similarity, *shared.value).view(np.int64))
-            arrays = [part.column("row"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                      pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "set", "prefix"])
+                if shared.value is None:
+                    first = found[: WIDER * (len(found) - int(similarity * len(found)) + 1)]
+                else:
+                    first = _prefix(found, similarity, *shared.value)
+                lists.append(first.view(np.int64))
+            arrays = [part.column("row"), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "prefix"])
 
-    return texts.mapInArrow(work, "row bigint, n bigint, set binary, prefix array<bigint>")
+    found = texts.mapInArrow(work, "row bigint, n bigint, prefix array<bigint>")
+    return found.select("row", "n", F.explode("prefix").alias("key"))
 
 
 def _shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -463,23 +480,20 @@ def _similar(
     rows: DataFrame, words: int, similarity: float, seeds: int, second_radius: int
 ) -> DataFrame:
     """``a, b``: links of similar pairs that join what all similar pairs of ``rows (row, text)`` join."""
-    none = np.empty(0, np.uint64)
-    sets = stored(_prefixes(rows, words, similarity, none, none), "near-sets")
+    sets = stored(_sets(rows, words), "near-sets")
     # Rows of equal sets are one vertex.
     first = sets.groupBy("set").agg(F.min("row").alias("a"), F.count("*").alias("many")).where("many > 1")
-    same = stored(sets.select("row", "set").join(first, "set").where("row != a").select("a", F.col("row").alias("b")), "near-same")
-    once = lambda table: table.join(same.select(F.col("b").alias("row")), "row", "left_anti")
-    in_several = lambda table: table.groupBy("key").count().where("count > 1")
-    keyed_ = lambda table: once(table).select("row", "n", F.explode("prefix").alias("key"))
-    # Shingles many rows share go last in the order: a choice of speed, any order finds all pairs.
-    counts = stored(in_several(keyed_(sets)), "near-counts")
-    hot = counts.where(F.col("count") > HOT).orderBy(F.desc("count"), "key").limit(HOTTEST).toArrow()
+    same = sets.join(first, "set").where("row != a").select("a", F.col("row").alias("b"))
+    same = stored(same, "near-same")
+    once = rows.join(same.select(F.col("b").alias("row")), "row", "left_anti")
+    # Shingles that rows share go last in the order, the most shared at the end: a choice of
+    # speed, as any order finds all pairs.
+    counts = _prefixes(once, words, similarity).groupBy("key").count().where("count > 1")
+    hot = stored(counts, "near-counts").orderBy(F.desc("count"), "key").limit(HOTTEST).toArrow()
     hot, many = hot.column("key").to_numpy().view(np.uint64), hot.column("count").to_numpy()
     order = np.argsort(hot)
-    some = keyed_(sets).join(counts.select("key"), "key", "left_semi").select("row").distinct()
-    texts = rows.join(stored(some, "near-some"), "row", "left_semi")
     # All that can be similar share a shingle of this prefix; equal lists of rows are compared once.
-    prefixes = stored(keyed_(_prefixes(texts, words, similarity, hot[order], many[order])), "near-prefixes")
+    prefixes = _prefixes(once, words, similarity, (hot[order], many[order]))
     lists = prefixes.groupBy("key").agg(
         F.count("*").alias("many"),
         F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("s1"),
@@ -488,7 +502,7 @@ def _similar(
     lists = stored(lists.groupBy("many", "s1", "s2").agg(F.min("key").alias("key")).select("key", "many"), "near-lists")
     members = stored(prefixes.join(lists, "key").select("key", "row", "n", "many"), "near-members")
     met = stored(members.groupBy("row").agg(F.first("n").alias("n")), "near-met")
-    texts = stored(rows.join(met.select("row"), "row", "left_semi"), "near-texts")
+    texts = rows.join(met.select("row"), "row", "left_semi")
     shingles = stored(_shingles(texts, words), "near-shingles")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
