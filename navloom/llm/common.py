@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,7 +37,12 @@ def read_texts(spark: SparkSession, folder: str, table: str = "documents") -> Da
 
 def picked(table: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under fixed names; others cannot clash with results."""
-    return table.select(*[table[f"`{old}`"].alias(new) for new, old in columns.items()])
+    return table.select(*[table[old].alias(new) for old, new in zip(quoted(columns.values()), columns)])
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Names as column references, whatever characters they hold."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
 
 
 def stored(table: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -51,14 +56,33 @@ def stored(table: DataFrame, purpose: str, partition_by: list[str] | None = None
     return spark.read.schema(table.schema).parquet(folder)
 
 
+def unused(name: str, names: Iterable[str]) -> str:
+    """The name, led by underscores until no other has it; Spark's names have no case."""
+    taken = {other.lower() for other in names}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def keyed(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """The table stored with a number for each row, and the name of that column."""
-    name = "row"
-    while name in table.columns:
-        name = f"_{name}"
+    name = unused("row", table.columns)
     return stored(table.withColumn(name, F.monotonically_increasing_id()), purpose), name
 
 
+def join_hot(many: DataFrame, one: DataFrame, key: str, rows: str, hottest: int = 1_000) -> DataFrame:
+    """``many`` inner joined to ``one``, its one row per key, with frequent keys kept apart.
+
+    ``rows`` of ``one`` is how many rows of ``many`` have the key. The ``hottest`` keys are
+    broadcast, so that their rows stay where they are; the rest, of which none has more than
+    that part of all rows, meet by a shuffle.
+    """
+    hot = F.broadcast(one.orderBy(F.desc(rows), key).limit(hottest))
+    keys = hot.select(key)
+    others = many.join(keys, key, "left_anti").join(one.join(keys, key, "left_anti"), key)
+    return many.join(hot, key).unionByName(others)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds a bounded number of bytes, or one long text."""
     try:

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navloom.llm.common import stored
+from navloom.llm.common import join_hot, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a vertex is linked to the least one around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    moved = both.where("b > a").join(least, "a")
+    larger = F.count_if(F.col("b") > F.col("a")).alias("larger")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"), larger)
+    moved = join_hot(both.where("b > a"), least, "a", "larger")
     return moved.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours are linked to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("smaller"))
+    moved = join_hot(down, least, "a", "smaller").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
 
@@ -28,12 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
     """``vertex, root`` for every vertex of ``edges (a, b)``; the root is the least vertex.
 
     Rounds of large and small stars go on until a round changes nothing; their number
-    grows with the logarithm of the longest chain.
+    grows with the logarithm of the longest chain. The many edges of a hub stay where they
+    are, see ``join_hot``. Vertices are not null; edges may repeat, lead to themselves, and
+    be in either direction. Without edges there are no rows.
     """
     current = stored(edges.where("a != b").distinct(), "edges")
     state = None
     while True:
-        current = stored(_small_star(_large_star(current)).where("a != b").distinct(), "stars")
+        large = stored(_large_star(current).where("a != b").distinct(), "stars")
+        current = stored(_small_star(large).where("a != b").distinct(), "stars")
         now = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

@@ -181,10 +181,13 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 def accepted(docs: DataFrame, machine: Machine, cut: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is at least ``cut``."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
+    # Python workers get plain names: others may hold dots or backticks.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = plain.columns[docs.columns.index(text_col)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, text_col):
-            scores = shared.value.scores(*features(raw_texts(part.column(text_col))))
+        for part in text_slices(batches, text):
+            scores = shared.value.scores(*features(raw_texts(part.column(text))))
             yield part.filter(pa.array(scores >= cut))
 
-    return docs.mapInArrow(work, docs.schema)
+    return plain.mapInArrow(work, plain.schema).toDF(*docs.columns)

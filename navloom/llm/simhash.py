@@ -28,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
-from navloom.llm.common import keyed, picked, raw_texts, stored, text_slices
+from navloom.llm.common import join_hot, keyed, picked, quoted, raw_texts, stored, text_slices, unused
 from navloom.llm.components import components
 
 BITS = 64
@@ -40,12 +40,6 @@ CHUNK = 2_048
 ROWS = 16_384
 #: Fingerprints that may share a bucket on average before buckets get longer keys.
 PER_BUCKET = 256
-#: Shingles of texts that are compared by one task.
-MEETING = 1_000_000
-#: Shared shingles that go last in the order, and how many prefixes long their count looks.
-HOTTEST, WIDER = 1_000_000, 2
-#: Lists of more rows meet by one row of each component first, in so many rounds at most.
-CROWD, ROUNDS = 8, 2
 
 
 def fingerprint(text: bytes, words: int, seed: int) -> int:
@@ -175,9 +169,7 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def _links(
-    prints: np.ndarray, groups: np.ndarray, radius: int, second: np.ndarray, second_radius: int
-) -> tuple[np.ndarray, np.ndarray]:
+def _links(prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows joined to the first row of their part of the group, by all close pairs."""
     label = np.arange(len(prints))
 
@@ -194,9 +186,6 @@ def _links(
             bits = np.unpackbits(close[part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             which, lane = np.nonzero(bits)
             a, b = row[part][which], lane_first[part][which] + lane
-            if second_radius < BITS:
-                near = np.bitwise_count(second[a] ^ second[b]) <= second_radius
-                a, b = a[near], b[near]
             while (label[label] != label).any():
                 label[:] = label[label]
             a, b = label[a], label[b]
@@ -210,13 +199,10 @@ def _links(
     return linked, label[linked]
 
 
-def links(
-    vertices: DataFrame, radius: int = 3, second_radius: int = BITS, chunk: int = CHUNK
-) -> DataFrame:
+def links(vertices: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
     """``a, b``: links that connect the same vertices as all close pairs do.
 
-    ``vertices`` has ``vertex, print, second``; the second fingerprints of a close pair
-    differ in at most ``second_radius`` bits.
+    ``vertices`` has ``vertex, print``.
     """
     n, blocks = vertices.count(), radius + 1
     # Longer keys for more fingerprints: a choice of speed, every choice finds all pairs.
@@ -232,9 +218,8 @@ def links(
         for key in keys:
             new[1:] |= key[1:] != key[:-1]
         prints = table.column("print").to_numpy()
-        second = table.column("second").to_numpy().view(np.uint64)
         groups = np.cumsum(new)
-        linked, to = _links(prints.view(np.uint64), groups, radius, second, second_radius)
+        linked, to = _links(prints.view(np.uint64), groups, radius)
         vertex = table.column("vertex").to_numpy()
         arrays = [pa.array(vertex[linked]), pa.array(vertex[to])]
         return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
@@ -271,294 +256,39 @@ def near_groups(
 ) -> DataFrame:
     """One row per row: ``doc_id, fingerprint`` (hex) and ``component_id``."""
     rows = stored(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
-    vertices = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
+    vertices = rows.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     vertices = stored(vertices, "vertices")
-    each = vertices.select(F.col("print").alias("vertex"), "print", F.lit(0).cast("long").alias("second"))
+    each = vertices.select(F.col("print").alias("vertex"), "print")
     roots = components(links(each, radius))
     joined = vertices.join(roots, vertices["print"] == roots["vertex"], "left")
-    joined = joined.select("print", "least", F.coalesce("root", "print").alias("root"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = stored(joined.join(least, "root").select("print", "component_id"), "components")
+    joined = joined.select("print", "least", "rows", F.coalesce("root", "print").alias("root"))
+    joined = stored(joined, "rooted")
+    least = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    of = join_hot(joined, stored(least, "least"), "root", "members").select("print", "component_id", "rows")
     shown = F.lpad(F.lower(F.hex("print")), 16, "0")
-    return rows.join(of, "print").select("doc_id", shown.alias("fingerprint"), "component_id")
-
-
-def _several(text: bytes, words: int, seeds: int, seed: int = 42) -> list[int]:
-    """Fingerprints of the set of a text's words by ``seeds`` hashes, then one of shingles."""
-    known = set(text.lower().split())
-    hashes = np.fromiter(map(xxh64_intdigest, known, repeat(seed)), np.uint64, len(known))
-    found = []
-    for number in range(seeds):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        majority = 2 * bits.sum(0, dtype=np.int64) > len(known)
-        found.append(int.from_bytes(np.packbits(majority, bitorder="little").tobytes(), "little"))
-        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * number)
-        hashes ^= hashes >> np.uint64(32)
-    return [*found, fingerprint(text, words, seed)]
-
-
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The different hashes of a text's word shingles, in ascending order."""
-    parts = text.lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxh64_intdigest, parts), np.uint64, len(parts))
-    size = min(words, len(parts))
-    n = len(parts) - size + 1
-    total = np.full(n, size, np.uint64)
-    for i in range(size):
-        total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25) + hashes[i : i + n]
-    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return np.unique(total ^ (total >> np.uint64(29)))
-
-
-def _prefix(shingles: np.ndarray, similarity: float, hot: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The first shingles in an order common to all texts: two sets as similar as that share one.
-
-    Those in ``hot`` (ascending) are last in the order, by ``place`` and then their hashes; the
-    others are in order of their hashes.
-    """
-    n = len(shingles)
-    size = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
-    if not len(hot) or not n:
-        return shingles[:size]
-    at = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
-    is_hot = hot[at] == shingles
-    last = shingles[is_hot][np.argsort(place[at[is_hot]], kind="stable")]
-    return np.concatenate([shingles[~is_hot], last])[:size]
-
-
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """``row, set``: a digest of each text's set of shingles."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found = [xxh3_128_digest(shingle_set(t, words).tobytes()) for t in raw_texts(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.binary())], ["row", "set"])
-
-    return texts.mapInArrow(work, "row bigint, set binary")
-
-
-def _prefixes(texts: DataFrame, words: int, similarity: float, hot=None) -> DataFrame:
-    """``row, n, key``: number of shingles of each text, and each of its first ones.
-
-    Without ``hot``, the places of shared shingles, the first are by hash and ``WIDER`` times as many.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(hot)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            sizes, lists = [], []
-            for text in raw_texts(part.column("text")):
-                found = shingle_set(text, words)
-                sizes.append(len(found))
-                if shared.value is None:
-                    first = found[: WIDER * (len(found) - int(similarity * len(found)) + 1)]
-                else:
-                    first = _prefix(found, similarity, *shared.value)
-                lists.append(first.view(np.int64))
-            arrays = [part.column("row"), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "n", "prefix"])
-
-    found = texts.mapInArrow(work, "row bigint, n bigint, prefix array<bigint>")
-    return found.select("row", "n", F.explode("prefix").alias("key"))
-
-
-def _shingles(texts: DataFrame, words: int) -> DataFrame:
-    """``row, shingles``: the different hashes of each text's word shingles."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            lists = [shingle_set(text, words).view(np.int64) for text in raw_texts(part.column("text"))]
-            arrays = [part.column("row"), pa.array(lists, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "shingles"])
-
-    return texts.mapInArrow(work, "row bigint, shingles array<bigint>")
-
-
-def similar_links(
-    rows: list[int], roots: list[int], sides: list[bool], sets: list[np.ndarray], similarity: float
-) -> list[tuple[int, int]]:
-    """Links of similar sets that join what all similar pairs join.
-
-    Rows of equal root are joined already. If there are rows of two sides, pairs of one
-    side are left to others.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    known, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    label, side = np.unique(np.array(roots), return_inverse=True)[1], np.array(sides)
-    across, mark, found = bool(side.any() and not side.all()), np.zeros(len(known), bool), []
-    for i in range(len(rows) - 1):
-        after = slice(i + 1, None)
-        least, most = np.minimum(sizes[after], sizes[i]), np.maximum(sizes[after], sizes[i])
-        open_ = (label[after] != label[i]) & (least >= similarity * most)
-        if across:
-            open_ &= side[after] != side[i]
-        others = i + 1 + np.flatnonzero(open_)
-        if not len(others):
-            continue
-        own = ids[starts[i] : starts[i] + sizes[i]]
-        mark[own] = True
-        ends = np.cumsum(sizes[others])
-        first = ends - sizes[others]
-        at = np.repeat(starts[others] - first, sizes[others]) + np.arange(ends[-1])
-        both = np.add.reduceat(mark[ids[at]], first, dtype=np.int64)
-        mark[own] = False
-        for j in others[both >= similarity * (sizes[i] + sizes[others] - both)].tolist():
-            if label[j] != label[i]:
-                label[label == label[j]] = label[i]
-                found.append((rows[i], rows[j]))
-    return found
-
-
-def _verified(members: DataFrame, sets: DataFrame, similarity: float, whole: bool) -> DataFrame:
-    """``a, b``: links of similar pairs among ``members (key, row, root, n)`` of equal keys.
-
-    Keys with many shingles are cut into chunks. With ``whole`` every pair of chunks is
-    compared, without it each chunk by itself.
-    """
-    sizes = members.groupBy("key").agg(
-        F.sum("n").alias("total"), F.min("root").alias("low"), F.max("root").alias("high")
-    ).where("low < high")
-    chunks = F.ceil(F.col("total") / MEETING).cast("int")
-    joined = members.join(sizes.select("key", chunks.alias("chunks")), "key")
-    own = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int").alias("own")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)) if whole else own
-    spread = joined.select("key", "row", "root", own, other.alias("other"))
-    lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
-    spread = spread.select("key", "row", "root", lo, hi, (F.col("own") > F.col("other")).alias("side"))
-    group = ["key", "lo", "hi"]
-    laid = spread.join(sets, "row").repartition(*group).sortWithinPartitions(*group)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, []
-
-        def close() -> pa.RecordBatch:
-            found = similar_links(*zip(*held), similarity) if len(held) > 1 else []
-            columns = list(zip(*found)) or [(), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-        for batch in batches:
-            keys = zip(*[batch.column(c).to_pylist() for c in group])
-            rows = zip(*[batch.column(c).to_pylist() for c in ("row", "root", "side")], batch.column("shingles"))
-            for key, (*values, shingles) in zip(keys, rows):
-                if key != last:
-                    if held:
-                        yield close()
-                    last, held = key, []
-                held.append((*values, shingles.values.to_numpy().copy()))
-        if held:
-            yield close()
-
-    return laid.select(*group, "row", "root", "side", "shingles").mapInArrow(work, "a bigint, b bigint")
-
-
-def _candidates(prints: DataFrame, seeds: int, second_radius: int) -> DataFrame:
-    """``row, key``: rows whose fingerprints link them have the same key."""
-    edges = None
-    for number in range(seeds):
-        print_ = F.col(f"p{number}").alias("print")
-        each = prints.select("row", print_, "second")
-        vertices = each.groupBy("print", "second").agg(F.min("row").alias("vertex"))
-        vertices = stored(vertices, "near-vertices")
-        same = each.join(vertices, ["print", "second"]).where("row != vertex")
-        found = same.select(F.col("row").alias("a"), F.col("vertex").alias("b"))
-        found = found.unionByName(links(vertices, 3, second_radius))
-        edges = found if edges is None else edges.unionByName(found)
-    return components(edges).select(F.col("vertex").alias("row"), F.col("root").alias("key"))
-
-
-def _with_roots(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """``members (key, row, n)`` with the component of each row."""
-    roots = components(edges).withColumnRenamed("vertex", "row")
-    joined = members.join(roots, "row", "left")
-    return joined.select("key", "row", F.coalesce("root", "row").alias("root"), "n")
-
-
-def _similar(
-    rows: DataFrame, words: int, similarity: float, seeds: int, second_radius: int
-) -> DataFrame:
-    """``a, b``: links of similar pairs that join what all similar pairs of ``rows (row, text)`` join."""
-    sets = stored(_sets(rows, words), "near-sets")
-    # Rows of equal sets are one vertex.
-    first = sets.groupBy("set").agg(F.min("row").alias("a"), F.count("*").alias("many")).where("many > 1")
-    same = sets.join(first, "set").where("row != a").select("a", F.col("row").alias("b"))
-    same = stored(same, "near-same")
-    once = rows.join(same.select(F.col("b").alias("row")), "row", "left_anti")
-    # Shingles that rows share go last in the order, the most shared at the end: a choice of
-    # speed, as any order finds all pairs.
-    counts = _prefixes(once, words, similarity).groupBy("key").count().where("count > 1")
-    hot = stored(counts, "near-counts").orderBy(F.desc("count"), "key").limit(HOTTEST).toArrow()
-    hot, many = hot.column("key").to_numpy().view(np.uint64), hot.column("count").to_numpy()
-    order = np.argsort(hot)
-    # All that can be similar share a shingle of this prefix; equal lists of rows are compared once.
-    prefixes = _prefixes(once, words, similarity, (hot[order], many[order]))
-    lists = prefixes.groupBy("key").agg(
-        F.count("*").alias("many"),
-        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("s1"),
-        F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("s2"),
-    ).where("many > 1")
-    lists = stored(lists.groupBy("many", "s1", "s2").agg(F.min("key").alias("key")).select("key", "many"), "near-lists")
-    members = stored(prefixes.join(lists, "key").select("key", "row", "n", "many"), "near-members")
-    met = stored(members.groupBy("row").agg(F.first("n").alias("n")), "near-met")
-    texts = rows.join(met.select("row"), "row", "left_semi")
-    shingles = stored(_shingles(texts, words), "near-shingles")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found = [_several(t, words, seeds) for t in raw_texts(part.column("text"))]
-            prints = np.array(found, np.uint64).reshape(-1, seeds + 1).view(np.int64)
-            names = ["row", *[f"p{i}" for i in range(seeds)], "second"]
-            columns = [pa.array(np.ascontiguousarray(c)) for c in prints.T]
-            yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names)
-
-    kinds = ", ".join(f"p{i} bigint" for i in range(seeds))
-    prints = stored(texts.mapInArrow(work, f"row bigint, {kinds}, second bigint"), "near-prints")
-    # Most similar rows are joined here, by fingerprints, and need not meet under each shingle.
-    close = _candidates(prints, seeds, second_radius).join(met, "row")
-    edges = stored(_verified(close.withColumn("root", F.col("row")), shingles, similarity, False), "near-links")
-    crowded = members.where(F.col("many") > CROWD).drop("many")
-    for _ in range(ROUNDS if crowded.limit(1).count() else 0):
-        # Of large lists, one row of each component.
-        each = _with_roots(crowded, edges).groupBy("key", "root").agg(F.min_by("row", "row").alias("row"), F.min_by("n", "row").alias("n"))
-        found = stored(_verified(each, shingles, similarity, False), "near-links")
-        if not found.limit(1).count():
-            break
-        edges = edges.unionByName(found)
-    rooted = stored(_with_roots(members.drop("many"), edges), "near-rooted")
-    found = stored(_verified(rooted, shingles, similarity, True), "near-links")
-    return edges.unionByName(found).unionByName(same)
+    found = join_hot(rows, stored(of, "components"), "print", "rows")
+    return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
 def without_near_copies(
     docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    seeds: int = 6,
-    second_radius: int = 20,
+    words: int = 3,
+    radius: int = 3,
+    seed: int = 42,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, less the near copies of others.
 
-    Texts are near copies if the sets of their shingles of ``words`` words have at least
-    this Jaccard similarity. All such pairs are found: two sets as similar as that share one
-    of their first shingles in any common order, here the rarest, and rows that share one are
-    compared exactly. Rows that fingerprints of the set of words bring together (at most
-    three bits apart by one of ``seeds`` hashes, with fingerprints of shingles closer than those
-    of unrelated texts) are compared before, so that few are left to meet under their shingles.
-    Of each component of similar rows the row of least id stays, as in ``near_groups``; a row
-    that goes is similar to one of its component, not always to the one that stays.
+    Near copies are the rows of a component of :func:`near_groups`. Of each component the row
+    of least id stays (a null id last, then by the order of reading), so a row that goes is
+    linked to the one that stays by close fingerprints, but need not be close to it itself.
     """
     rows, row = keyed(docs, "near-rows")
-    texts = picked(rows, row=row, text=text_col)
-    edges = _similar(texts, words, similarity, seeds, second_radius)
-    members = components(edges).select(F.col("vertex").alias("row"), "root")
-    members = stored(members.join(picked(rows, row=row, id=id_col), "row"), "near-groups")
-    least = F.min(F.struct(F.isnull("id").alias("none"), "id", "row"))
-    first = members.groupBy("root").agg(least.alias("least")).select("root", F.col("least.row").alias("kept"))
-    gone = members.join(first, "root").where("row != kept").select("row")
+    each = picked(rows, row=row, id=id_col, text=text_col)
+    each = each.select(F.struct(F.isnull("id").alias("none"), "id", "row").alias("doc_id"), "text")
+    groups = near_groups(each, words, radius, seed)
     # Hashed, the few that go spare the texts a sort.
-    gone = gone.withColumnRenamed("row", "gone").hint("shuffle_hash")
-    return rows.join(gone, rows[row] == gone["gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    of_row = unused("gone", rows.columns)
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id.row").alias(of_row)).hint("shuffle_hash")
+    return rows.join(gone, rows[row] == gone[of_row], "left_anti").select(*quoted(docs.columns))

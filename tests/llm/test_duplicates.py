@@ -110,7 +110,7 @@ def test_no_link_is_lost(spark, chunk, per_bucket, monkeypatch):
     ]
     values = np.unique(np.array(clouds, np.uint64))
     frame = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "print bigint")
-    vertices = frame.select(F.col("print").alias("vertex"), "print", F.lit(0).cast("long").alias("second"))
+    vertices = frame.select(F.col("print").alias("vertex"), "print")
     got = {r.vertex: r.root for r in components(simhash.links(vertices, 3, chunk=chunk)).collect()}
     classes = brute_classes(values.tolist(), 3)
     members = {}
@@ -125,75 +125,38 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
 
 
-def test_near_copies_go_and_others_stay(spark, empty, odd):
-    chance = random.Random(4)
-    docs = []
-    for i in range(60):
-        words = [f"w{chance.randint(0, 4000)}" for _ in range(150)]
-        docs.append((10 * i, " ".join(words)))
-        for n in range(i % 3):
-            changed = list(words)
-            changed[20 * n + 5] = "other"
-            docs.append((10 * i + n + 1, " ".join(changed)))
-    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], TEXT_SCHEMA)
-    kept = sorted(r.doc_id for r in simhash.without_near_copies(frame).collect())
-    assert kept == [10 * i for i in range(60)]
-    assert simhash.without_near_copies(frame).columns == frame.columns
+def test_near_copies_of_odd_and_empty_tables(empty, odd):
+    """Equal rows are near copies, as are texts without words, and a text beside itself twice."""
     assert simhash.without_near_copies(empty).count() == 0
-    # Equal rows count as near copies of one another, as do texts without words.
     left = simhash.without_near_copies(odd)
     assert left.columns == odd.columns
-    assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(["1", "3", "5", "8", "None"])
-
-
-def jaccard_components(docs, words=5, similarity=0.8):
-    """Of each row, the least id of its component of similar rows, by brute force."""
-    sets = {}
-    for i, text in docs:
-        w = text.lower().split()
-        sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))}
-    least = {i: i for i in sets}
-    pairs = [(a, b) for a in sets for b in sets if a < b
-             and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
-    for _ in sets:
-        for a, b in pairs:
-            least[a] = least[b] = min(least[a], least[b])
-    return least
-
-
-@pytest.mark.parametrize("meeting", [simhash.MEETING, 500])
-def test_near_copies_cut_or_longer_are_found(spark, monkeypatch, meeting):
-    """Truncated, appended and edited copies beside a line that all texts share."""
-    monkeypatch.setattr(simhash, "MEETING", meeting)
+    assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(["1", "3", "5", "None"])
+
+
+def test_near_copies_are_those_of_the_groups(spark, odd, odd_rows):
+    """One row of each component of close fingerprints stays, that of least id."""
     chance = random.Random(6)
-    some = lambda n: [f"w{chance.randint(0, 3000)}" for _ in range(n)]
-    line, docs = some(12), []
-    for _ in range(60):
-        words = some(chance.randint(100, 300)) + line
-        edited, at = list(words), chance.randint(20, 90)
-        edited[at : at + 3] = some(3)
-        share = chance.uniform(0.1, 0.24)
-        cut = words[: int(len(words) * (1 - share))]
-        longer = words + some(int(len(words) * share))
-        for copy in (words, cut, longer, edited):
-            docs.append((len(docs), " ".join(copy)))
-    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], TEXT_SCHEMA)
-    kept = sorted(r.doc_id for r in simhash.without_near_copies(frame).collect())
-    assert kept == sorted(set(jaccard_components(docs).values()))
-
-
-def test_one_of_a_group_around_a_centre_stays(spark):
-    """Copies that are similar to the base only, and the base does not have the least id."""
-    chance = random.Random(8)
-    base, docs = [f"w{chance.randint(0, 3000)}" for _ in range(150)], []
-    for i in range(20):
-        changed = list(base)
-        changed[7 * i + 3], changed[(7 * i + 60) % 140 + 5] = "one", "two"
-        docs.append((i, " ".join(changed)))
-    docs.append((20, " ".join(base)))
-    assert set(jaccard_components(docs).values()) == {0}
-    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], TEXT_SCHEMA)
-    assert [r.doc_id for r in simhash.without_near_copies(frame).collect()] == [0]
+    rows = list(odd_rows)
+    for i in range(40):
+        words = [f"w{chance.randint(0, 900)}" for _ in range(chance.choice([4, 60, 400]))]
+        for n in range(chance.randint(1, 4)):
+            rows.append((100 + 10 * i + n, " ".join(words), "en", "s", 1))
+            words[chance.randrange(len(words))] = "other"
+    frame = spark.createDataFrame(rows, TEXT_SCHEMA).withColumn("a`b", F.lit(1)).withColumn("row", F.lit(2))
+    groups = simhash.near_groups(frame).collect()
+    left = simhash.without_near_copies(frame)
+    assert left.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted({str(r.component_id) for r in groups})
+
+
+def test_a_hub_of_many_edges(spark):
+    """A vertex with most of the edges, beside a chain."""
+    edges = [(10_000, i) for i in range(20, 3000)] + [(i, i + 1) for i in range(5)]
+    found = components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)).collect()
+    assert {r.vertex: r.root for r in found} == {
+        **{i: 20 for i in range(20, 3000)}, 10_000: 20, **{i: 0 for i in range(6)}
+    }
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
 def test_suffix_array():
