@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, exact_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, toxicity, url_filter
+from navloom.llm import bpe, decontamination, exact_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, toxicity, url_filter
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -93,6 +93,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = read_texts(spark, folder), read(spark, folder, "benchmark")
+    return decontamination.contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
@@ -104,4 +116,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
+    "op11_decontamination": op11_decontamination,
 }

@@ -131,8 +131,41 @@ URL_FILTER = r"""
         AND r.s3 IS NOT DISTINCT FROM j.s3 AND r.more = j.more
 """
 
+DECONTAMINATION = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ),
+    items AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS name, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ),
+    starts AS (SELECT name, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT name, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM starts),
+    places AS (
+        SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m
+    ),
+    met AS (
+        SELECT r, p.m, i, name FROM places AS p JOIN windows AS x
+            ON p.m = x.m AND array_to_string(p.w[p.i:p.i + p.m - 1], ' ') = x.phrase
+    ),
+    hits AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + m)) AS k FROM met) GROUP BY r),
+    named AS (SELECT r, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+        FROM (SELECT DISTINCT r, name FROM met) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(x.n, 0) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits AS h USING (r) LEFT JOIN named AS x USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_url_filter": URL_FILTER,
     "op9_top_k": TOP_K,
+    "op11_decontamination": DECONTAMINATION,
 }
