@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from navloom.sources.shared import new_folder
+from navloom.sources.shared import new_folder, remove_folder
 
 #: Bytes of text that a task works on at once.
 SLICE_BYTES = 3_000_000
@@ -49,6 +49,8 @@ def stored(table: DataFrame, purpose: str, partition_by: list[str] | None = None
     """The table written to the shared folder and read again: cuts the lineage."""
     spark = table.sparkSession
     folder = new_folder(spark, purpose)
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
     writer = table.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -56,6 +58,26 @@ def stored(table: DataFrame, purpose: str, partition_by: list[str] | None = None
     return spark.read.schema(table.schema).parquet(folder)
 
 
+#: Folders of tables stored on the way to a result, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """The table that ``build`` makes, stored; tables stored on the way to it are removed."""
+    scope: list[str] = []
+    _SCOPES.append(scope)
+    try:
+        try:
+            table = build()
+        finally:
+            _SCOPES.pop()
+        # The result belongs to the scope around this one.
+        return stored(table, purpose)
+    finally:
+        for folder in scope:
+            remove_folder(spark, folder)
+
+
 def unused(name: str, names: Iterable[str]) -> str:
     """The name, led by underscores until no other has it; Spark's names have no case."""
     taken = {other.lower() for other in names}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from navloom.llm.common import join_hot, keyed, picked, quoted, raw_texts, stored, text_slices, unused
+from navloom.llm.common import join_hot, keyed, picked, quoted, raw_texts, settled, stored, text_slices, unused
 from navloom.llm.components import components
 
 BITS = 64
@@ -287,8 +287,12 @@ def without_near_copies(
     rows, row = keyed(docs, "near-rows")
     each = picked(rows, row=row, id=id_col, text=text_col)
     each = each.select(F.struct(F.isnull("id").alias("none"), "id", "row").alias("doc_id"), "text")
-    groups = near_groups(each, words, radius, seed)
-    # Hashed, the few that go spare the texts a sort.
     of_row = unused("gone", rows.columns)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id.row").alias(of_row)).hint("shuffle_hash")
+
+    def copies() -> DataFrame:
+        groups = near_groups(each, words, radius, seed)
+        return groups.where("doc_id != component_id").select(F.col("doc_id.row").alias(of_row))
+
+    # Hashed, the few that go spare the texts a sort.
+    gone = settled(docs.sparkSession, copies, "near-gone").hint("shuffle_hash")
     return rows.join(gone, rows[row] == gone[of_row], "left_anti").select(*quoted(docs.columns))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from navloom.llm import mixing, quality, topk, toxicity, url_filter
+from navloom.llm.common import stored
 from navloom.llm.labelled import fold
 from navloom.llm.queries import QUERIES
 from navloom.llm.sql import SQL
@@ -216,7 +217,7 @@ def test_pipeline(spark):
     columns, before = docs.columns, {r.doc_id: r.text or "" for r in docs.collect()}
     kept = dict(before)
     for name, stage in corpus_pipeline.STAGES[:3]:
-        docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), "test")
+        docs = stored(stage(spark, docs, FOLDER), "test")
         assert docs.columns == columns
         left = {r.doc_id: r.text or "" for r in docs.collect()}
         assert left.items() <= kept.items()
@@ -227,7 +228,7 @@ def test_pipeline(spark):
             assert set(left) == set(first.values())
         kept = left
     assert 0.7 * len(before) < len(kept) < len(before)
-    mixed = corpus_pipeline.stored(corpus_pipeline.mix_sources(spark, docs, FOLDER), "test")
+    mixed = stored(corpus_pipeline.mix_sources(spark, docs, FOLDER), "test")
     assert mixed.columns == columns and max(r["count"] for r in mixed.groupBy("doc_id").count().collect()) <= 2
     tokens = corpus_pipeline.to_tokens(spark, mixed, FOLDER)
     assert tokens.count() == mixed.count()
