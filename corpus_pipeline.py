@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navloom.llm import bpe, exact_dedup, mixing, quality, simhash
-from navloom.llm.common import TEXTS_PER_BATCH, keyed, quoted, read, read_texts, stored, unused
+from navloom.llm.common import TEXTS_PER_BATCH, keyed, quoted, read, read_texts, settled, unused
 from navloom.llm.labelled import fold
 from navloom.llm.queries import CUT, byte_ranks
 
@@ -41,10 +41,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ordered = rows.select(
         F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.col(row).alias("row")).alias("id"), "text"
     )
-    gone = exact_dedup.exact_groups(ordered, "id").where("not kept").select("doc_id.row")
-    # Hashed, the few that go spare the texts a sort; so do the copies below.
     of_row = unused("gone", rows.columns)
-    gone = gone.withColumnRenamed("row", of_row).hint("shuffle_hash")
+
+    def copies() -> DataFrame:
+        groups = exact_dedup.exact_groups(ordered, "id")
+        return groups.where("not kept").select(F.col("doc_id.row").alias(of_row))
+
+    # Hashed, the few that go spare the texts a sort; so do the copies below.
+    gone = settled(spark, copies, "exact-gone").hint("shuffle_hash")
     left = rows.join(gone, rows[row] == gone[of_row], "left_anti")
     return left.select(*quoted(docs.columns))
 
@@ -65,11 +69,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gives; a null source is one of its own; repeated rows are counted one by one.
     """
     rows, row = keyed(docs, "mix-rows")
-    copies = mixing.mix(rows, id_col=row).where("copies > 0")
     of_row, copy = unused("of_row", rows.columns), unused("copy", rows.columns)
-    copies = copies.select(
-        F.col("doc_id").alias(of_row), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy)
-    )
+
+    def taken() -> DataFrame:
+        each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+        mixed = mixing.mix(rows, id_col=row).where("copies > 0")
+        return mixed.select(F.col("doc_id").alias(of_row), each.alias(copy))
+
+    copies = settled(spark, taken, "mix-copies")
     joined = rows.join(copies.hint("shuffle_hash"), rows[row] == copies[of_row])
     return joined.select(*quoted(docs.columns))
 
@@ -103,9 +110,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_texts(spark, sf_dir)
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{number}")
-    return docs
+    def kept_by(stages: int) -> DataFrame:
+        """What the first stages keep; what each needed on the way is removed."""
+        if not stages:
+            return read_texts(spark, sf_dir)
+        stage = STAGES[stages - 1][1]
+        return settled(spark, lambda: stage(spark, kept_by(stages - 1), sf_dir), f"pipeline-{stages}")
+
+    return STAGES[-1][1](spark, kept_by(len(STAGES) - 1), sf_dir)
