@@ -39,7 +39,7 @@ KINDS = kinds(bytes(b for b in range(128) if not (chr(b).isalnum())))
 #: Words of a window.
 WINDOW = 10
 #: Bytes of texts in a segment of the index.
-SEGMENT_BYTES = 12_000_000
+SEGMENT_BYTES = 6_000_000
 #: A place is its text times ``TEXT`` plus its position plus ``SHIFT``: less the offset of a word
 #: in its item it still belongs to the same text.
 TEXT, SHIFT = 1 << 32, 1 << 30
@@ -53,12 +53,14 @@ class Index:
     lists: DataFrame
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build_index(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = SEGMENT_BYTES
+) -> Index:
     """The stored index of all words of all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, part in enumerate(segments(batches, "text", SEGMENT_BYTES)):
+        for number, part in enumerate(segments(batches, "text", segment_bytes)):
             segment = (task << 32) + number
             words = split_words(part.column("text"), KINDS)
             n = part.num_rows
@@ -333,9 +335,10 @@ def contamination(
     doc_text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
+    segment_bytes: int = SEGMENT_BYTES,
 ) -> DataFrame:
     """One row per text: ``doc_id, n_words, n_hit, items`` (ids in order of their text)."""
-    index = build_index(docs, doc_id_col, doc_text_col)
+    index = build_index(docs, doc_id_col, doc_text_col, segment_bytes)
     found = phrase_matches(index, items, window, item_id_col, item_text_col)
     hit = F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long")
     names = F.array_sort(F.collect_set("name"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import bpe, decontamination, exact_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, toxicity, url_filter
+from navloom.llm import bpe, clustering, collocations, decontamination, exact_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, toxicity, url_filter
 from navloom.llm.common import read, read_texts
 from navloom.llm.labelled import fold
 
@@ -105,6 +105,15 @@ def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found, centroids = clustering.clusters(read(spark, folder, "embeddings"), k=8, rounds=10, seed=3, width=64)
+    return clustering.with_inertia(found, centroids)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_texts(spark, folder), words=5, least=100, top=2_000)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_counts": op2_token_counts,
@@ -117,4 +126,6 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
     "op11_decontamination": op11_decontamination,
+    "op12_clusters": op12_clusters,
+    "op13_collocations": op13_collocations,
 }

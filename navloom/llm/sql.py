@@ -163,9 +163,89 @@ DECONTAMINATION = r"""
     FROM docs LEFT JOIN hits AS h USING (r) LEFT JOIN named AS x USING (r)
 """
 
+CLUSTERS = """
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id,
+            list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    hashed AS (SELECT v, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept),
+    centroids0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (FROM hashed ORDER BY h, v LIMIT 8)
+    ),
+"""
+CLUSTERS += "".join(
+    f"""
+    assigned{n} AS MATERIALIZED (
+        SELECT r, vec_id, k.v, min({{'d': CAST(list_sum(list_transform(list_zip(k.v, c.v),
+            lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}}) AS best
+        FROM kept AS k, centroids{n} AS c GROUP BY ALL
+    ),
+    sums{n} AS (
+        SELECT best.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM assigned{n}, range(1, 65) AS t(i) GROUP BY ALL
+    ),
+    centroids{n + 1} AS MATERIALIZED (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sums{n} GROUP BY c
+        UNION ALL SELECT c, v FROM centroids{n} WHERE c NOT IN (SELECT c FROM sums{n})
+    ),"""
+    for n in range(11)
+)
+CLUSTERS += """
+    last AS (SELECT vec_id, best.c AS c, best.d AS d FROM assigned10)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance,
+        CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(v, ',')) AS centroid_sha256
+    FROM last JOIN centroids10 USING (c)
+"""
+
+COLLOCATIONS = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS t(k) WHERE len(w) >= k),
+    counts AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+        FROM places GROUP BY ALL HAVING count(*) >= 100
+    ),
+    cuts AS (
+        SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM counts WHERE k > 1
+    ),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, cut, l.a AS l, r.a AS r, n,
+            CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+        FROM cuts AS c
+        JOIN counts AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:cut], ' ')
+        JOIN counts AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+        JOIN totals AS t ON t.lang = c.lang
+    ),
+    lowest AS (
+        FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ),
+    left_ AS (
+        FROM lowest AS s WHERE NOT EXISTS (
+            FROM counts AS x WHERE x.lang = s.lang AND x.a >= s.a AND x.phrase <> s.phrase
+                AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' '))
+    ),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score
+        FROM left_
+    )
+    FROM ranked WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_url_filter": URL_FILTER,
     "op9_top_k": TOP_K,
     "op11_decontamination": DECONTAMINATION,
+    "op12_clusters": CLUSTERS,
+    "op13_collocations": COLLOCATIONS,
 }

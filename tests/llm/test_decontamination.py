@@ -63,10 +63,9 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("segment_bytes", [decontamination.SEGMENT_BYTES, 2_000])
-def test_phrases(tables, monkeypatch, segment_bytes):
-    monkeypatch.setattr(decontamination, "SEGMENT_BYTES", segment_bytes)
+def test_phrases(tables, segment_bytes):
     docs, items, to_docs, to_items = tables
-    assert rows_of(decontamination.contamination(to_docs, to_items)) == brute(docs, items)
+    assert rows_of(decontamination.contamination(to_docs, to_items, segment_bytes=segment_bytes)) == brute(docs, items)
 
 
 def test_phrases_of_other_windows_and_of_nothing(tables):
