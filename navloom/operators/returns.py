@@ -251,14 +251,22 @@ def returns_of_rollup(rollup: DataFrame) -> DataFrame:
     count as a day and its attributes do not describe a month, so a month that
     holds nothing else drops out.
     """
+    return returns_of_openings(with_openings(rollup))
+
+
+def with_openings(rollup: DataFrame) -> DataFrame:
+    """Adds ``opening``, the last quote before each month of a series, and ``previous_month``."""
     in_series = Window.partitionBy(*SERIES).orderBy("month")
-    opening = F.lag("unit_value").over(in_series)
-    framed = rollup.select(
+    return rollup.select(
         "*",
-        opening.alias("opening"),
-        F.lag("month").over(in_series).isNull().alias("is_first"),
+        F.lag("unit_value").over(in_series).alias("opening"),
+        F.lag("month").over(in_series).alias("previous_month"),
     )
-    first = F.col("is_first")
+
+
+def returns_of_openings(framed: DataFrame) -> DataFrame:
+    """:func:`returns_of_rollup` of a rollup that has its openings."""
+    first = F.col("previous_month").isNull()
     observed = framed.withColumn(
         "obs_days", F.when(first, F.col("reports") - 1).otherwise(F.col("reports"))
     ).filter(F.col("obs_days") > 0)

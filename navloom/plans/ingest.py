@@ -9,19 +9,20 @@ from navloom.operators.staging import coerce_reports
 from navloom.sources.archives import (
     STATUS_SCHEMA,
     archive_files,
-    archive_rows,
-    archive_status,
+    closing_records,
     newest_sound,
-    readable,
+    rows_of_chosen,
+    staged_archives,
 )
 from navloom.sources.lake import lake_months, write_lake
-from navloom.sources.shared import new_folder
+from navloom.sources.shared import new_folder, remove_folder
+from navloom.sources.snapshots import MonthTable
 
 
 def ingest_archives(
     spark: SparkSession,
     source: str,
-    lake: str,
+    lake: str | MonthTable,
     skip_present: bool = True,
     log: str | None = None,
 ) -> DataFrame:
@@ -31,13 +32,15 @@ def ingest_archives(
     is left as it is, unless ``skip_present`` is off, when it is replaced. Every archive gets
     a status row, stored in ``log`` (default: a new folder): ``ok`` is in the lake now,
     ``present`` was not looked at, ``superseded`` is older than another of its month, and
-    ``failed`` could not be read. Broken archives do not stop the others.
+    ``failed`` could not be read. Broken archives do not stop the others. ``lake`` is the
+    folder of a lake or a versioned one, of which readers see all new months at once.
     """
     files = archive_files(spark, source)
     present = None
     if skip_present:
         # Labels are four and two digits, so there are never many of them.
-        months = F.broadcast(lake_months(spark, lake))
+        known = lake.months() if isinstance(lake, MonthTable) else lake_months(spark, lake)
+        months = F.broadcast(known)
         present = files.join(months, "year_month", "left_semi")
         files = files.join(months, "year_month", "left_anti")
     return ingest_files(files, lake, log or new_folder(spark, "ingest-status"), present)
@@ -45,34 +48,40 @@ def ingest_archives(
 
 def ingest_files(
     files: DataFrame,
-    lake: str,
+    lake: str | MonthTable,
     log: str,
     present: DataFrame | None = None,
     earlier: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`ingest_archives` for given rows as ``archive_files`` makes them.
 
-    First all archives are read through and their status is stored, then the rows of
-    the chosen ones are written, so that half a broken archive never reaches the lake.
-    ``earlier`` is the status of what the months of the lake hold.
+    Every archive is opened once: its rows go, typed, to a staging folder, followed by a
+    closing record that says whether all of it could be read. From these records the status
+    is stored, and the rows of the chosen archives are promoted from staging to the lake, so
+    that half a broken archive never reaches it. ``earlier`` is the status of what the
+    months of the lake hold.
     """
     spark = files.sparkSession
-    status = newest_sound(archive_status(files), earlier)
-    if present is not None:
-        status = status.unionByName(
-            present.select(
-                "path",
-                "year_month",
-                "modified",
-                F.lit(None).cast("boolean").alias("ok"),
-                F.lit(None).cast("bigint").alias("rows"),
-                F.lit(None).cast("string").alias("error"),
-                F.lit("present").alias("state"),
+    staging = new_folder(spark, "ingest-staging")
+    try:
+        typed = coerce_reports(staged_archives(files))
+        typed.write.option("compression", "snappy").parquet(staging)
+        staged = spark.read.schema(typed.schema).parquet(staging)
+        status = newest_sound(closing_records(staged).drop("archive"), earlier)
+        if present is not None:
+            status = status.unionByName(
+                present.select("path", "year_month", "modified", F.lit("present").alias("state")),
+                allowMissingColumns=True,
             )
-        )
-    status.write.mode("overwrite").parquet(log)
-    status = spark.read.schema(STATUS_SCHEMA).parquet(log)
-    write_lake(coerce_reports(archive_rows(readable(files, status))), lake)
+        status.write.mode("overwrite").parquet(log)
+        status = spark.read.schema(STATUS_SCHEMA).parquet(log)
+        rows = rows_of_chosen(staged, status)
+        if isinstance(lake, MonthTable):
+            lake.replace(rows)
+        else:
+            write_lake(rows, lake)
+    finally:
+        remove_folder(spark, staging)
     return status
 
 

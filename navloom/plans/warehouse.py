@@ -63,19 +63,19 @@ def store(table: DataFrame, path: str, by: str | None = None) -> DataFrame:
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    schemas = _schemas(spark)
+    known = schemas(spark)
     return {
-        name: spark.read.schema(schemas[name]).parquet(f"{root}/{name}") for name in MARTS
+        name: spark.read.schema(known[name]).parquet(f"{root}/{name}") for name in MARTS
     }
 
 
-def _schemas(spark: SparkSession) -> dict[str, StructType]:
+def schemas(spark: SparkSession) -> dict[str, StructType]:
     """Those of marts over no reports: a table without rows may have no file to tell."""
     columns = ", ".join(f"{name} {kind}" for name, kind in RAW_TO_STAGED.values())
     rollup = month_rollup(spark.createDataFrame([], columns))
     dimension = dimension_of_rollup(rollup)
     fact = monthly_fact(returns_of_rollup(rollup), dimension)
-    tables = {"dimension": dimension, "fact": fact, "top": top_by_month(fact)}
+    tables = {"rollup": rollup, "dimension": dimension, "fact": fact, "top": top_by_month(fact)}
     return {name: table.schema for name, table in tables.items()}
 
 

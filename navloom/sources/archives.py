@@ -28,6 +28,8 @@ STATUS_SCHEMA = (
     "path string, year_month string, modified timestamp, ok boolean, rows bigint,"
     " error string, state string"
 )
+CLOSING = "archive bigint, path string, modified timestamp, ok boolean, rows bigint, error string"
+STAGED_SCHEMA = f"{CLOSING}, {ROWS_SCHEMA}"
 INSPECTED_ARROW = pa.schema(
     [("path", pa.string()), ("ok", pa.bool_()), ("rows", pa.int64()), ("error", pa.string())]
 )
@@ -75,15 +77,15 @@ def newest_sound(status: DataFrame, earlier: DataFrame | None = None) -> DataFra
     Newest is by time of modification, then path. ``earlier`` are the archives of former
     runs that months now hold; an archive older than that of its month is superseded too.
     """
-    columns = ["path", "year_month", "modified", "ok"]
-    sound = status.select(*columns, F.lit(True).alias("now")).filter("ok")
+    given = status.withColumn("now", F.lit(True))
     if earlier is not None:
-        sound = sound.unionByName(earlier.select(*columns, F.lit(False).alias("now")))
-    newest = Window.partitionBy("year_month").orderBy(F.desc("modified"), F.desc("path"), F.desc("now"))
-    chosen = sound.withColumn("place", F.row_number().over(newest))
-    chosen = chosen.filter("place = 1 AND now").select("path", F.lit("ok").alias("chosen"))
-    state = F.when(~F.col("ok"), "failed").otherwise(F.coalesce("chosen", F.lit("superseded")))
-    return status.join(chosen, "path", "left").withColumn("state", state).drop("chosen")
+        held = earlier.select("path", "year_month", "modified", "ok", F.lit(False).alias("now"))
+        given = given.unionByName(held, allowMissingColumns=True)
+    # One pass: the status may be a plan that reads all archives.
+    newest = Window.partitionBy("year_month").orderBy(F.desc("ok"), F.desc("modified"), F.desc("path"), F.desc("now"))
+    placed = given.withColumn("place", F.row_number().over(newest))
+    state = F.when(~F.col("ok"), "failed").when(F.col("place") == 1, "ok").otherwise("superseded")
+    return placed.withColumn("state", state).filter("now").drop("now", "place")
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
@@ -96,6 +98,34 @@ def archive_rows(files: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "year_month")
 
 
+def staged_archives(files: DataFrame) -> DataFrame:
+    """All archives read once: their report rows, and a closing record for each.
+
+    ``archive`` numbers the archives; closing records alone have ``path``, ``modified``, ``ok``,
+    ``rows`` and ``error``. The rows of an archive that breaks off are there up to the break,
+    so take those of archives only whose closing record is ``ok``. Nothing is moved: rows
+    stay with the task that opened their archive.
+    """
+    given = files.select("path", "year_month", "modified", F.monotonically_increasing_id().alias("archive"))
+    return given.mapInArrow(_read_through, STAGED_SCHEMA)
+
+
+def closing_records(staged: DataFrame) -> DataFrame:
+    """The status of each archive from stored rows of :func:`staged_archives`."""
+    return staged.filter("ok is not null").select("archive", "path", "year_month", "modified", "ok", "rows", "error")
+
+
+def rows_of_chosen(staged: DataFrame, status: DataFrame) -> DataFrame:
+    """The report rows of the archives whose state is ``ok`` in ``status``.
+
+    There is one such archive per month at most, so their numbers are broadcast to the scan.
+    """
+    chosen = closing_records(staged).select("archive", "path")
+    chosen = chosen.join(F.broadcast(status.filter("state = 'ok'").select("path")), "path", "left_semi")
+    rows = staged.filter("ok is null").join(F.broadcast(chosen.select("archive")), "archive", "left_semi")
+    return rows.select("year_month", *RAW_COLUMNS)
+
+
 def read_archives(spark: SparkSession, source: str) -> tuple[DataFrame, DataFrame]:
     """Rows of the newest sound archive of each month below ``source``, and the status of all.
 
@@ -207,3 +237,36 @@ def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays(
                         [label, *part.columns], names=["year_month", *RAW_COLUMNS]
                     )
+
+
+def _read_through(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        stamp = batch.schema.field("modified").type
+        names = ["archive", "path", "modified", "ok", "rows", "error", "year_month", *RAW_COLUMNS]
+        kinds = [pa.int64(), pa.string(), stamp, pa.bool_(), pa.int64(), *[pa.string()] * (2 + len(RAW_COLUMNS))]
+        staged = pa.schema(zip(names, kinds))
+
+        def filled(n: int, **known: pa.Array) -> pa.RecordBatch:
+            columns = [known.get(field.name, None) for field in staged]
+            columns = [pa.nulls(n, f.type) if c is None else c for c, f in zip(columns, staged)]
+            return pa.RecordBatch.from_arrays(columns, schema=staged)
+
+        for at in range(batch.num_rows):
+            number, path, month, modified = (
+                batch.column(c).slice(at, 1) for c in ("archive", "path", "year_month", "modified")
+            )
+            rows, error = 0, None
+            try:
+                if not month[0].is_valid:
+                    raise ValueError("no period YYYYMM in the file name")
+                with open_archive(path[0].as_py()) as file:
+                    for part in _batches(file):
+                        rows += part.num_rows
+                        same = {"archive": pa.repeat(number[0], part.num_rows), "year_month": pa.repeat(month[0], part.num_rows)}
+                        yield filled(part.num_rows, **same, **dict(zip(part.schema.names, part.columns)))
+            except Exception as problem:  # any broken archive is a result here
+                rows, error = 0, f"{type(problem).__name__}: {problem}"
+            yield filled(
+                1, archive=number, path=path, year_month=month, modified=modified, ok=pa.array([error is None]),
+                rows=pa.array([rows]), error=pa.array([error], pa.string()),
+            )

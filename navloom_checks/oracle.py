@@ -507,6 +507,19 @@ spine AS (SELECT DISTINCT w.month, s.bin FROM within w, (SELECT UNNEST(RANGE(1,
            CASE WHEN MIN(MONTH("DT_COMPTC")) % 3 = 0 THEN 0 ELSE COUNT(*) END AS in_lake
            FROM raw GROUP BY STRFTIME("DT_COMPTC", '%Y-%m')""",
     ),
+    "lake_versions": select(
+        RAW,
+        """SELECT STRFTIME("DT_COMPTC", '%Y-%m') AS year_month,
+           COUNT(*) FILTER (WHERE "NR_COTST" > 1 OR STRFTIME("DT_COMPTC", '%Y-%m') >= '1998-01') AS rows_before,
+           COUNT(*) AS rows_after FROM raw GROUP BY STRFTIME("DT_COMPTC", '%Y-%m')""",
+    ),
+    "archives_to_versions": select(
+        RAW,
+        f"""{RAW_SELECT}, STRFTIME("DT_COMPTC", '%Y-%m') AS year_month FROM raw
+            WHERE MONTH("DT_COMPTC") % 3 <> 0""",
+    ),
+    "marts_after_one_month": select(FACT, f"{FACT_SELECT} FROM fact"),
+    "ranking_after_one_month": select(TOP, TOP_SELECT),
     "missing_cells": select(
         RAW,
         f"""{RAW_SELECT}, reader

@@ -25,10 +25,12 @@ from navloom.operators import benchmark as bench
 from navloom.operators import documents, marts, quality, reports, returns
 from navloom.operators.staging import coerce_reports, stage_reports
 from navloom.plans.ingest import ingest_archives
+from navloom.plans.refresh import VersionedMarts
 from navloom.plans.warehouse import Ranking, build_marts, publish, store, table_inventory
 from navloom.sources import delimited, lake
 from navloom.sources.lineitem_reports import lineitem_reports, orders_benchmark
 from navloom.sources.shared import new_folder
+from navloom.sources.snapshots import MonthTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -426,6 +428,53 @@ def archive_failures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def lake_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per month that a reader saw who began before some months were replaced, and one after."""
+    reports_ = labelled(spark, folder)
+    table = MonthTable(spark, new_folder(spark, "versions"), lake.LAKE_SCHEMA)
+    table.replace(reports_.filter("NR_COTST > 1 OR year_month >= '1998-01'"))
+    before = table.read()
+    table.replace(reports_.filter("year_month < '1998-01'"))
+    count = lambda rows, name: rows.groupBy("year_month").agg(F.count("*").alias(name))
+    both = count(before, "rows_before").join(count(table.read(), "rows_after"), "year_month", "full")
+    return both.select("year_month", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("rows_before", "rows_after")])
+
+
+@query
+def archives_to_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives ingested into a versioned lake, broken ones among them."""
+    source, root = new_folder(spark, "archives"), new_folder(spark, "versions")
+    pack_archives(labelled(spark, folder), source, broken=3)
+    table = MonthTable(spark, root, lake.LAKE_SCHEMA)
+    ingest_archives(spark, source, table)
+    return rounded(table.read())
+
+
+def _after_one_month(spark: SparkSession, folder: str) -> VersionedMarts:
+    """Marts built while one month had other quotes and lacked series, then refreshed for that month."""
+    reports_ = stored_staged(spark, folder)
+    in_month = F.date_trunc("month", "as_of") == F.lit("1996-03-01").cast("date")
+    other = reports_.filter(~in_month | (F.col("holders") > 1)).withColumn(
+        "unit_value", F.when(in_month, F.col("unit_value") / 2).otherwise(F.col("unit_value"))
+    )
+    versioned = VersionedMarts(spark, new_folder(spark, "versioned-marts"), RANKING)
+    versioned.build(other)
+    versioned.refresh(reports_.filter(in_month), ["1996-03-01"])
+    return versioned
+
+
+@query
+def marts_after_one_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after the refresh of one month: the same as of a full build."""
+    return rounded(_after_one_month(spark, folder).read("fact"))
+
+
+@query
+def ranking_after_one_month(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_after_one_month(spark, folder).read("top"))
+
+
 @query
 def missing_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Ids that are texts for a missing value, read as plain text and from archives."""
