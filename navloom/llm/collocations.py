@@ -4,7 +4,7 @@ Texts of one language are brought together in segments, stored as numbered words
 hashes of a segment's words numpy takes prefix sums of a polynomial in an odd base, modulo
 2**64; the fingerprint of any run of words is the difference of two of them, divided by a power of
 the base. A segment sends each different fingerprint once, with its count and a pointer to
-an occurrence; a shuffle adds the counts up. Fingerprints that are frequent in a language go
+an occurrence; a shuffle brings equal ones together and adds the counts up. Frequent ones go
 back to the segments that sent them, which show the words behind each pointer. Phrases are
 counted by these words, so different phrases under one fingerprint are told apart, and text
 is made for frequent ones only. In a segment equal fingerprints are compared by their words
@@ -36,14 +36,17 @@ from navloom.llm.common import picked, stored, text_slices
 from navloom.llm.words import kinds, split_words
 
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
-#: Bytes of texts in a segment.
-SEGMENT_BYTES = 6_000_000
+#: Bytes of texts in a segment: larger ones send fewer fingerprints and take more memory.
+SEGMENT_BYTES = 12_000_000
 #: Base of the polynomials, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 SEGMENT = "segment bigint, lang string, vocabulary array<binary>, codes binary, first binary"
-PART = "segment bigint, lang string, n int, print bigint, count bigint, place bigint, phrase string"
+PART = "segment bigint, print bigint, count int, place int"
+PHRASE = "lang string, n int, phrase string, count bigint"
+PART_ARROW = pa.schema({"segment": pa.int64(), "print": pa.int64(), "count": pa.int32(), "place": pa.int32()})
+PHRASE_ARROW = pa.schema({"lang": pa.string(), "n": pa.int32(), "phrase": pa.string(), "count": pa.int64()})
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -126,58 +129,46 @@ class Segment:
         self.vocabulary = row.column("vocabulary")[0].values
         self.codes = np.frombuffer(row.column("codes")[0].as_py(), np.int32)
         new = np.unpackbits(np.frombuffer(row.column("first")[0].as_py(), np.uint8), count=len(self.codes))
-        self.piece = np.cumsum(new)
-        hashes = np.fromiter(map(xxh64_intdigest, self.vocabulary.to_pylist()), np.uint64, len(self.vocabulary))
-        self.hashes, self.bits = hashes[self.codes], bits
+        self.piece, self.bits = np.cumsum(new, dtype=np.int32), bits
 
-    def table(self, n: int, prints, counts, places, phrases=None) -> pa.Table:
-        size = len(prints)
-        return pa.table({
-            "segment": pa.array(np.full(size, self.key, np.int64)),
-            "lang": pa.array([self.lang] * size, pa.string()),
-            "n": pa.array(np.full(size, n, np.int32)),
-            "print": pa.array(np.asarray(prints).view(np.int64)),
-            "count": pa.array(np.asarray(counts, np.int64)),
-            "place": pa.array(np.asarray(places, np.int64)),
-            "phrase": pa.nulls(size, pa.string()) if phrases is None else phrases.cast(pa.string()),
-        })
+    def prints(self, n: int) -> np.ndarray:
+        """Fingerprints of all runs of ``n`` words, other ones in each language."""
+        hashes = np.fromiter(map(xxh64_intdigest, self.vocabulary.to_pylist()), np.uint64, len(self.vocabulary))
+        own = np.uint64(xxh64_intdigest(self.lang) & ((1 << self.bits) - 1))
+        return fingerprints(hashes[self.codes], n, self.bits) ^ own
 
     def parts(self, n: int, known: np.ndarray | None) -> pa.Table:
         """Runs of ``n`` words; ``known`` are the frequent fingerprints of one word less."""
-        prints = fingerprints(self.hashes, n, self.bits)
+        prints = self.prints(n)
         size = len(prints)
         open_ = self.piece[:size] == self.piece[len(self.codes) - size :]
         if known is not None:
-            frequent = np.isin(fingerprints(self.hashes, n - 1, self.bits), known)
+            frequent = np.isin(self.prints(n - 1), known)
             open_ &= frequent[:size] & frequent[1 : size + 1]
         places = np.flatnonzero(open_)
-        if not len(places):
-            return self.table(n, np.zeros(0, np.uint64), [], [])
-        return self.table(n, *counted(prints[places], places, self.codes, n))
+        found = counted(prints[places], places, self.codes, n) if len(places) else (prints[:0], places, places)
+        return pa.table({
+            "segment": pa.array(np.full(len(found[0]), self.key, np.int64)),
+            "print": pa.array(found[0].view(np.int64)),
+            "count": pa.array(found[1].astype(np.int32)),
+            "place": pa.array(found[2].astype(np.int32)),
+        })
 
-    def phrases(self, n: int, frequent: pa.Table) -> pa.Table:
+    def phrases(self, frequent: pa.Table) -> pa.Table:
         """The words behind the pointers of frequent fingerprints."""
-        places = frequent.column("place").to_numpy()
-        words = [self.vocabulary.take(pa.array(self.codes[places + k])) for k in range(n)]
-        text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())) if n > 1 else words[0]
-        prints, counts = (frequent.column(c).to_numpy() for c in ("print", "count"))
-        return self.table(n, prints, counts, places, text)
-
-
-def _step(n: int, last: bool, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Of a segment and its frequent runs of ``n`` words: their words, and runs of a word more."""
-
-    def work(row: pa.Table, frequent: pa.Table) -> pa.Table:
-        segment = Segment(row, bits)
-        if not len(frequent):
-            return segment.table(n, np.zeros(0, np.uint64), [], [])
-        found = segment.phrases(n, frequent.combine_chunks())
-        if last:
-            return found
-        known = np.unique(frequent.column("print").to_numpy()).view(np.uint64)
-        return pa.concat_tables([found, segment.parts(n + 1, known)])
-
-    return work
+        places, lengths = (frequent.column(c).to_numpy() for c in ("place", "n"))
+        tables = []
+        for n in np.unique(lengths).tolist():
+            own = lengths == n
+            words = [self.vocabulary.take(pa.array(self.codes[places[own] + k])) for k in range(n)]
+            text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())) if n > 1 else words[0]
+            tables.append(pa.table({
+                "lang": pa.array([self.lang] * len(text), pa.string()),
+                "n": pa.array(np.full(len(text), n, np.int32)),
+                "phrase": text.cast(pa.string()),
+                "count": frequent.column("count").filter(pa.array(own)).cast(pa.int64()),
+            }))
+        return pa.concat_tables(tables)
 
 
 def frequent_phrases(
@@ -195,24 +186,42 @@ def frequent_phrases(
     Fewer ``bits`` of fingerprints cost time and cannot change the result.
     """
     segments = _segments(docs, text_col, lang_col, segment_bytes)
-    columns = ["segment", "n", "print", "count", "place"]
-    whole = segments.groupBy("segment").applyInArrow(lambda t: Segment(t, bits).parts(1, None), PART)
-    parts = stored(whole, "phrase-parts")
-    totals = stored(parts.groupBy("lang").agg(F.sum("count").alias("words")), "word-totals")
-    shown = []
+    size = (F.octet_length("codes") / 4).cast("bigint")
+    totals = segments.groupBy("lang").agg(F.sum(size).alias("words"))
+    # A segment sends a fingerprint once, so one fingerprint is a row per segment at most.
+    total = F.sum("count").over(Window.partitionBy("print"))
+
+    def step(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        def work(row: pa.Table, frequent: pa.Table) -> pa.Table:
+            known = np.unique(frequent.column("print").to_numpy()).view(np.uint64)
+            return Segment(row, bits).parts(n, known) if len(known) else PART_ARROW.empty_table()
+
+        return work
+
+    levels: list[DataFrame] = []
     for n in range(1, words + 1):
-        sums = parts.where("phrase is null").groupBy("lang", "print").agg(F.sum("count").alias("total"))
-        known = stored(sums.where(F.col("total") >= least), "phrase-prints")
-        if known.isEmpty():
+        if not levels:
+            parts = segments.groupBy("segment").applyInArrow(lambda row: Segment(row, bits).parts(1, None), PART)
+        else:
+            both = segments.groupBy("segment").cogroup(levels[-1].groupBy("segment"))
+            parts = both.applyInArrow(step(n), PART)
+        frequent = parts.withColumn("total", total).where(F.col("total") >= least).drop("total")
+        frequent = stored(frequent.withColumn("n", F.lit(n)), "phrase-prints")
+        if frequent.isEmpty():
             break
-        frequent = parts.where("phrase is null").join(known, ["lang", "print"]).select(*columns)
-        both = segments.groupBy("segment").cogroup(frequent.groupBy("segment"))
-        parts = stored(both.applyInArrow(_step(n, n == words, bits), PART), "phrase-parts")
-        shown.append(parts.where("phrase is not null").select("lang", "n", "phrase", "count"))
-    if not shown:
-        return parts.select("lang", "n", "phrase", "count").limit(0), totals
+        levels.append(frequent)
+    if not levels:
+        return docs.sparkSession.createDataFrame([], PHRASE), totals
+
+    def shown(row: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not len(frequent):
+            return PHRASE_ARROW.empty_table()
+        return Segment(row, bits).phrases(frequent.combine_chunks())
+
+    pointers = reduce(DataFrame.unionByName, levels)
+    both = segments.groupBy("segment").cogroup(pointers.groupBy("segment"))
     # Counted by their words: the sum under a fingerprint may have been that of several phrases.
-    counts = reduce(DataFrame.unionByName, shown).groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
+    counts = both.applyInArrow(shown, PHRASE).groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
     return counts.where(F.col("count") >= least), totals
 
 

@@ -41,7 +41,7 @@ class Words:
 
 
 def split_words(column: pa.Array, table: np.ndarray) -> Words:
-    """Lower-cased words of a column of texts; null is a text without words."""
+    """Lower-cased words of a column of texts, below 2 GiB; null is a text without words."""
     column = pc.fill_null(column.cast(pa.large_string()), "").cast(pa.large_binary())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
@@ -57,12 +57,12 @@ def split_words(column: pa.Array, table: np.ndarray) -> Words:
     begins[1:] &= ~inside[:-1] | starts_text[1:-1]
     begin = np.flatnonzero(begins)
     # Word bytes alone: the length of a word is the way to the next one's first byte.
-    ends = np.append(np.cumsum(inside)[begin] - 1, inside.sum()).astype(np.int64)
+    ends = np.append(np.cumsum(inside, dtype=np.int32)[begin] - 1, inside.sum()).astype(np.int64)
     values = pa.py_buffer(np.ascontiguousarray(data[inside]))
     words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(ends), values])
     coded = words.dictionary_encode()
     text = np.searchsorted(offsets, begin, "right") - 1
-    broken = np.cumsum(kind == BREAK)[begin]
+    broken = np.cumsum(kind == BREAK, dtype=np.int32)[begin]
     first = np.searchsorted(text, np.arange(len(column) + 1))
     new = np.zeros(len(begin), bool)
     new[1:] = (broken[1:] != broken[:-1]) | (text[1:] != text[:-1])
