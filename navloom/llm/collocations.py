@@ -46,7 +46,14 @@ SEGMENT = "segment bigint, lang string, vocabulary array<binary>, codes binary,
 PART = "segment bigint, print bigint, count int, place int"
 PHRASE = "lang string, n int, phrase string, count bigint"
 PART_ARROW = pa.schema({"segment": pa.int64(), "print": pa.int64(), "count": pa.int32(), "place": pa.int32()})
-PHRASE_ARROW = pa.schema({"lang": pa.string(), "n": pa.int32(), "phrase": pa.string(), "count": pa.int64()})
+#: Phrases of a segment move as lists, one per bucket of fingerprints.
+PACKED = "bucket bigint, lang string, n array<int>, phrase array<string>, count array<bigint>"
+PACKED_ARROW = pa.schema({
+    "bucket": pa.int64(), "lang": pa.string(), "n": pa.list_(pa.int32()),
+    "phrase": pa.list_(pa.string()), "count": pa.list_(pa.int64()),
+})
+#: Phrases that a bucket holds on average.
+BUCKET = 200_000
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -154,21 +161,44 @@ class Segment:
             "place": pa.array(found[2].astype(np.int32)),
         })
 
-    def phrases(self, frequent: pa.Table) -> pa.Table:
-        """The words behind the pointers of frequent fingerprints."""
-        places, lengths = (frequent.column(c).to_numpy() for c in ("place", "n"))
-        tables = []
+    def phrases(self, frequent: pa.Table, buckets: int) -> pa.Table:
+        """The words behind the pointers of frequent fingerprints: a row per bucket of fingerprints."""
+        prints, places, lengths = (frequent.column(c).to_numpy() for c in ("print", "place", "n"))
+        bucket = (prints.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order, found = np.lexsort((lengths, bucket)), []
         for n in np.unique(lengths).tolist():
             own = lengths == n
             words = [self.vocabulary.take(pa.array(self.codes[places[own] + k])) for k in range(n)]
             text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())) if n > 1 else words[0]
-            tables.append(pa.table({
-                "lang": pa.array([self.lang] * len(text), pa.string()),
-                "n": pa.array(np.full(len(text), n, np.int32)),
-                "phrase": text.cast(pa.string()),
-                "count": frequent.column("count").filter(pa.array(own)).cast(pa.int64()),
-            }))
-        return pa.concat_tables(tables)
+            found.append((np.flatnonzero(own), text.cast(pa.string())))
+        at = np.argsort(np.concatenate([rows for rows, _ in found]))
+        text = pa.concat_arrays([text for _, text in found]).take(pa.array(at[order]))
+        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        ends = pa.array(np.append(first, len(order)).astype(np.int32))
+        lists = lambda values: pa.ListArray.from_arrays(ends, values)
+        return pa.table({
+            "bucket": pa.array(bucket[order][first]),
+            "lang": pa.array([self.lang] * len(first), pa.string()),
+            "n": lists(pa.array(lengths[order].astype(np.int32))),
+            "phrase": lists(text),
+            "count": lists(pa.array(frequent.column("count").to_numpy()[order].astype(np.int64))),
+        })
+
+
+def _merged(least: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a bucket, the phrases that occur often enough, told apart by their words."""
+
+    def work(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        sizes = pc.list_value_length(group.column("n")).to_numpy()
+        flat = {c: pc.list_flatten(group.column(c)) for c in ("n", "phrase", "count")}
+        lang = group.column("lang").take(pa.array(np.repeat(np.arange(len(group)), sizes)))
+        each = pa.table({"lang": lang, **flat})
+        sums = each.group_by(["lang", "n", "phrase"]).aggregate([("count", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("count_sum"), least))
+        return sums.select(["lang", "n", "phrase", "count_sum"]).rename_columns(["lang", "n", "phrase", "count"])
+
+    return work
 
 
 def frequent_phrases(
@@ -215,14 +245,16 @@ def frequent_phrases(
 
     def shown(row: pa.Table, frequent: pa.Table) -> pa.Table:
         if not len(frequent):
-            return PHRASE_ARROW.empty_table()
-        return Segment(row, bits).phrases(frequent.combine_chunks())
+            return PACKED_ARROW.empty_table()
+        return Segment(row, bits).phrases(frequent.combine_chunks(), buckets)
 
     pointers = reduce(DataFrame.unionByName, levels)
+    # A task of the last shuffle holds about so many phrases.
+    buckets = max(1, -(-pointers.count() // BUCKET))
     both = segments.groupBy("segment").cogroup(pointers.groupBy("segment"))
     # Counted by their words: the sum under a fingerprint may have been that of several phrases.
-    counts = both.applyInArrow(shown, PHRASE).groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
-    return counts.where(F.col("count") >= least), totals
+    packed = both.applyInArrow(shown, PACKED)
+    return packed.groupBy("bucket").applyInArrow(_merged(least), PHRASE), totals
 
 
 def _exact(column: str, digits: int = 17) -> Column:
