@@ -100,12 +100,12 @@ def test_templates_learn_from_what_rules_decide(spark):
 
 
 def brute_top(rows, k, every):
-    whole = {i: np.floor(1024 * np.array(v, float)).astype(int) for i, v in rows}
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
     out = set()
     for q, a in whole.items():
         if q % every == 0:
-            best = sorted((-int(a @ b), i) for i, b in whole.items() if i != q)[:k]
-            out |= {(q, n, i, -s) for n, (s, i) in enumerate(best, 1)}
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole.items() if i != q)[:k]
+            out |= {(q, n, i, -s if abs(s) < 2**63 else None) for n, (s, i) in enumerate(best, 1)}
     return out
 
 
@@ -126,6 +126,50 @@ def test_top_k(spark, n, monkeypatch):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size, kind", [(2e2, np.float64), (3e5, np.int64), (3.3e6, object), (8e15, object)])
+def test_top_k_of_large_components(spark, size, kind):
+    """Scores beyond doubles, and beyond longs, are exact and in order."""
+    chance = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in size * chance.uniform(-1, 1, size=6)]) for i in range(120)]
+    rows += [(500 + i, [x + i / 1024 for x in rows[0][1]]) for i in range(5)]
+    assert topk.exact_kind(6, int(1024 * size)) is kind
+    beyond = [(900, [1e300] * 6), (1000, [-1e17] * 6)]
+    frame = spark.createDataFrame(rows + beyond, "vec_id bigint, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(frame, every=50).collect()} == brute_top(rows, 10, 50)
+
+
+def test_top_k_of_repeated_ids(spark):
+    """Each row is one of its own: copies of a query's row are candidates."""
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (3, [2.0, 1.0]), (3, None)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted(tuple(r) for r in topk.top_k(frame, every=5).collect())
+    unit = 1024**2
+    assert found == [(0, 1, 0, 5 * unit)] * 2 + [(0, 2, 3, 4 * unit)] * 2
+
+
+def test_top_k_sends_queries_only_to_rings_they_can_need(spark, monkeypatch):
+    """Of clustered vectors a query reaches the rings of its own cluster, an eighth of all."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    moved, plain = [], topk.stored
+
+    def counted(table, purpose, *rest):
+        out = plain(table, purpose, *rest)
+        if purpose == "vector-reach":
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk, "stored", counted)
+    chance = np.random.default_rng(4)
+    centres = 8 * chance.normal(size=(8, 16))
+    for n in (1000, 4000):
+        rows = [(i, [float(x) for x in centres[i % 8] + 0.05 * chance.normal(size=16)]) for i in range(n)]
+        frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        found = {tuple(r) for r in topk.top_k(frame, every=100, k=3).collect()}
+        assert found == brute_top(rows, 3, 100)
+        rings = topk.PIVOTS * max(1, n // (topk.PIVOTS * 16))
+        assert moved[-1] < 0.25 * (n // 100) * rings
+
+
 def auc(scores, labels):
     order = np.argsort(np.array(scores), kind="stable")
     ranks = np.empty(len(order))
