@@ -37,7 +37,7 @@ TOP_K = """
 """
 
 URL_FILTER = r"""
-    WITH cut AS (
+    WITH RECURSIVE cut AS (
         SELECT page_id, CASE WHEN contains(url, '://')
             THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
         FROM pages
@@ -62,73 +62,61 @@ URL_FILTER = r"""
         FROM parts
     ),
     rows_ AS (
-        SELECT page_id, host, path, rule, shape[1] AS s1, shape[2] AS s2, shape[3] AS s3,
-            len(shape) > 3 AS more,
-            CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
-                WHEN rule IS NOT NULL THEN 'allow' END AS by_rule
+        SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow' END AS by_rule
         FROM ruled
     ),
     shapes AS (
-        SELECT host, s1, s2, s3, more, count(*) AS n, count(by_rule) AS labelled,
-            count(*) FILTER (by_rule = 'block') AS blocked
+        SELECT host, shape, count(*) AS n, count(by_rule) AS l, count(*) FILTER (by_rule = 'block') AS b
         FROM rows_ GROUP BY ALL
     ),
-    branch1 AS (
-        SELECT host, s1, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
-        FROM shapes WHERE s1 IS NOT NULL GROUP BY ALL
+    tree AS (
+        SELECT host, shape, n, l, b, CAST([] AS VARCHAR[]) AS done, shape AS rest FROM shapes
+        UNION ALL
+        SELECT host, shape, n, l, b, done, rest FROM (
+            WITH open_ AS (SELECT *, rest[1] AS own FROM tree WHERE len(rest) > 0),
+            branch AS (
+                SELECT host, done, own, sum(n) AS n, sum(l) AS l, sum(b) AS b FROM open_ GROUP BY ALL
+            ),
+            whole AS (
+                SELECT *, count(*) OVER w > 16 AND n < 0.05 * sum(n) OVER w AS rare,
+                    (b + 4.0 * (sum(b) OVER w / sum(l) OVER w)) / (l + 4.0) AS smoothed
+                FROM branch WINDOW w AS (PARTITION BY host, done)
+            ),
+            pairs AS (
+                SELECT *, lag(l) OVER w AS l0, lag(b) OVER w AS b0
+                FROM whole WHERE NOT rare AND l > 0
+                WINDOW w AS (PARTITION BY host, done ORDER BY smoothed, own)
+            ),
+            cuts AS (
+                SELECT *, CASE WHEN abs(b / l - b0 / l0) > 2.0 * sqrt((b + b0) / (l + l0)
+                    * (1 - (b + b0) / (l + l0)) * (1 / l + 1 / l0)) THEN 1 ELSE 0 END AS apart
+                FROM pairs
+            ),
+            runs AS (
+                SELECT *, sum(apart) OVER (PARTITION BY host, done ORDER BY smoothed, own) AS run FROM cuts
+            ),
+            named AS (
+                SELECT host, done, own, CASE WHEN count(*) OVER w > 1 THEN min(own) OVER w || '/' ELSE own END AS new
+                FROM runs WINDOW w AS (PARTITION BY host, done, run)
+                UNION ALL
+                SELECT host, done, own, CASE WHEN rare THEN '*' ELSE own END FROM whole WHERE rare OR l = 0
+            )
+            SELECT o.host, shape, n, l, b, list_append(done, new) AS done, rest[2:] AS rest
+            FROM open_ AS o JOIN named USING (host, done, own)
+        )
     ),
-    whole1 AS (
-        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
-        FROM branch1 WINDOW w AS (PARTITION BY host)
-    ),
-    new1 AS (
-        SELECT host, s1, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
-            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s1 END AS t1
-        FROM whole1
-    ),
-    tree1 AS (SELECT s.*, t1 FROM shapes AS s LEFT JOIN new1 USING (host, s1)),
-    branch2 AS (
-        SELECT host, t1, s2, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
-        FROM tree1 WHERE s2 IS NOT NULL GROUP BY ALL
-    ),
-    whole2 AS (
-        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
-        FROM branch2 WINDOW w AS (PARTITION BY host, t1)
-    ),
-    new2 AS (
-        SELECT host, t1, s2, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
-            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s2 END AS t2
-        FROM whole2
-    ),
-    tree2 AS (SELECT s.*, t2 FROM tree1 AS s LEFT JOIN new2 USING (host, t1, s2)),
-    branch3 AS (
-        SELECT host, t1, t2, s3, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
-        FROM tree2 WHERE s3 IS NOT NULL GROUP BY ALL
-    ),
-    whole3 AS (
-        SELECT *, count(*) OVER w AS v, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab
-        FROM branch3 WINDOW w AS (PARTITION BY host, t1, t2)
-    ),
-    new3 AS (
-        SELECT host, t1, t2, s3, CASE WHEN (v > 16 AND n < 0.05 * an) OR (l > 0 AND l < al
-            AND abs(b / l - ab / al) <= 2 * sqrt(ab / al * (1 - ab / al) / l)) THEN '*' ELSE s3 END AS t3
-        FROM whole3
-    ),
-    tree3 AS (SELECT s.*, t3 FROM tree2 AS s LEFT JOIN new3 USING (host, t1, t2, s3)),
     judged AS (
         SELECT *,
-            sum(labelled) OVER t AS tl, sum(blocked) OVER t AS tb,
-            sum(labelled) OVER f AS fl, sum(blocked) OVER f AS fb,
-            coalesce(sum(blocked) OVER () / nullif(sum(labelled) OVER (), 0), 0) AS overall
-        FROM tree3
-        WINDOW t AS (PARTITION BY host, t1, t2, t3, more), f AS (PARTITION BY s1)
+            sum(l) OVER t AS tl, sum(b) OVER t AS tb, sum(l) OVER f AS fl, sum(b) OVER f AS fb,
+            coalesce(sum(b) OVER () / nullif(sum(l) OVER (), 0), 0) AS overall
+        FROM tree WHERE len(rest) = 0
+        WINDOW t AS (PARTITION BY host, done), f AS (PARTITION BY shape[1])
     )
     SELECT r.page_id, r.host, r.path, r.rule,
         coalesce(r.by_rule, CASE WHEN (tb + 4.0 * ((fb + 4.0 * overall) / (fl + 4.0))) / (tl + 4.0) >= 0.5
             THEN 'block' ELSE 'allow' END) AS verdict
-    FROM rows_ AS r JOIN judged AS j
-        ON r.host = j.host AND r.s1 IS NOT DISTINCT FROM j.s1 AND r.s2 IS NOT DISTINCT FROM j.s2
-        AND r.s3 IS NOT DISTINCT FROM j.s3 AND r.more = j.more
+    FROM rows_ AS r JOIN judged AS j ON r.host = j.host AND r.shape = j.shape
 """
 
 DECONTAMINATION = r"""

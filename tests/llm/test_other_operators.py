@@ -99,6 +99,34 @@ def test_templates_learn_from_what_rules_decide(spark):
     assert {r["template"] for r in found if r["host"] == "d.com"} == {"/*/home"}
 
 
+RULES = (("block", "h", "/a/b/c/bad/"), ("allow", "h", "/a/b/c/ok/"))
+
+
+def test_templates_of_deep_paths(spark):
+    """Below a long common path, and below one longer than the other paths."""
+    rows = [f"http://h/a/b/c/{s}/{i}/{'x/' * (i % 3)}" for s in ("bad", "ok") for i in range(30)]
+    rows += ["http://h/a/b/c/d/e/f/g/h/i/j/k", "http://h/a/b/c", "http://h/" + "z/" * 3000] * 2
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    found = [r.asDict() for r in url_filter.judge(frame, RULES).collect()]
+    assert len(found) == len(rows)
+    shares = {s: {r["rejected_share"] for r in found if f"/c/{s}/" in r["path"]} for s in ("bad", "ok")}
+    assert min(shares["bad"]) > 0.6 and max(shares["ok"]) < 0.4
+    template = {r["path"]: r["template"] for r in found}
+    assert template["/a/b/c/bad/1/x/"] == "/a/b/c/bad/*/x"
+    assert template["/a/b/c/d/e/f/g/h/i/j/k"] == "/a/b/c/d/e/f/g/h/i/j/k"
+    assert template["/" + "z/" * 3000] == "/" + "z/" * 2999 + "z"
+
+
+def test_like_branches_are_merged(spark):
+    """Four equally blocked and four equally allowed siblings give two templates."""
+    rules = [("block" if i < 4 else "allow", "h", f"/s/{c}/") for i, c in enumerate("aebfcgdh")]
+    rows = [f"http://h/s/{c}/{i}" for c in "abcdefgh" for i in range(20)] + ["http://h/s/new/1"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    found = url_filter.judge(frame, rules).collect()
+    assert {r.template for r in found} == {"/s/{a|b|e|f}/*", "/s/{c|d|g|h}/*", "/s/new/*"}
+    assert {r.verdict for r in found if r.template == "/s/{a|b|e|f}/*"} == {"block"}
+
+
 def brute_top(rows, k, every):
     whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
     out = set()
