@@ -553,6 +553,14 @@ spine AS (SELECT DISTINCT w.month, s.bin FROM within w, (SELECT UNNEST(RANGE(1,
         RAW,
         """SELECT COUNT(*) AS "rows", COUNT(DISTINCT "CNPJ_FUNDO_CLASSE") AS classes FROM raw""",
     ),
+    "distinct_ids_of_spans": select(
+        RAW,
+        """SELECT STRFTIME(m - INTERVAL 2 MONTH, '%Y-%m') AS "first", STRFTIME(m, '%Y-%m') AS "last",
+           COUNT(*) AS "rows", COUNT(DISTINCT "CNPJ_FUNDO_CLASSE") AS classes
+           FROM (SELECT DISTINCT DATE_TRUNC('month', "DT_COMPTC") AS m FROM raw) AS months
+           JOIN raw ON "DT_COMPTC" >= m - INTERVAL 2 MONTH AND "DT_COMPTC" < m + INTERVAL 1 MONTH
+           GROUP BY m""",
+    ),
     "published_inventory": select(TOP, inventory(["dimension", "fact", "top"])),
     "inventory_with_staging": select(TOP, inventory(["staged", "dimension", "fact", "top"])),
     "quality_summary": select(

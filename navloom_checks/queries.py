@@ -23,6 +23,7 @@ from navloom.functions import calendar
 from navloom.functions.measures import surrogate_key_null_safe
 from navloom.operators import benchmark as bench
 from navloom.operators import documents, marts, quality, reports, returns
+from navloom.operators.distinct import DistinctIds
 from navloom.operators.staging import coerce_reports, stage_reports
 from navloom.plans.ingest import ingest_archives
 from navloom.plans.refresh import VersionedMarts
@@ -540,6 +541,23 @@ def count_distinct_ids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def distinct_ids_of_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports and classes of each quarter of a year that ends in a month, from bitmaps.
+
+    They are refreshed twice: a month in the middle comes again with what follows.
+    """
+    reports_ = labelled(spark, folder)
+    ids = DistinctIds(spark, new_folder(spark, "distinct-ids"))
+    ids.refresh(reports_.filter(F.col("year_month") <= "1995-06"))
+    ids.refresh(reports_.filter(F.col("year_month") >= "1995-06"))
+    month = calendar.month_of(F.col("DT_COMPTC"))
+    spans = reports_.select(
+        calendar.month_label(F.add_months(month, -2)).alias("first"), F.col("year_month").alias("last")
+    )
+    return ids.of_spans(spans)
+
+
 @query
 def published_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, months and newest month of the published tables."""

@@ -1,0 +1,58 @@
+"""Distinct ids of spans of months from stored bitmaps."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from navloom.operators.distinct import DistinctIds
+
+SCHEMA = "year_month string, CNPJ_FUNDO_CLASSE string"
+
+
+@pytest.fixture
+def ids(spark, tmp_path):
+    return DistinctIds(spark, str(tmp_path))
+
+
+def answers(ids, *spans):
+    found = ids.of_spans(ids.spark.createDataFrame(list(spans), "first string, last string"))
+    return {(r.first, r.last): (r.rows, r.classes) for r in map(lambda r: type("R", (), r.asDict()), found.collect())}
+
+
+def test_spans_before_and_after_a_refresh(spark, ids):
+    rows = [("2025-11", "a"), ("2025-11", "a"), ("2025-11", None), ("2025-12", "b"), ("2026-02", "a"), ("2026-02", "c")]
+    ids.refresh(spark.createDataFrame(rows, SCHEMA))
+    spans = [("2025-11", "2025-11"), ("2025-11", "2026-02"), ("2025-12", "2026-01"), ("2030-01", "2030-02"), ("2026-02", "2025-11")]
+    assert answers(ids, *spans, spans[0]) == dict(zip(spans, [(3, 1), (6, 3), (1, 1), (0, 0), (0, 0)]))
+    numbers = {r.id: r.number for r in ids.dictionary().collect()}
+    # One month again with other ids, and a new one; the rest is untouched.
+    ids.refresh(spark.createDataFrame([("2025-12", "d"), ("2025-12", "a"), ("2026-03", "b")], SCHEMA))
+    spans = [("2025-12", "2025-12"), ("2025-11", "2026-02"), ("2025-11", "2026-03")]
+    assert answers(ids, *spans) == dict(zip(spans, [(2, 2), (7, 3), (8, 4)]))
+    later = {r.id: r.number for r in ids.dictionary().collect()}
+    assert numbers.items() <= later.items() and len(set(later.values())) == len(later) == 4
+
+
+def test_ids_of_many_ranges(spark, ids):
+    reports = spark.range(90_000).select(
+        F.format_string("2026-%02d", (F.col("id") % 3 + 1).cast("int")).alias("year_month"),
+        (F.col("id") % 70_000).cast("string").alias("CNPJ_FUNDO_CLASSE"),
+    )
+    ids.refresh(reports)
+    expected = {
+        (f"2026-0{a}", f"2026-0{b}"): tuple(
+            reports.where(F.col("year_month").between(f"2026-0{a}", f"2026-0{b}"))
+            .agg(F.count("*"), F.count_distinct("CNPJ_FUNDO_CLASSE")).first()
+        )
+        for a, b in [(1, 1), (1, 2), (2, 3), (1, 3)]
+    }
+    assert answers(ids, *expected) == expected
+    # Neither reports nor ids are read, and a row is a bitmap of 4 KB.
+    spans = spark.createDataFrame(list(expected), "first string, last string")
+    assert all("/bitmaps/" in file for file in ids.of_spans(spans).inputFiles())
+    assert ids.bitmaps().where("length(bits) <> 4096").isEmpty()
+
+
+def test_nothing_stored_yet(spark, ids):
+    assert answers(ids, ("2026-01", "2026-02")) == {("2026-01", "2026-02"): (0, 0)}
+    ids.refresh(spark.createDataFrame([], SCHEMA))
+    assert answers(ids, ("2026-01", "2026-02")) == {("2026-01", "2026-02"): (0, 0)}
