@@ -4,8 +4,9 @@ A text becomes hashed words and shapes of words, statistics of its structure, an
 length. The machine adds to their linear weights the interaction of every pair, as the
 product of two short vectors; the sum over all pairs is half of the square of the sum less
 the sum of squares, so a text is scored in time linear in its features. It is trained by
-AdaGrad in the driver, on at most ``SAMPLE`` labelled rows; scoring is one pass over all
-rows with the fixed-size model broadcast.
+AdaGrad in the driver, on at most ``SAMPLE`` labelled rows. Their features are made in
+tasks, at most ``2 * WIDTH`` per text of any length, and only these numbers reach the driver;
+scoring is one pass over all rows with the fixed-size model broadcast.
 
 Null and empty texts get the score of a text without words. Texts are read whole; repeated
 rows get equal scores; columns other than the named ones, labels, language, source and id
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from xxhash import xxh32_intdigest
 
 from navloom.llm.common import give_back, picked, raw_texts, text_slices
-from navloom.llm.labelled import sample
+from navloom.llm.labelled import ORDER, known_texts
 
 #: Most labelled rows that the machine is trained on.
 SAMPLE = 6_000
@@ -58,7 +59,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers and values of all features one text after the other, and the texts' bounds.
 
     The statistics are the first features of every text; words and shapes follow, each
-    kind scaled to length one.
+    kind scaled to length one. Words of equal hash are one feature.
     """
     known: dict[bytes, tuple[int, int]] = {}
     numbers, values, bounds, statistics = [], [], [0], []
@@ -92,9 +93,10 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ])
         weights = np.sqrt(np.fromiter(shapes.values(), np.float64, len(shapes)))
         weights /= max(1e-9, float(np.sqrt((weights**2).sum())))
-        numbers += [np.arange(STATISTICS), np.array(hashed, np.int64), np.fromiter(shapes, np.int64, len(shapes))]
-        values += [np.array(statistics[-1]), np.full(len(hashed), 1 / np.sqrt(max(1, len(hashed)))), weights]
-        bounds.append(bounds[-1] + STATISTICS + len(hashed) + len(shapes))
+        once, times = np.unique(np.array(hashed, np.int64), return_counts=True)
+        numbers += [np.arange(STATISTICS), once, np.fromiter(shapes, np.int64, len(shapes))]
+        values += [np.array(statistics[-1]), times / np.sqrt(max(1, len(hashed))), weights]
+        bounds.append(bounds[-1] + STATISTICS + len(once) + len(shapes))
     return np.concatenate(numbers), np.concatenate(values), np.array(bounds)
 
 
@@ -116,8 +118,7 @@ class Machine:
     def scores(self, numbers, values, bounds) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.raw(numbers, values, bounds), -30, 30)))
 
-    def train(self, texts: list[bytes], labels: np.ndarray) -> None:
-        numbers, values, bounds = features(texts)
+    def train(self, numbers: np.ndarray, values: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> None:
         generator = np.random.default_rng(11)
         past = [np.full(WIDTH, 1e-3), np.full((WIDTH, RANK), 1e-3), 1e-3]
         for _ in range(EPOCHS):
@@ -147,13 +148,35 @@ class Machine:
         self.base -= STEP * error.sum() / np.sqrt(past[2])
 
 
+def _with_features(texts: DataFrame) -> DataFrame:
+    """Rows of ``known_texts`` with ``numbers, values`` instead of the text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            numbers, values, bounds = features(raw_texts(part.column("text")))
+            offsets = pa.array(bounds, pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(offsets, pa.array(numbers, pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(values, pa.float32())),
+            ]
+            rest = part.drop_columns(["text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *lists], [*rest.schema.names, "numbers", "values"])
+
+    kind = dict(texts.dtypes)["doc_id"]
+    schema = f"id_hash bigint, doc_id {kind}, text_hash bigint, label int, numbers array<int>, values array<float>"
+    return texts.mapInArrow(work, schema)
+
+
 def trained(docs: DataFrame, labels: DataFrame, label: str, train: Column, bound: int = SAMPLE) -> Machine:
-    rows = sample(docs, labels, label, train, bound).toArrow()
+    made = _with_features(known_texts(docs, labels, label, train, bound))
+    rows = made.orderBy(*ORDER).limit(bound).select("label", "numbers", "values").toArrow().combine_chunks()
     marks = rows.column("label").to_numpy().astype(float) if len(rows) else np.zeros(0)
     share = (marks.sum() + 1) / (len(marks) + 2)
     machine = Machine(float(np.log(share / (1 - share))))
     if 0 < marks.sum() < len(marks):
-        machine.train([t.encode() for t in rows.column("text").to_pylist()], marks)
+        numbers, values = (rows.column(c).combine_chunks() for c in ("numbers", "values"))
+        bounds = np.concatenate([[0], np.cumsum(numbers.value_lengths().to_numpy())])
+        machine.train(numbers.flatten().to_numpy(), values.flatten().to_numpy(), bounds, marks)
     else:
         machine.vectors[:] = 0
     del rows

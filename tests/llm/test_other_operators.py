@@ -227,7 +227,7 @@ def test_classifiers_on_held_out_rows(labelled, odd, empty, module, label):
 
 def test_sum_of_squares_identity():
     machine = quality.Machine(0.3)
-    numbers, values, bounds = quality.features([PROSE.encode()])
+    numbers, values, bounds = quality.features([f"{PROSE} Old OLD".encode()])
     machine.linear[:] = np.random.default_rng(1).normal(size=len(machine.linear))
     x, v = values, machine.vectors[numbers]
     pairs = sum(
