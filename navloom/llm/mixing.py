@@ -1,30 +1,39 @@
 """Mixing sources to target weights by entropy balancing.
 
 Every source should give the mix a target number of words. Among all rates of documents
-that meet the targets, entropy balancing takes those closest to equal rates: each rate is
-an exponential of the multiplier of its source. The multipliers maximise a concave dual,
-whose gradient and curvature per source are sums over its documents; those sums are taken
-once by Spark, and Newton steps run as a column expression, one row per source, so that
-neither documents nor sources pass through the driver. Rates become whole copies by
-systematic rounding in order of size: a source's first ``i`` documents get ``rate * i``
-copies within one half, which keeps its words within one half of its largest document.
-
-Null and empty texts have size zero and are taken zero words. A null source is a source of
-its own, last in order. Rows may repeat; each is rounded by its own place in the order
-(size, id, source row). Columns other than the three named ones are not carried along. A
-source without words has target zero, and tables without rows give empty results. Reruns
-over equal tables agree.
+between zero and ``most`` that meet the targets, entropy balancing takes those closest to
+one: the rate of a document is ``exp(multiplier * z)``, cut at ``most``, where ``z`` is its
+size over the mean size of its source. The multiplier of a source maximises a concave dual,
+whose gradient and curvature are sums over all its documents. Each Newton step is a Spark
+aggregate of these sums over all sources at once; documents of equal source and size are
+counted together before, and a step that leaves the bracket of the root halves it. Terms are
+rounded to fixed fractions and summed as whole numbers, so that the order of rows and tasks
+cannot change the multipliers.
+
+Rates become whole copies by systematic rounding in order of size: a source's first ``i``
+documents get the sum of their rates within one half, which keeps its words within one
+half of its largest document.
+
+Null and empty texts have size zero, rate one and are taken zero words. A null source is a
+source of its own, last in order. Rows may repeat; each is rounded by its own place in the
+order (size, id, source row). Columns other than the three named ones are not carried along.
+A source without words has target and rates zero, and tables without rows give empty results.
+Reruns over equal tables agree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navloom.llm.common import BLANK, picked, ranked, stored
 
-#: Newton steps; from equal rates, a target of a millionth of a source needs twenty.
-STEPS = 60
+#: Newton steps at most, and the error of a source's words, in parts of its target, that ends them.
+STEPS, TOLERANCE = 60, 1e-7
+#: Sizes of a source that a task of a step should hold.
+SIZES = 500_000
+#: Fractions of one that rates and sums are kept in.
+UNIT = float(1 << 30)
 
 
 def n_words(text: Column) -> Column:
@@ -55,18 +64,62 @@ def _targets(sources: DataFrame, share: float, most: float) -> DataFrame:
     return sources.withColumn("target", F.least(limit, F.col("weight") * multiple).cast("double"))
 
 
-def balanced(sources: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Adds ``rate`` to sources with ``source_size`` and ``target``.
+def _whole(value: Column) -> Column:
+    """Non-negative doubles as whole numbers of units, whose sums are exact."""
+    return F.floor(value * UNIT + 0.5).cast("decimal(38,0)")
 
-    The dual of a source is ``target * m - source_size * exp(m)``; a Newton step adds
-    ``target / (source_size * exp(m)) - 1``, here cut to at most one so that it cannot
-    overshoot.
+
+def _rate(most: float) -> Column:
+    return F.least(F.lit(float(most)), F.exp(F.col("multiplier") * F.col("size") / F.col("mean")))
+
+
+def balanced(sizes: DataFrame, targets: DataFrame, most: float, steps: int = STEPS) -> DataFrame:
+    """``source, multiplier, mean``: solutions of the dual, for sources with a target above zero.
+
+    ``sizes`` has ``source, size, n``, one row per source and size, and ``targets`` has
+    ``source, source_size, target``; both should be stored tables.
     """
-    words = F.col("source_size").cast("double")
-    step = lambda m, _: m + F.least(F.lit(1.0), F.col("target") / (words * F.exp(m)) - 1)
-    multiplier = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step)
-    solved = F.when((words > 0) & (F.col("target") > 0), F.exp(multiplier)).otherwise(0.0)
-    return sources.withColumn("rate", solved)
+    worded = sizes.where("size > 0")
+    ends = worded.groupBy("source").agg(F.sum("n").alias("n"), F.min("size").alias("least"))
+    ends = ends.withColumnRenamed("source", "of_source")
+    same = F.col("source").eqNullSafe(F.col("of_source"))
+    wanted = targets.where("target > 0").join(ends, same).withColumn("mean", F.col("source_size") / F.col("n"))
+    # At these ends even the least document is cut at ``most``, or has the rate of all.
+    unit = F.col("mean") / F.col("least")
+    full = F.col("target") >= F.col("source_size") * F.lit(float(most))
+    top = F.log(F.lit(float(most))) * unit * 1.0001
+    low = F.least(F.lit(0.0), F.log(F.col("target") / F.col("source_size")) * unit)
+    state = wanted.select(
+        "source", "target", "mean", low.alias("low"), top.alias("high"),
+        F.when(full, top).otherwise(0.0).alias("multiplier"),
+    )
+    state = stored(state, "mix-multipliers")
+    for _ in range(steps):
+        of = state.withColumnRenamed("source", "of_source")
+        rate = _rate(most)
+        words = F.col("n") * F.col("size") / F.col("target") * rate
+        bend = F.when(rate < most, words * F.col("size") / F.col("mean")).otherwise(0.0)
+        sums = (
+            worded.join(of, same)
+            .groupBy("of_source", "target", "mean", "low", "high", "multiplier")
+            .agg((F.sum(_whole(words)) / UNIT).alias("words"), (F.sum(_whole(bend)) / UNIT).alias("bend"))
+        )
+        over, now = F.col("words").cast("double") - 1, F.col("multiplier")
+        step = now - over / F.nullif(F.col("bend").cast("double"), F.lit(0.0))
+        low = F.when(over < 0, now).otherwise(F.col("low"))
+        high = F.when(over > 0, now).otherwise(F.col("high"))
+        inside = (step > low) & (step < high)
+        done = F.abs(over) <= TOLERANCE
+        moved = F.when(done, now).when(inside, step).otherwise((low + high) / 2)
+        sums = sums.select(
+            F.col("of_source").alias("source"), "target", "mean",
+            low.alias("low"), high.alias("high"), moved.alias("multiplier"), done.alias("done"),
+        )
+        state = stored(sums, "mix-multipliers")
+        if not state.where("not done").limit(1).count():
+            break
+        state = state.drop("done")
+    return state.select("source", "multiplier", "mean")
 
 
 def mix(
@@ -81,7 +134,8 @@ def mix(
     """One row per row: ``doc_id, source, size, source_size, target, rate, copies, taken``.
 
     Sources in code point order take ``weights`` in turn; the mix has ``share`` times the
-    words of all documents, a source at most ``most`` times its own.
+    words of all documents, a source and a document at most ``most`` times its own. Where
+    ``most`` (1 at least) is no whole number, single documents may be rounded up to the next.
     """
     chosen = picked(docs, doc_id=id_col, text=text_col, source=source_col)
     sized = chosen.select("doc_id", "source", n_words(F.col("text")).alias("size"))
@@ -95,15 +149,29 @@ def mix(
     weighted = by_name.withColumn(
         "weight", F.element_at(turns, (F.pmod(F.col("position") - 1, F.lit(len(weights))) + 1).cast("int"))
     ).drop("position")
-    solved = balanced(_targets(stored(weighted, "mix-weights"), share, most))
-    solved = stored(solved, "mix-rates").select(
-        F.col("source").alias("of_source"), "source_size", "target", "rate"
+    targets = stored(_targets(stored(weighted, "mix-weights"), share, most), "mix-targets")
+    counted = rows.groupBy("source", "size").agg(F.count("*").alias("n"), F.min("position").alias("first"))
+    n_sizes = stored(counted, "mix-sizes")
+    sizes = stored(n_sizes.repartition(n_sizes.count() // SIZES + 1, "source", "size"), "mix-sizes")
+    solved = balanced(sizes, targets, most).withColumnRenamed("source", "of_source")
+    # Rates in whole units: rows of equal size share one, and sums over sizes are exact.
+    rated = sizes.join(solved, F.col("source").eqNullSafe(F.col("of_source")), "left")
+    units = rated.select("source", "size", "n", "first", F.coalesce(_whole(_rate(most)), F.lit(0)).alias("units"))
+    earlier = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("units") * F.col("n")).over(earlier), F.lit(0)).cast("decimal(38,0)")
+    units = stored(units.withColumn("before", before).drop("n"), "mix-rates").select(
+        F.col("source").alias("of_source"), F.col("size").alias("of_size"), "first", "units", "before"
     )
-    joined = rows.join(solved, F.col("source").eqNullSafe(F.col("of_source")))
-    upto = lambda i: F.floor(F.col("rate") * i + 0.5)
-    copies = (upto(F.col("position")) - upto(F.col("position") - 1)).cast("long")
-    copies = F.least(copies, F.lit(int(most)))
+    of_sources = targets.select(F.col("source").alias("of"), "source_size", "target")
+    joined = rows.join(
+        units, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
+    ).join(of_sources, F.col("source").eqNullSafe(F.col("of")))
+    # Units of the rows up to the one at a place, as whole numbers.
+    inside = lambda place: F.col("before") + F.col("units") * (place - F.col("first")).cast("decimal(18,0)")
+    upto = lambda place: F.floor((inside(place) / int(UNIT) + 0.5).cast("decimal(38,10)"))
+    copies = (upto(F.col("position") + 1) - upto(F.col("position"))).cast("long")
     return joined.select(
-        "doc_id", "source", "size", "source_size", "target", "rate",
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("units") / UNIT).cast("double").alias("rate"),
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),
     )

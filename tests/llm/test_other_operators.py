@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -61,10 +62,40 @@ def test_mix(spark, odd, odd_rows, empty):
 
 
 def test_newton_solves_the_dual(spark):
-    rows = [(1000, 1.0), (1000, 2000.0), (7, 3.5), (0, 0.0), (5, 0.0), (10**9, 1e3)]
-    frame = spark.createDataFrame(rows, "source_size bigint, target double")
-    for r in mixing.balanced(frame).collect():
-        assert r.rate * r.source_size == pytest.approx(r.target)
+    """Rates are those of the multiplier that bisection over all documents finds."""
+    chance = random.Random(4)
+    sizes = {
+        "a": ([chance.randint(1, 300) for _ in range(400)], 0.4),
+        "b": ([chance.randint(1, 9) for _ in range(300)] + [5_000, 20_000], 1.9),
+        "c": ([7] * 50, 0.001), "d": ([1, 2, 3], 2.0), "e": ([1, 10_000], 1.0), None: ([2, 9, 9], 1.3),
+    }
+    rows = [(s, size, n) for s, (all_, _) in sizes.items() for size, n in Counter(all_).items()]
+    counted = spark.createDataFrame(rows + [("z", 0, 4)], "source string, size bigint, n bigint")
+    wanted = [(s, sum(all_), sum(all_) * part) for s, (all_, part) in sizes.items()] + [("z", 0, 0.0)]
+    targets_ = spark.createDataFrame(wanted, "source string, source_size bigint, target double")
+    found = {r.source: r for r in mixing.balanced(counted, targets_, 2.0).collect()}
+    assert found.keys() == sizes.keys()
+    for source, (all_, part) in sizes.items():
+        mean = sum(all_) / len(all_)
+        rate = lambda size, m: min(2.0, math.exp(min(m * size / mean, 1.0)))
+        low, high = -1e6, 1e6
+        for _ in range(200):
+            middle = (low + high) / 2
+            if sum(size * rate(size, middle) for size in all_) < part * sum(all_):
+                low = middle
+            else:
+                high = middle
+        assert found[source].mean == pytest.approx(mean)
+        for size in all_:
+            assert rate(size, found[source].multiplier) == pytest.approx(rate(size, high), rel=1e-4), source
+
+
+def test_limits_that_are_no_whole_numbers(spark):
+    rows = [(i, "w " * (1 + i % 50), "en", "a", 1) for i in range(2_000)]
+    found = mixing.mix(spark.createDataFrame(rows, TEXT_SCHEMA), most=1.5).collect()
+    assert abs(sum(r.taken for r in found) - found[0].target) <= 50
+    assert found[0].target == 1.5 * sum(r["size"] for r in found)
+    assert {r.copies for r in found} == {1, 2}
 
 
 def test_urls(spark):
