@@ -1,8 +1,8 @@
 """Data-quality rules as jobs: ``check, failures, total, ratio, passed``.
 
-Rules that look at one row at a time are counted together in one pass per table;
-keys are compared by shuffles that combine first. ``failing_rows`` gives the rows
-behind a count.
+Rules that look at one row at a time are counted together in one pass per table, or by a
+:class:`Watch` while the table is written, without a pass of their own; keys are compared
+by shuffles that combine first. ``failing_rows`` gives the rows behind a count.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from navloom.fixed_values import (
@@ -121,10 +121,18 @@ def count_rules(
 
     ``more_than`` adds the rule that the table (called ``name``) has more rows than that.
     """
-    counts = table.agg(
-        F.count("*").alias("total"),
-        *[F.count_if(rule.bad).alias(f"bad_{i}") for i, rule in enumerate(rules)],
-    )
+    counts = table.agg(*_counts(rules))
+    return _rule_results(counts, rules, name, more_than)
+
+
+def _counts(rules: list[RowRule]) -> list[Column]:
+    bad = [F.count_if(rule.bad).alias(f"bad_{i}") for i, rule in enumerate(rules)]
+    return [F.count("*").alias("total"), *bad]
+
+
+def _rule_results(
+    counts: DataFrame, rules: list[RowRule], name: str, more_than: int | None
+) -> DataFrame:
     total = F.col("total")
     results = [
         _result(rule.name, F.col(f"bad_{i}"), total, rule.passed(F.col(f"bad_{i}"), total))
@@ -136,6 +144,53 @@ def count_rules(
     return _with_ratio(counts.select(F.inline(F.array(*results))))
 
 
+class Watch:
+    """Counts the failures of row rules while a table is written.
+
+    ``on`` goes right before the write: there a task counts once, however often executors
+    are lost, while counts before a shuffle may come twice from stages that run again. One
+    watch counts one write, and only numbers come back from it.
+    """
+
+    def __init__(self, rules: list[RowRule]) -> None:
+        self.rules = rules
+        self._seen: Observation | None = None
+
+    def on(self, table: DataFrame) -> DataFrame:
+        """The same rows, counted by the first job that reads them all."""
+        if self._seen is not None:
+            raise ValueError("a watch counts one write")
+        self._seen = Observation()
+        return table.observe(self._seen, *_counts(self.rules))
+
+    def results(
+        self, spark: SparkSession, name: str = "", more_than: int | None = None
+    ) -> DataFrame:
+        """What :func:`count_rules` gives for the table that was written."""
+        if self._seen is None:
+            raise ValueError("nothing was written under this watch")
+        seen = self._seen.get
+        names = ["total", *[f"bad_{i}" for i in range(len(self.rules))]]
+        counts = spark.createDataFrame(
+            [tuple(seen[n] for n in names)], ", ".join(f"{n} bigint" for n in names)
+        )
+        return _rule_results(counts, self.rules, name, more_than)
+
+
+def watches(limits: Limits | None = None) -> dict[str, Watch]:
+    """A watch for each of the four tables, see ``plans.warehouse.build_marts``."""
+    return {name: Watch(rules) for name, rules in _row_rules(limits or Limits()).items()}
+
+
+def _row_rules(limits: Limits) -> dict[str, list[RowRule]]:
+    return {
+        "staged": staged_rules(limits),
+        "dimension": dimension_rules(),
+        "fact": fact_rules(limits),
+        "top": top_rules(limits),
+    }
+
+
 def failing_rows(table: DataFrame, rule: RowRule) -> DataFrame:
     return table.filter(rule.bad)
 
@@ -243,16 +298,26 @@ def run_checks(
     fact: DataFrame,
     top: DataFrame,
     limits: Limits | None = None,
+    watched: dict[str, Watch] | None = None,
 ) -> DataFrame:
-    """All rules over the four tables, which should be stored ones."""
-    limits = limits or Limits()
+    """All rules over the four tables, which should be stored ones.
+
+    Tables that were written under a watch (of the same limits) are not read again for the
+    rules on single rows.
+    """
+    limits, watched = limits or Limits(), watched or {}
+    tables = {"staged": staged, "dimension": dimension, "fact": fact, "top": top}
+    least = {"staged": limits.min_staged_rows, "dimension": limits.min_dimension_rows}
+    by_row = [
+        watched[name].results(staged.sparkSession, name, least.get(name))
+        if name in watched
+        else count_rules(tables[name], rules, name, least.get(name))
+        for name, rules in _row_rules(limits).items()
+    ]
     most = most_ranked_in_a_month(top).withColumnRenamed("most_rows", "total")
     sample = top.orderBy(F.desc("month"), F.asc("rank")).limit(10).select("return_pct")
     results = [
-        count_rules(staged, staged_rules(limits), "staged", limits.min_staged_rows),
-        count_rules(dimension, dimension_rules(), "dimension", limits.min_dimension_rows),
-        count_rules(fact, fact_rules(limits)),
-        count_rules(top, top_rules(limits)),
+        *by_row,
         facts_per_class(fact, dimension, limits),
         unique_check(
             "staged series and day unique", staged, ["class_id", "subclass_id", "as_of"]

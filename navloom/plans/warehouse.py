@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from navloom.fixed_values import MIN_DAYS, MIN_HOLDERS, MIN_NET_ASSETS, RAW_TO_STAGED, TOP_N
 from navloom.operators.marts import dimension_of_rollup, monthly_fact, top_by_month
+from navloom.operators.quality import Watch
 from navloom.operators.returns import month_rollup, returns_of_rollup
 from navloom.sources.lake import stored_files
 
@@ -27,38 +28,45 @@ class Ranking:
     min_holders: int = MIN_HOLDERS
 
 
-def build_marts(staged: DataFrame, root: str, ranking: Ranking = Ranking()) -> dict[str, DataFrame]:
+def build_marts(
+    staged: DataFrame,
+    root: str,
+    ranking: Ranking = Ranking(),
+    watches: dict[str, Watch] | None = None,
+) -> dict[str, DataFrame]:
     """Rebuild dimension, fact and ranking below ``root`` and return them as stored.
 
     The reports are read once, into the month rollup, which is stored because both
     dimension and fact need it. Everything after works on one row per series and
-    month; the ranking reads the stored fact.
+    month; the ranking reads the stored fact. ``watches`` of dimension, fact and top count
+    the failures of rules on the way (see ``operators.quality``).
     """
+    watch = (watches or {}).get
     spark = staged.sparkSession
     rollup = store(month_rollup(staged), f"{root}/rollup")
-    dimension = store(dimension_of_rollup(rollup), f"{root}/dimension")
-    fact = store(
-        monthly_fact(returns_of_rollup(rollup), dimension), f"{root}/fact", by="month"
-    )
+    dimension = store(dimension_of_rollup(rollup), f"{root}/dimension", watch=watch("dimension"))
+    facts = monthly_fact(returns_of_rollup(rollup), dimension)
+    fact = store(facts, f"{root}/fact", by="month", watch=watch("fact"))
     ranked = top_by_month(
         fact, ranking.top_n, ranking.min_days, ranking.min_net_assets, ranking.min_holders
     )
-    store(ranked, f"{root}/top")
+    store(ranked, f"{root}/top", watch=watch("top"))
     return read_marts(spark, root)
 
 
-def store(table: DataFrame, path: str, by: str | None = None) -> DataFrame:
+def store(
+    table: DataFrame, path: str, by: str | None = None, watch: Watch | None = None
+) -> DataFrame:
     """Write a table in full and read it back.
 
     Files follow the partitions of the last shuffle, which Spark sizes at run time.
     With ``by`` the rows of one partition value meet in few files, and a value much
-    larger than the others is split over several tasks.
+    larger than the others is split over several tasks. A ``watch`` sees the rows last.
     """
-    if by is None:
-        table.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    else:
-        even = table.hint("rebalance", by)
-        even.write.mode("overwrite").option("compression", "snappy").partitionBy(by).parquet(path)
+    rows = table if by is None else table.hint("rebalance", by)
+    rows = rows if watch is None else watch.on(rows)
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
+    (writer if by is None else writer.partitionBy(by)).parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 

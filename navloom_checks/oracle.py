@@ -297,6 +297,12 @@ QUALITY = [
     ),
 ]
 
+QUALITY_SUMMARY = select(
+    TOP,
+    f"""SELECT "check", failures, total, {r("ratio")}, passed
+        FROM ({" UNION ALL ".join(QUALITY)})""",
+)
+
 SQL: dict[str, str] = {
     "staged_reports": select(STAGED, f"{STAGED_SELECT} FROM staged"),
     "daily_return": select(
@@ -563,11 +569,8 @@ spine AS (SELECT DISTINCT w.month, s.bin FROM within w, (SELECT UNNEST(RANGE(1,
     ),
     "published_inventory": select(TOP, inventory(["dimension", "fact", "top"])),
     "inventory_with_staging": select(TOP, inventory(["staged", "dimension", "fact", "top"])),
-    "quality_summary": select(
-        TOP,
-        f"""SELECT "check", failures, total, {r("ratio")}, passed
-            FROM ({" UNION ALL ".join(QUALITY)})""",
-    ),
+    "quality_summary": QUALITY_SUMMARY,
+    "quality_while_writing": QUALITY_SUMMARY,
     "repeated_reports": select(
         STAGED,
         """SELECT class_id, as_of, COUNT(*) AS "rows" FROM staged GROUP BY class_id, as_of

@@ -578,6 +578,15 @@ def quality_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.run_checks(**stored(spark, folder), limits=LIMITS))
 
 
+@query
+def quality_while_writing(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rules, those on single rows counted by the jobs that write the tables."""
+    root, watched = new_folder(spark, "watched"), quality.watches(LIMITS)
+    reports_ = store(staged(spark, folder), f"{root}/staged", watch=watched["staged"])
+    marts_ = build_marts(reports_, root, RANKING, watched)
+    return rounded(quality.run_checks(reports_, **marts_, limits=LIMITS, watched=watched))
+
+
 @query
 def repeated_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Supplier and day of reports that differ only in their subclass."""

@@ -5,6 +5,7 @@ import pytest
 from navloom.operators import quality
 from navloom.operators.marts import class_dimension, monthly_fact, top_by_month
 from navloom.operators.returns import monthly_returns
+from navloom.plans.warehouse import store
 from tests.conftest import NONE, day
 
 LIMITS = quality.Limits(min_staged_rows=10, min_dimension_rows=1, min_holders=1)
@@ -139,3 +140,32 @@ def test_failing_rows_and_keys(tables, make_staged, make_fact):
     assert quality.ranked_without_fact(top, fact.filter("class_id = 'a'")).first().class_id == "b"
     assert quality.most_ranked_in_a_month(top).first().most_rows == 2
     assert day("2026-01-01") == top.first().month
+
+
+def test_rules_counted_by_the_write(spark, tables, make_staged, tmp_path):
+    bad = tables["staged"].unionByName(
+        make_staged([("z", None, "2026-01-01", 0.0), ("z", None, "2026-01-02", 1.0, -2e6, -1)])
+    )
+    changed = {**tables, "staged": bad, "top": tables["top"].limit(0)}
+    watched, kept = quality.watches(LIMITS), {}
+    for name, table in changed.items():
+        by = "month" if name == "fact" else None
+        kept[name] = store(table, f"{tmp_path}/{name}", by, watched[name])
+    plain = quality.run_checks(**kept, limits=LIMITS)
+    seen = quality.run_checks(**kept, limits=LIMITS, watched=watched)
+    assert sorted(seen.collect()) == sorted(plain.collect())
+    assert "staged.unit_value positive" in broken({r.check: r for r in seen.collect()})
+    assert scans(plain) - scans(seen) == 4
+
+
+def scans(table):
+    return table._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+
+def test_a_watch_counts_one_write(spark, tables):
+    watch = quality.Watch(quality.dimension_rules())
+    with pytest.raises(ValueError):
+        watch.results(spark)
+    watch.on(tables["dimension"])
+    with pytest.raises(ValueError):
+        watch.on(tables["dimension"])
