@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from navloom.llm.common import picked, text_slices
 from navloom.llm.transducer import MergeRules, Transducer, gathered
 
+#: Bytes of text encoded at once: the numbers of a slice take many times that.
+SLICE_BYTES = 1_000_000
 #: Tokens decoded at once.
 CHUNK = 65_536
 
@@ -136,7 +138,7 @@ def encode(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=SLICE_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
             ids, starts = encoder.texts(texts)
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))
@@ -165,6 +167,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
         known = sizes >= 0
         starts[known] = np.cumsum(sizes[known]) - sizes[known]
         flat = np.frombuffer(b"".join(by_rank), np.uint8)
+        del vocabulary, by_rank
 
         def text(ids: np.ndarray) -> str:
             stream, out = Utf8Stream(), []

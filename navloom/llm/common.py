@@ -105,14 +105,16 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, rows: str, hottest: int
     return many.join(hot, key).unionByName(others)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds a bounded number of bytes, or one long text."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds at most ``most`` bytes, or one long text."""
     try:
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
             start = size = 0
             for at, length in enumerate(lengths.to_pylist()):
-                if at > start and size + length > SLICE_BYTES:
+                if at > start and size + length > most:
                     yield batch.slice(start, at - start)
                     start, size = at, 0
                 size += length
