@@ -65,8 +65,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as the weights of their sources ask: not, once or twice.
 
-    Documents without words weigh nothing and come as often as their place in their source
-    gives; a null source is one of its own; repeated rows are counted one by one.
+    Documents without words weigh nothing and come once, or not if their source has no words
+    at all; a null source is one of its own; repeated rows are counted one by one.
     """
     rows, row = keyed(docs, "mix-rows")
     of_row, copy = unused("of_row", rows.columns), unused("copy", rows.columns)
