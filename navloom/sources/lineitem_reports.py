@@ -2,6 +2,11 @@
 
 One report per supplier, line status and ship day. Every value is exact in doubles
 (maxima, minima and integer sums), so that any engine gets the same reports.
+
+Hardly two lines make one report, so combining lines before they move would hold nearly
+every line of a scan task in its hash table and save nothing. They move as they are, by
+series and month: a task then has whole months of a series, so that what is stored from
+here combines well per month.
 """
 
 from __future__ import annotations
@@ -13,14 +18,21 @@ from navloom.functions.calendar import month_of
 
 
 def lineitem_reports(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    supplier = F.col("l_suppkey")
-    scale = F.pow(F.lit(10.0), 4 + supplier % 6).cast("bigint")
-    reports = lines.groupBy(
+    day = F.col("l_shipdate").cast("date")
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
         "l_suppkey",
         F.nullif("l_linestatus", F.lit("O")).alias("ID_SUBCLASSE"),
-        F.col("l_shipdate").cast("date").alias("DT_COMPTC"),
-    ).agg(
+        day.alias("DT_COMPTC"),
+        month_of(day).alias("month"),
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_quantity",
+    )
+    supplier = F.col("l_suppkey")
+    scale = F.pow(F.lit(10.0), 4 + supplier % 6).cast("bigint")
+    block = ["l_suppkey", "ID_SUBCLASSE", "month"]
+    reports = lines.repartition(*block).groupBy(*block, "DT_COMPTC").agg(
         F.max("l_extendedprice").alias("price"),
         F.max("l_discount").alias("discount"),
         F.max("l_tax").alias("tax"),
