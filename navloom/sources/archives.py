@@ -22,7 +22,9 @@ from navloom.fixed_values import MISSING_CELLS, RAW_COLUMNS, REPORT_CHARSET, REP
 from navloom.functions.calendar import label_from_period
 from navloom.sources.delimited import require_columns
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+#: For archives with a row that is longer than a block; no row may be longer than this.
+LONG_ROW_BYTES = 4 << 20
 ROWS_SCHEMA = ", ".join(["year_month string", *[f"{name} string" for name in RAW_COLUMNS]])
 STATUS_SCHEMA = (
     "path string, year_month string, modified timestamp, ok boolean, rows bigint,"
@@ -151,7 +153,9 @@ def open_archive(path: str) -> BinaryIO:
 def _batches(file: BinaryIO) -> Iterator[pa.RecordBatch]:
     """Text of the required columns of the first report file in an archive.
 
-    Rows that end early are filled with nulls; rows that are too long are an error.
+    Rows that end early are filled with nulls; rows that are too long are an error. What a
+    task holds are some blocks of text, so blocks are small; a file that cannot be read
+    in these is read on in larger ones.
     """
     with zipfile.ZipFile(file) as archive:
         members = [name for name in archive.namelist() if name.endswith(".csv")]
@@ -159,39 +163,58 @@ def _batches(file: BinaryIO) -> Iterator[pa.RecordBatch]:
             raise ValueError("no CSV file in the archive")
         with archive.open(members[0]) as member:
             header = require_columns(_cells(member.readline().decode(REPORT_CHARSET)))
-        short: list[str] = []
-
-        def on_invalid(row: csv.InvalidRow) -> str:
-            if row.actual_columns > row.expected_columns:
-                return "error"
+        passed = {"whole": 0, "short": 0}
+        try:
+            with archive.open(members[0]) as member:
+                yield from _parsed(member, header, BLOCK_BYTES, passed)
+        except pa.ArrowInvalid:
+            with archive.open(members[0]) as member:
+                yield from _parsed(member, header, LONG_ROW_BYTES, passed)
+
+
+def _parsed(
+    member: BinaryIO, header: list[str], block_bytes: int, passed: dict[str, int]
+) -> Iterator[pa.RecordBatch]:
+    """The rows of a report file but for the first ``passed`` ones, which counts on."""
+    skip, short = dict(passed), []
+
+    def on_invalid(row: csv.InvalidRow) -> str:
+        if row.actual_columns > row.expected_columns:
+            return "error"
+        if skip["short"]:
+            skip["short"] -= 1
+        else:
             short.append(row.text)
-            return "skip"
-
-        with archive.open(members[0]) as member:
-            batches = csv.open_csv(
-                member,
-                csv.ReadOptions(
-                    use_threads=False, block_size=BLOCK_BYTES, encoding=REPORT_CHARSET
-                ),
-                csv.ParseOptions(
-                    delimiter=REPORT_SEPARATOR,
-                    newlines_in_values=True,
-                    invalid_row_handler=on_invalid,
-                ),
-                csv.ConvertOptions(
-                    include_columns=RAW_COLUMNS,
-                    column_types={name: pa.string() for name in RAW_COLUMNS},
-                    strings_can_be_null=True,
-                    null_values=MISSING_CELLS,
-                ),
-            )
-            for batch in batches:
-                yield batch
-                if short:
-                    yield _filled(short, header)
-                    short.clear()
-            if short:
-                yield _filled(short, header)
+        return "skip"
+
+    def filled() -> Iterator[pa.RecordBatch]:
+        if short:
+            passed["short"] += len(short)
+            yield _filled(short, header)
+            short.clear()
+
+    batches = csv.open_csv(
+        member,
+        csv.ReadOptions(use_threads=False, block_size=block_bytes, encoding=REPORT_CHARSET),
+        csv.ParseOptions(
+            delimiter=REPORT_SEPARATOR,
+            newlines_in_values=True,
+            invalid_row_handler=on_invalid,
+        ),
+        csv.ConvertOptions(
+            include_columns=RAW_COLUMNS,
+            column_types={name: pa.string() for name in RAW_COLUMNS},
+            strings_can_be_null=True,
+            null_values=MISSING_CELLS,
+        ),
+    )
+    for batch in batches:
+        known = min(skip["whole"], batch.num_rows)
+        skip["whole"] -= known
+        passed["whole"] += batch.num_rows - known
+        yield batch.slice(known)
+        yield from filled()
+    yield from filled()
 
 
 def _cells(line: str) -> list[str]:

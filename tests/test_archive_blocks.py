@@ -1,0 +1,35 @@
+"""What a task holds of an archive, and rows that are longer than a block."""
+
+import io
+
+from navloom.sources import archives
+
+from tests.conftest import HEADER, archive
+
+
+def _row(number: int, kind: str = "KIND") -> str:
+    return f"{kind};{number};;2026-04-07;734.25;4.5;701;12;0.5;17"
+
+
+def _read(text: str):
+    return list(archives._batches(io.BytesIO(archive(text))))
+
+
+def test_batches_stay_small():
+    rows = [_row(n) for n in range(100_000)]
+    found = _read("\n".join([HEADER, *rows]) + "\n")
+    assert sum(batch.num_rows for batch in found) == len(rows)
+    # A block of text, with the offsets of its cells.
+    assert max(batch.nbytes for batch in found) < 3 << 20
+
+
+def test_a_row_longer_than_a_block_is_read_and_none_twice():
+    short = ["KIND;s1;;2026-04-07", "KIND;s2;;2026-04-08", "KIND;s3"]
+    rows = [_row(n) for n in range(40_000)]
+    long = _row(-1, "K" * (2 << 20))
+    text = "\n".join([HEADER, short[0], *rows[:30_000], short[1], long, *rows[30_000:], short[2]]) + "\n"
+    found = _read(text)
+    ids = [cell for batch in found for cell in batch.column("CNPJ_FUNDO_CLASSE").to_pylist()]
+    assert sorted(ids) == sorted(["s1", "s2", "s3", "-1", *[str(n) for n in range(40_000)]])
+    kinds = {len(cell) for batch in found for cell in batch.column("TP_FUNDO_CLASSE").to_pylist()}
+    assert kinds == {4, 2 << 20}
