@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +53,7 @@ def _coerced(name: str, kind: str) -> Column:
     parsed = F.col(f"{name}_parsed")
     # Spark also reads the Java forms "1.5d" and "1.5f"; report files know no such thing.
     # "inf" ends alike, and is a number.
-    end = F.rtrim(text)
-    java_form = reduce(Column.__or__, [end.endswith(letter) for letter in "dfDF"])
+    java_form = F.substring(F.rtrim(text), -1, 1).isin(*"dfDF")
     number = F.when(~F.isnan(parsed) & (~java_form | F.isnan(parsed * 0)), parsed)
     return F.rint(number).try_cast("bigint") if kind == "bigint" else number
 

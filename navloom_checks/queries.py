@@ -409,7 +409,7 @@ def archive_status(spark: SparkSession, folder: str) -> DataFrame:
 def archive_replaced(spark: SparkSession, folder: str) -> DataFrame:
     """Two archives of each month; the lake has the rows of the newer one."""
     source, root = new_folder(spark, "archives"), new_folder(spark, "lake")
-    reports_ = labelled(spark, folder)
+    reports_ = store(labelled(spark, folder), new_folder(spark, "labelled"))
     pack_archives(reports_.filter("NR_COTST > 1"), f"{source}/z-first")
     pack_archives(reports_, f"{source}/a-second")
     ingest_archives(spark, source, root)
@@ -483,6 +483,7 @@ def missing_cells(spark: SparkSession, folder: str) -> DataFrame:
         "ID_SUBCLASSE",
         F.coalesce("ID_SUBCLASSE", F.when(F.col("CNPJ_FUNDO_CLASSE") % 2 == 0, "NA").otherwise("n/a")),
     )
+    marked = store(marked, new_folder(spark, "marked"))
     path, source, root = (new_folder(spark, n) for n in ("delimited", "archives", "lake"))
     (
         marked.select(*RAW_COLUMNS)
@@ -660,7 +661,9 @@ def _pack(batches: Iterable[pa.RecordBatch], folder: str, broken: int | None) ->
             if new:
                 close()
                 month, period = label, label.replace("-", "")
-                archive = zipfile.ZipFile(f"{folder}/reports_{period}.zip", "w", zipfile.ZIP_DEFLATED)
+                archive = zipfile.ZipFile(
+                    f"{folder}/reports_{period}.zip", "w", zipfile.ZIP_DEFLATED, compresslevel=1
+                )
                 member = archive.open(f"reports_{period}.csv", "w")
             text = io.BytesIO()
             csv.write_csv(
