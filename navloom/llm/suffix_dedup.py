@@ -394,7 +394,8 @@ def remove_repeats(
     # An anchor comes about every thirty bytes of text.
     buckets = max(parts, total // BUCKET_BYTES + 1)
     met = stored(_met(_bucketed(table.select("doc", "text"), buckets), buckets), "suffix-met")
-    contexts = _contexts(table, met.where("anchor is not null"))
+    # Stored, as they are read twice: without, whole texts move twice for them.
+    contexts = stored(_contexts(table, met.where("anchor is not null")), "suffix-compared")
     at = met.where("anchor is null")
     begin = F.greatest(F.lit(0), F.col("place") - REACH)
     whole = at.select("doc", begin.alias("start"), (F.col("place") + LENGTH).cast("int").alias("stop"))
