@@ -42,8 +42,12 @@ def suffix_array(symbols: list[int]) -> list[int]:
             while j >= 0 and group[j] >= start:
                 j = before[j]
             before[i] = j
-            if j >= 0:
+            # One that is alone in its group stays.
+            if j >= 0 and size[group[j]] > 1:
                 pointed[j] += 1
+        end = start
+        if not pointed:
+            continue
         moved: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for j, times in pointed.items():
             moved[times][group[j]].append(j)
@@ -64,7 +68,6 @@ def suffix_array(symbols: list[int]) -> list[int]:
                 for j in members:
                     group[j] = new
                 size[new] = len(members)
-        end = start
     out, done, free = [n - 1] + [0] * (n - 1), [False] * n, {}
     done[n - 1] = True
     for i in range(n):

@@ -7,8 +7,9 @@ the map tasks find the anchors of every text, with a digest of the bytes that wi
 around the anchor can reach (its context), and rows with equal anchors meet. Of equal
 contexts all but the first are repeats as a whole. Where an anchor has several contexts,
 the first row of each is compared: what a context shares with no other is cut off its ends,
-the suffixes of those that still differ are sorted by grouping (see ``suffix_array``), equal
-windows are neighbours in the array, and all but the first go.
+those that still differ become sequences of blocks of bytes, cut where some of them part,
+their suffixes are sorted by grouping (see ``suffix_array``), equal windows are neighbours in
+the array, and all but the first go.
 
 An anchor whose contexts are too many for a task is not compared as a whole: the windows
 around it are cut in two halves by where they start, those of a half share a longer core,
@@ -23,11 +24,13 @@ named ones are not carried along; tables without rows give empty results.
 
 from __future__ import annotations
 
-import hashlib
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -179,88 +182,133 @@ def _contexts(docs: DataFrame, first: DataFrame) -> DataFrame:
     return found.select("doc", "at", F.lit(-REACH).alias("low"), F.lit(0).alias("high"), "core", "context")
 
 
-def repeats(contexts: list[bytes], starts: list[int], order: list[int]) -> list[tuple[int, int]]:
-    """Windows of contexts that are not the first of their kind: context, place in the text.
+def repeats(
+    sides: list[tuple[bytes, bytes]], rows: list[tuple[int, int]], size: int
+) -> list[tuple[int, int, int]]:
+    """``doc, start, stop``: what of each context is in windows that are not the first of their kind.
 
-    ``starts`` are the places of the contexts, ``order`` the ranks of their rows.
+    ``sides`` are the bytes before the core, read backwards, and after it; ``rows`` the row of
+    each context and the place of its core, which has ``size`` bytes. Contexts differ, and so
+    do the rows and places.
+
+    Each context is a sequence of symbols: the core is one, and so is every block of bytes
+    between two distances from the core at which some contexts part or end. Windows that end
+    inside a block are equal just if they are with the whole of it, so one comparison of blocks
+    does for all windows that begin and end in the same two.
     """
-    symbols: list[int] = []
-    of, place = [], []
-    for number, context in enumerate(contexts):
-        symbols.extend(b + len(contexts) for b in context)
-        # Separators differ, so no equal stretch goes over one.
+    free, n = LENGTH - size, len(sides)
+    cuts = [_partings([side[k] for side in sides]) for k in (0, 1)]
+    # Symbols fall along a context, so its suffixes are their own Lyndon words from the start
+    # and no group has to be parted. Separators are least, and differ: no stretch goes over one.
+    core = len(cuts[1]) * n
+    numbers = [
+        [({}, core + (t + 1) * n if k == 0 else core - (t + 1) * n, a, b) for t, (a, b) in enumerate(zip(c, c[1:]))]
+        for k, c in enumerate(cuts)
+    ]
+    symbols, of, block, after = [], [], [], []
+    for number, side in enumerate(sides):
+        left, right = (
+            [
+                base + known.setdefault(bytes_[a:b], len(known))
+                for known, base, a, b in numbers[k][: bisect_left(cuts[k], len(bytes_))]
+            ]
+            for k, bytes_ in enumerate(side)
+        )
+        left.reverse()
+        symbols += left
+        symbols.append(core)
+        symbols += right
         symbols.append(number)
-        of.extend([number] * (len(context) + 1))
-        place.extend(range(len(context) + 1))
-    found, run, last = [], [], None
-
-    def close() -> None:
-        # Contexts of one row may overlap and show the same window twice.
-        first = min(run, default=None)
-        found.extend((number, at) for rank, at, number in run if (rank, at) != first[:2])
+        of += [number] * (len(left) + len(right) + 2)
+        block += range(len(left), -len(right) - 2, -1)
+        after.append(len(right))
+    # By the first block of a window, how far before the core it starts: per last block, from and to.
+    windows: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
+    for before in range(free + 1):
+        first, last = bisect_left(cuts[0], before), bisect_left(cuts[1], free - before)
+        windows[first][last] = windows[first].get(last, (before, before))[0], before
+    stretch: dict[int, tuple[int, int]] = {}
+    runs: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+
+    def close(first: int, last: int, run: list[int]) -> None:
+        low, high = windows[first][last]
+        least = min(run, key=rows.__getitem__)
+        for number in run:
+            if number != least:
+                a, b = stretch.get(number, (low, high))
+                stretch[number] = min(a, low), max(b, high)
 
     for at in suffix_array(symbols):
-        number, inside = of[at], place[at]
-        if inside + LENGTH > len(contexts[number]):
+        first, number = block[at], of[at]
+        if first < 0:
             continue
-        window = contexts[number][inside : inside + LENGTH]
-        if window != last:
-            close()
-            run, last = [], window
-        run.append((order[number], starts[number] + inside, number))
-    close()
-    return found
-
-
-def shared_ends(contexts: list[bytes], shifts: list[int], size: int) -> list[tuple[int, int]]:
-    """How much of each context is shared with another, around the core at ``shifts``.
-
-    A window that two contexts share ends where both do, so what none shares can go before
-    suffixes are sorted. The longest shared stretch is one with a neighbour in order.
-    """
-    left = _longest([c[:a][::-1] for c, a in zip(contexts, shifts)])
-    right = _longest([c[a + size :] for c, a in zip(contexts, shifts)])
-    return [(a - l, a + size + r) for a, l, r in zip(shifts, left, right)]
+        for last in windows[first]:
+            if last > after[number]:
+                continue
+            window = symbols[at : at + first + 1 + last]
+            seen, run = runs.get((first, last), (None, None))
+            if window == seen:
+                run.append(number)
+                continue
+            if seen:
+                close(first, last, run)
+            runs[first, last] = window, [number]
+    for (first, last), (_, run) in runs.items():
+        close(first, last, run)
+    # All windows hold the core, so those of a context cover one stretch.
+    return [
+        (rows[n][0], rows[n][1] - high, rows[n][1] - low + LENGTH) for n, (low, high) in stretch.items()
+    ]
+
+
+def _neighbours(texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """Each two neighbours in the order of the texts, and how much their starts have in common."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    for i, j in zip(order, order[1:]):
+        n = min(len(texts[i]), len(texts[j]))
+        differ = int.from_bytes(texts[i][:n], "big") ^ int.from_bytes(texts[j][:n], "big")
+        yield i, j, n - (differ.bit_length() + 7) // 8
 
 
 def _longest(texts: list[bytes]) -> list[int]:
     """The longest start each text has in common with another."""
     best = [0] * len(texts)
-    order = sorted(range(len(texts)), key=texts.__getitem__)
-    for i, j in zip(order, order[1:]):
-        n = min(len(texts[i]), len(texts[j]))
-        differ = int.from_bytes(texts[i][:n], "big") ^ int.from_bytes(texts[j][:n], "big")
-        same = n - (differ.bit_length() + 7) // 8
+    for i, j, same in _neighbours(texts):
         best[i], best[j] = max(best[i], same), max(best[j], same)
     return best
 
 
+def _partings(texts: list[bytes]) -> list[int]:
+    """Where any two texts part, or one ends, from 0 on: neighbours show the places of all."""
+    return sorted({0, *map(len, texts), *(same for _, _, same in _neighbours(texts))})
+
+
 def _compare(groups: DataFrame) -> DataFrame:
     """``doc, start, stop``: stretches of bytes that the groups of contexts show to repeat."""
 
-    def sort(held: list[dict]) -> list[tuple[int, int, int]]:
-        size = len(held[0]["core"])
-        ends = shared_ends([r["context"] for r in held], [r["shift"] for r in held], size)
-        first: dict[bytes, tuple[int, int]] = {}
+    def sort(held: list[tuple]) -> list[tuple[int, int, int]]:
+        size = len(held[0][0])
+        lefts = [context[:shift][::-1] for _, _, _, context, shift, _, _ in held]
+        rights = [context[shift + size :] for _, _, _, context, shift, _, _ in held]
+        first: dict[tuple[bytes, bytes], tuple[int, int]] = {}
         rows = []
-        for r, (a, b) in zip(held, ends):
-            if b - a >= LENGTH:
-                context, row = r["context"][a:b], (r["doc"], r["begin"] + a)
-                rows.append((context, row))
-                first[context] = min(first.get(context, row), row)
-        spans = [(*row, row[1] + len(c)) for c, row in rows if row > first[c]]
+        # A window that two contexts share ends where both do: what none shares can go.
+        for r, left, right, a, b in zip(held, lefts, rights, _longest(lefts), _longest(rights)):
+            if a + size + b >= LENGTH:
+                sides, row = (left[:a], right[:b]), (r[5], r[6] + r[4])
+                rows.append((sides, row))
+                first[sides] = min(first.get(sides, row), row)
+        spans = [(doc, at - len(s[0]), at + size + len(s[1])) for s, (doc, at) in rows if (doc, at) > first[s]]
         if len(first) > 1:
-            contexts, rows = list(first), list(first.values())
-            found = repeats(contexts, [at for _, at in rows], [doc for doc, _ in rows])
-            spans += [(rows[number][0], at, at + LENGTH) for number, at in found]
+            spans += repeats(list(first), list(first.values()), size)
         return spans
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held: list[tuple] = []
         out: list[tuple[int, int, int]] = []
         for batch in batches:
-            for r in batch.to_pylist():
-                if held and (r["core"], r["low"], r["high"]) != (held[0]["core"], held[0]["low"], held[0]["high"]):
+            for r in zip(*[batch.column(name).to_pylist() for name in (*key, "context", "shift", "doc", "begin")]):
+                if held and r[:3] != held[0][:3]:
                     out += sort(held)
                     held = []
                 held.append(r)
@@ -332,32 +380,48 @@ def _compared(contexts: DataFrame, members: int) -> DataFrame:
         level = stored(_halves(large), "suffix-halves")
 
 
+def merged_spans(gone: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and stop of the stretches that the spans of each row cover, in order.
+
+    Spans that overlap or touch are one stretch; none goes beyond the ``sizes`` of the texts.
+    """
+    counts = pc.fill_null(pc.list_value_length(gone), 0).to_numpy(zero_copy_only=False)
+    start, stop = (a.to_numpy(zero_copy_only=False).astype(np.int64) for a in gone.flatten().flatten())
+    of = np.repeat(np.arange(len(sizes)), counts)
+    # Texts one after the other, each with more room than any text has bytes.
+    base = of << 32
+    start, stop = base + start, base + np.minimum(stop, sizes[of])
+    order = np.argsort(start)
+    start, reached = start[order], np.maximum.accumulate(stop[order])
+    new = np.concatenate([[True], start[1:] > reached[:-1]])[: len(start)]
+    last = np.concatenate([new[1:], [True]])[: len(start)]
+    base = base[new]
+    return of[new], start[new] - base, reached[last] - base
+
+
 def _cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept`` from the stretches to remove."""
     gone = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            sizes, removed, runs, kept = [], [], [], []
-            for text, gone in zip(raw_texts(part.column("text")), part.column("gone").to_pylist()):
-                n, left, last, merged = len(text), [], 0, []
-                for start, stop in sorted((g["start"], min(g["stop"], n)) for g in gone or ()):
-                    if merged and start <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], stop)
-                    else:
-                        merged.append([start, stop])
-                for start, stop in merged:
-                    left.append(text[last:start])
-                    last = stop
-                left.append(text[last:])
-                sizes.append(n)
-                removed.append(sum(b - a for a, b in merged))
-                runs.append([{"start": a, "stop": b} for a, b in merged])
-                kept.append(b"".join(left))
-            spans_ = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+            texts = raw_texts(part.column("text"))
+            sizes = np.array([len(text) for text in texts], np.int64)
+            of, starts, stops = merged_spans(part.column("gone"), sizes)
+            removed = np.zeros(len(texts), np.int64)
+            np.add.at(removed, of, stops - starts)
+            ends = np.searchsorted(of, np.arange(len(texts) + 1))
+            kept = []
+            bounds, starts_, stops_ = ends.tolist(), starts.tolist(), stops.tolist()
+            for text, a, b in zip(texts, bounds, bounds[1:]):
+                left = zip([0, *stops_[a:b]], [*starts_[a:b], len(text)])
+                kept.append(b"".join([text[i:j] for i, j in left]) if a < b else text)
+            spans = pa.StructArray.from_arrays(
+                [pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], ["start", "stop"]
+            )
+            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(runs, spans_), pa.array(kept, pa.binary())],
+                [part.column("doc_id"), pa.array(sizes), pa.array(removed), runs, pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "spans", "kept"],
             )
 
