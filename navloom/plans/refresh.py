@@ -3,21 +3,23 @@
 A changed month of reports changes the rollup of that month, the returns of that month, and
 those of the month in which each of its series reports next, since that one's opening quote
 moved. The raw reports of no other month are read. From the rollup, which has one row per series
-and month, three columns tell the openings; facts and rankings of other months are neither read
-nor written. All tables of a version are published together, by one manifest of their versions.
+and month, the keys of later months tell where series open anew, and four columns of earlier
+ones the openings; facts and rankings of other months are neither read nor written. All tables
+of a version are published together, by one manifest of their versions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from navloom.operators.marts import dimension_of_rollup, monthly_fact, top_by_month
-from navloom.operators.returns import BLOCK, month_rollup, returns_of_openings, with_openings
+from navloom.operators.returns import BLOCK, SERIES, month_rollup, returns_of_openings, with_openings
 from navloom.plans.warehouse import Ranking, schemas
 from navloom.sources.snapshots import MonthTable
 
@@ -35,13 +37,17 @@ class VersionedMarts:
     ranking: Ranking = field(default_factory=Ranking)
 
     def table(self, name: str) -> MonthTable:
-        schema = schemas(self.spark)[name]
+        schema = self._schemas[name]
         by = "month"
         if name == "dimension":
             schema, by = StructType([*schema.fields]).add(WHOLE, "string"), WHOLE
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         return MonthTable(self.spark, f"{self.root}/{name}", ddl, by)
 
+    @cached_property
+    def _schemas(self) -> dict[str, StructType]:
+        return schemas(self.spark)
+
     def versions(self) -> dict[str, int]:
         """The version of each table that the newest marts are made of; empty before the first."""
         return {name: int(version) for name, version in self._published().manifest().items()}
@@ -70,18 +76,29 @@ class VersionedMarts:
         rollup = self.table("rollup")
         changed = month_rollup(staged).filter(F.col("month").cast("string").isin(months))
         version = rollup.replace(changed, months, base=known["rollup"], alone=False)
-        # Where a series opens anew: its month after a changed one, before or after the change.
-        following = [self._following(version_, months) for version_ in (known["rollup"], version)]
         # Months, of which there are never many.
-        found = following[0].unionByName(following[1]).distinct().collect()
+        found = self._following((known["rollup"], version), months).collect()
         self._follow(base, version, sorted({*months, *[str(row.month) for row in found]}))
 
-    def _openings(self, version: int) -> DataFrame:
-        return with_openings(self.table("rollup").read(version=version).select(*BLOCK, "unit_value"))
+    def _openings(self, version: int, months: list[str]) -> DataFrame:
+        """The openings of ``months``, for which no later month is read."""
+        until = self.table("rollup").read(version=version).filter(F.col("month") <= F.array_max(_days(months)))
+        opened = with_openings(until.select(*BLOCK, "unit_value"))
+        return opened.filter(F.col("month").cast("string").isin(months))
+
+    def _following(self, versions: tuple[int, int], months: list[str]) -> DataFrame:
+        """Where a series opens anew: its month after a changed one, before or after the change.
 
-    def _following(self, version: int, months: list[str]) -> DataFrame:
-        opened = self._openings(version).filter(F.col("previous_month").cast("string").isin(months))
-        return opened.select("month").distinct()
+        The versions differ in the changed months only. With the series of both in them, the
+        row before one of another month is a changed one just if it is so in some version, and
+        no month before the first changed one has to be read.
+        """
+        (before, after), rollup = versions, self.table("rollup")
+        since = rollup.read(version=after).filter(F.col("month") >= F.array_min(_days(months)))
+        reported = since.select(*BLOCK).unionByName(rollup.read(months, before).select(*BLOCK))
+        in_series = Window.partitionBy(*SERIES).orderBy("month")
+        opened = reported.withColumn("previous_month", F.lag("month").over(in_series))
+        return opened.filter(F.col("previous_month").cast("string").isin(months)).select("month").distinct()
 
     def _follow(self, base: int, rollup_version: int, months: list[str] | None) -> None:
         """Dimension, and facts and rankings of ``months`` (all), from a rollup; then publish."""
@@ -97,8 +114,7 @@ class VersionedMarts:
             framed, gone = with_openings(rollup), list(fact.manifest(known.get("fact", 0)))
         else:
             here = self.table("rollup").read(months, rollup_version)
-            opened = self._openings(rollup_version).drop("unit_value")
-            opened = opened.filter(F.col("month").cast("string").isin(months))
+            opened = self._openings(rollup_version, months).drop("unit_value")
             framed, gone = here.join(opened, BLOCK), months
         facts = monthly_fact(returns_of_openings(framed), keys)
         versions["fact"] = fact.replace(facts, gone, known.get("fact", 0), alone=False)
@@ -112,3 +128,8 @@ class VersionedMarts:
     def _published(self) -> MonthTable:
         """The manifest of table versions: its entries are tables, not months."""
         return MonthTable(self.spark, f"{self.root}/published", "", "name")
+
+
+def _days(months: list[str]) -> Column:
+    """The days that the texts name; null for others, and where there are none."""
+    return F.array(F.lit(None).cast("date"), *[F.lit(month).try_cast("date") for month in months])
