@@ -3,9 +3,10 @@
 Texts of one language are brought together in segments, stored as numbered words. Over the
 hashes of a segment's words numpy takes prefix sums of a polynomial in an odd base, modulo
 2**64; the fingerprint of any run of words is the difference of two of them, divided by a power of
-the base. A segment sends each different fingerprint once, with its count and a pointer to
-an occurrence; a shuffle brings equal ones together and adds the counts up. Frequent ones go
-back to the segments that sent them, which show the words behind each pointer. Phrases are
+the base. A segment sends each different fingerprint once, with its count; those of a range
+(a bucket) move as one row of packed numbers. A shuffle brings the rows of a bucket together
+and numpy adds the counts up. Frequent ones go back to the segments that sent them, which find
+their runs again and show the words behind them, some at a time. Phrases are
 counted by these words, so different phrases under one fingerprint are told apart, and text
 is made for frequent ones only. In a segment equal fingerprints are compared by their words
 before they are counted together.
@@ -23,17 +24,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from navloom.llm.common import picked, stored, text_slices
-from navloom.llm.words import kinds, split_words
+from navloom.llm.words import Words, kinds, split_words
 
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Bytes of texts in a segment: larger ones send fewer fingerprints and take more memory.
@@ -42,18 +44,32 @@ SEGMENT_BYTES = 12_000_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-SEGMENT = "segment bigint, lang string, vocabulary array<binary>, codes binary, first binary"
-PART = "segment bigint, print bigint, count int, place int"
+#: A segment is several rows: at place ``at`` a part of its vocabulary, with the words' counts, and
+#: one of its words as codes, with a bit for each that begins a piece of text.
+SEGMENT = (
+    "segment bigint, lang string, at int, words bigint, different bigint, "
+    "vocabulary binary, counts binary, codes binary, first binary"
+)
+#: Words of a row. Parquet, Arrow and shuffles have buffers of about a row or a few, outside the heap.
+ROW_WORDS = 100_000
+#: Fingerprints of a segment and a bucket, ascending, and how often each occurs: a row for many of them.
+PART = "bucket bigint, segment bigint, prints binary, counts binary"
+FREQUENT = "segment bigint, size bigint, prints binary"
 PHRASE = "lang string, n int, phrase string, count bigint"
-PART_ARROW = pa.schema({"segment": pa.int64(), "print": pa.int64(), "count": pa.int32(), "place": pa.int32()})
-#: Phrases of a segment move as lists, one per bucket of fingerprints.
-PACKED = "bucket bigint, lang string, n array<int>, phrase array<string>, count array<bigint>"
-PACKED_ARROW = pa.schema({
-    "bucket": pa.int64(), "lang": pa.string(), "n": pa.list_(pa.int32()),
-    "phrase": pa.list_(pa.string()), "count": pa.list_(pa.int64()),
-})
-#: Phrases that a bucket holds on average.
-BUCKET = 200_000
+#: Phrases of a segment and a bucket, parted by line ends, which no word holds.
+SHOWN = "bucket bigint, lang string, n int, phrases string, counts binary"
+#: Fingerprints, or phrases, of all segments that a bucket holds on average.
+BUCKET = 500_000
+#: Phrases of a segment that are written out at once.
+AT_ONCE = 100_000
+#: Bytes of a batch that a worker returns, about.
+BATCH_BYTES = 2_000_000
+#: Rows are large: Parquet is to look at its sizes after each of them, not after a hundred.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1",
+    "parquet.block.size": "8000000",
+}
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -74,24 +90,39 @@ def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple
         yield lang, pa.concat_batches(parts)
 
 
+def _rows(segment: int, lang: str, words: Words) -> Iterator[pa.RecordBatch]:
+    rows = -(-len(words.code) // ROW_WORDS)
+    new = np.diff(words.piece, prepend=-1) != 0
+    counts = np.bincount(words.code, minlength=len(words.vocabulary)).astype(np.int32)
+    cuts = lambda size: [size * row // rows for row in range(rows + 1)]
+    own, part = cuts(len(words.code)), cuts(len(words.vocabulary))
+    for row in range(rows):
+        text, code = slice(part[row], part[row + 1]), slice(own[row], own[row + 1])
+        yield pa.RecordBatch.from_pydict({
+            "segment": pa.array([segment]),
+            "lang": pa.array([lang]),
+            "at": pa.array([row], pa.int32()),
+            "words": pa.array([code.stop - code.start]),
+            "different": pa.array([text.stop - text.start]),
+            # No word holds a space.
+            "vocabulary": pa.array([b" ".join(words.vocabulary[text].to_pylist())], pa.binary()),
+            "counts": pa.array([counts[text].tobytes()]),
+            "codes": pa.array([words.code[code].astype(np.int32).tobytes()]),
+            "first": pa.array([np.packbits(new[code]).tobytes()]),
+        })
+
+
 def _segments(docs: DataFrame, text_col: str, lang_col: str, size: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, (lang, part) in enumerate(_by_language(batches, size)):
             words = split_words(part.column("text"), KINDS)
             if len(words.code):
-                new = np.diff(words.piece, prepend=-1) != 0
-                yield pa.RecordBatch.from_pydict({
-                    "segment": pa.array([(task << 32) + number]),
-                    "lang": pa.array([lang]),
-                    "vocabulary": pa.array([words.vocabulary.cast(pa.binary()).to_pylist()], pa.list_(pa.binary())),
-                    "codes": pa.array([words.code.astype(np.int32).tobytes()]),
-                    "first": pa.array([np.packbits(new).tobytes()]),
-                })
+                yield from _rows((task << 32) + number, lang, words)
 
     chosen = picked(docs, text=text_col, lang=lang_col)
     chosen = chosen.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return stored(chosen.mapInArrow(work, SEGMENT), "word-segments")
+    return stored(chosen.mapInArrow(work, SEGMENT), "word-segments", options=LARGE_ROWS)
 
 
 def fingerprints(hashes: np.ndarray, n: int, bits: int = 64) -> np.ndarray:
@@ -113,10 +144,11 @@ def counted(
 
     Runs of equal fingerprints but other words are kept apart.
     """
-    order = np.argsort(prints, kind="stable")
+    order = np.argsort(prints)
     new = np.diff(prints[order], prepend=~prints[order[:1]]) != 0
     begin = np.flatnonzero(new)
-    leader = places[order[begin]][np.cumsum(new) - 1]
+    first = np.minimum.reduceat(places[order], begin)
+    leader = first[np.cumsum(new) - 1]
     if any((codes[places[order] + k] != codes[leader + k]).any() for k in range(n)):
         words = [codes[places + k] for k in range(n)]
         order = np.lexsort((places, *words, prints))
@@ -124,83 +156,180 @@ def counted(
         for column in words:
             new[1:] |= column[order][1:] != column[order][:-1]
         begin = np.flatnonzero(new)
-    return prints[order[begin]], np.diff(np.append(begin, len(order))), places[order[begin]]
+        first = places[order[begin]]
+    return prints[order[begin]], np.diff(np.append(begin, len(order))), first
+
+
+def _among(prints: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which fingerprints are among the known ones."""
+    return pc.is_in(pa.array(prints), pa.array(known)).to_numpy(zero_copy_only=False)
+
+
+def bucket_of(prints: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    """Buckets are ranges, so ascending fingerprints have ascending buckets."""
+    high = prints >> np.uint64(max(0, bits - 32))
+    return (high * np.uint64(buckets) >> np.uint64(min(bits, 32))).astype(np.int64)
+
+
+def _binaries(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Stretches of the values, one after the other, as bytes."""
+    ends = np.append(0, np.cumsum(sizes) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of such a column, and how many each row has."""
+    column = column.cast(pa.binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    found = np.frombuffer(data[ends[0] : ends[-1]] if data else b"", kind)
+    return found, np.diff(ends) // found.itemsize
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _of_language(lang: str, bits: int) -> np.uint64:
+    return np.uint64(xxh64_intdigest(lang) & ((1 << bits) - 1))
+
+
+def _sent(segment: int, prints: np.ndarray, counts: np.ndarray, buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Ascending fingerprints with their counts, a row per bucket, or two where a slice ends."""
+    for start in range(0, len(prints), 10 * AT_ONCE):
+        own = slice(start, start + 10 * AT_ONCE)
+        bucket = bucket_of(prints[own], buckets, bits)
+        begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+        sizes = np.diff(np.append(begin, len(bucket)))
+        yield from _in_batches(pa.RecordBatch.from_pydict({
+            "bucket": pa.array(bucket[begin]),
+            "segment": pa.array(np.full(len(begin), segment, np.int64)),
+            "prints": _binaries(prints[own], sizes),
+            "counts": _binaries(counts[own].astype(np.int32), sizes),
+        }))
+
+
+def _in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    step = max(1, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
 
 
 class Segment:
     """The words of a stored segment."""
 
-    def __init__(self, row: pa.Table, bits: int):
-        self.key = row.column("segment")[0].as_py()
-        self.lang = row.column("lang")[0].as_py()
-        self.vocabulary = row.column("vocabulary")[0].values
-        self.codes = np.frombuffer(row.column("codes")[0].as_py(), np.int32)
-        new = np.unpackbits(np.frombuffer(row.column("first")[0].as_py(), np.uint8), count=len(self.codes))
-        self.piece, self.bits = np.cumsum(new, dtype=np.int32), bits
+    def __init__(self, rows: pa.Table, bits: int):
+        rows = rows.sort_by("at").to_pydict()
+        self.key, self.lang, self.bits = rows["segment"][0], rows["lang"][0], bits
+        words = [word for part in rows["vocabulary"] for word in part.split()]
+        self.vocabulary = pa.array(words, pa.binary())
+        self.hashes = _hashes(words)
+        self.codes = np.frombuffer(b"".join(rows["codes"]), np.int32)
+        new = [np.unpackbits(np.frombuffer(f, np.uint8), count=len(c) // 4) for f, c in zip(rows["first"], rows["codes"])]
+        self.piece = np.cumsum(np.concatenate(new), dtype=np.int32)
 
     def prints(self, n: int) -> np.ndarray:
         """Fingerprints of all runs of ``n`` words, other ones in each language."""
-        hashes = np.fromiter(map(xxh64_intdigest, self.vocabulary.to_pylist()), np.uint64, len(self.vocabulary))
-        own = np.uint64(xxh64_intdigest(self.lang) & ((1 << self.bits) - 1))
-        return fingerprints(hashes[self.codes], n, self.bits) ^ own
+        return fingerprints(self.hashes[self.codes], n, self.bits) ^ _of_language(self.lang, self.bits)
 
-    def parts(self, n: int, known: np.ndarray | None) -> pa.Table:
-        """Runs of ``n`` words; ``known`` are the frequent fingerprints of one word less."""
+    def _counted(self, n: int, chosen: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different runs of ``n`` words among the chosen ones, by their fingerprints."""
         prints = self.prints(n)
-        size = len(prints)
-        open_ = self.piece[:size] == self.piece[len(self.codes) - size :]
-        if known is not None:
-            frequent = np.isin(self.prints(n - 1), known)
-            open_ &= frequent[:size] & frequent[1 : size + 1]
-        places = np.flatnonzero(open_)
-        found = counted(prints[places], places, self.codes, n) if len(places) else (prints[:0], places, places)
-        return pa.table({
-            "segment": pa.array(np.full(len(found[0]), self.key, np.int64)),
-            "print": pa.array(found[0].view(np.int64)),
-            "count": pa.array(found[1].astype(np.int32)),
-            "place": pa.array(found[2].astype(np.int32)),
-        })
+        open_ = self.piece[: len(prints)] == self.piece[len(self.codes) - len(prints) :]
+        places = np.flatnonzero(open_ & chosen(prints))
+        return counted(prints[places], places, self.codes, n) if len(places) else (prints[:0], places, places)
 
-    def phrases(self, frequent: pa.Table, buckets: int) -> pa.Table:
-        """The words behind the pointers of frequent fingerprints: a row per bucket of fingerprints."""
-        prints, places, lengths = (frequent.column(c).to_numpy() for c in ("print", "place", "n"))
-        bucket = (prints.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        order, found = np.lexsort((lengths, bucket)), []
-        for n in np.unique(lengths).tolist():
-            own = lengths == n
+    def parts(self, n: int, known: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+        """Runs of ``n`` words; ``known`` are the frequent fingerprints of one word less."""
+
+        def chosen(prints: np.ndarray) -> np.ndarray:
+            frequent = _among(self.prints(n - 1), known)
+            return frequent[: len(prints)] & frequent[1 : len(prints) + 1]
+
+        prints, counts, _ = self._counted(n, chosen)
+        yield from _sent(self.key, prints, counts, buckets, self.bits)
+
+    def phrases(self, n: int, known: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+        """The words behind frequent fingerprints and their counts, by buckets of fingerprints."""
+        prints, counts, places = self._counted(n, lambda prints: _among(prints, known))
+        bucket = bucket_of(prints, buckets, self.bits)
+        for start in range(0, len(prints), AT_ONCE):
+            own = slice(start, start + AT_ONCE)
+            begin = np.flatnonzero(np.diff(bucket[own], prepend=-1))
+            ends = np.append(begin, len(bucket[own]))
             words = [self.vocabulary.take(pa.array(self.codes[places[own] + k])) for k in range(n)]
             text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())) if n > 1 else words[0]
-            found.append((np.flatnonzero(own), text.cast(pa.string())))
-        at = np.argsort(np.concatenate([rows for rows, _ in found]))
-        text = pa.concat_arrays([text for _, text in found]).take(pa.array(at[order]))
-        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        ends = pa.array(np.append(first, len(order)).astype(np.int32))
-        lists = lambda values: pa.ListArray.from_arrays(ends, values)
-        return pa.table({
-            "bucket": pa.array(bucket[order][first]),
-            "lang": pa.array([self.lang] * len(first), pa.string()),
-            "n": lists(pa.array(lengths[order].astype(np.int32))),
-            "phrase": lists(text),
-            "count": lists(pa.array(frequent.column("count").to_numpy()[order].astype(np.int64))),
-        })
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), text.cast(pa.string()))
+            yield from _in_batches(pa.RecordBatch.from_pydict({
+                "bucket": pa.array(bucket[own][begin]),
+                "lang": pa.array([self.lang] * len(begin), pa.string()),
+                "n": pa.array(np.full(len(begin), n, np.int32)),
+                "phrases": pc.binary_join(lists, "\n"),
+                "counts": _binaries(counts[own].astype(np.int64), np.diff(ends)),
+            }))
+
 
+def _frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of a bucket, the fingerprints that occur often enough, for each segment that sent them."""
 
-def _merged(least: int) -> Callable[[pa.Table], pa.Table]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [
+            (b.column("segment").to_numpy(), *_values(b.column("prints"), np.uint64), _values(b.column("counts"), np.int32)[0])
+            for b in batches
+        ]
+        segment, prints, sizes, counts = map(np.concatenate, zip(*columns))
+        columns.clear()
+        order = np.argsort(prints)
+        begin = np.flatnonzero(np.diff(prints[order], prepend=~prints[order[:1]]))
+        often = np.add.reduceat(counts[order], begin, dtype=np.int64) >= least
+        kept = np.empty(len(prints), bool)
+        kept[order] = np.repeat(often, np.diff(np.append(begin, len(order))))
+        size = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        some = size > 0
+        yield from _in_batches(pa.RecordBatch.from_pydict({
+            "segment": pa.array(segment[some]),
+            "size": pa.array(size[some]),
+            "prints": _binaries(prints[kept], size[some]),
+        }))
+
+    return work
+
+
+def _merged(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of a bucket, the phrases that occur often enough, told apart by their words."""
 
-    def work(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        sizes = pc.list_value_length(group.column("n")).to_numpy()
-        flat = {c: pc.list_flatten(group.column(c)) for c in ("n", "phrase", "count")}
-        lang = group.column("lang").take(pa.array(np.repeat(np.arange(len(group)), sizes)))
-        each = pa.table({"lang": lang, **flat})
-        sums = each.group_by(["lang", "n", "phrase"]).aggregate([("count", "sum")])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = []
+        for batch in batches:
+            counts, sizes = _values(batch.column("counts"), np.int64)
+            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            phrases = pc.list_flatten(pc.split_pattern(batch.column("phrases"), "\n"))
+            tables.append(pa.table({
+                "lang": batch.column("lang").take(rows), "n": batch.column("n").take(rows),
+                "phrase": phrases, "count": pa.array(counts),
+            }))
+        sums = pa.concat_tables(tables).group_by(["lang", "n", "phrase"]).aggregate([("count", "sum")])
         sums = sums.filter(pc.greater_equal(sums.column("count_sum"), least))
-        return sums.select(["lang", "n", "phrase", "count_sum"]).rename_columns(["lang", "n", "phrase", "count"])
+        sums = sums.select(["lang", "n", "phrase", "count_sum"]).rename_columns(["lang", "n", "phrase", "count"])
+        yield from sums.to_batches()
 
     return work
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], bits: int) -> tuple[Segment, dict[int, np.ndarray]]:
+    """A segment, and by their lengths its frequent fingerprints."""
+    rows, found = [], {}
+    for batch in batches:
+        lengths = batch.column("n").to_numpy()
+        for n in np.unique(lengths).tolist():
+            own = batch.filter(pa.array(lengths == n))
+            if n:
+                found.setdefault(n, []).append(_values(own.column("prints"), np.uint64)[0])
+            else:
+                rows.append(own)
+    return Segment(pa.Table.from_batches(rows), bits), {n: np.concatenate(prints) for n, prints in found.items()}
+
+
 def frequent_phrases(
     docs: DataFrame,
     words: int = 5,
@@ -216,44 +345,58 @@ def frequent_phrases(
     Fewer ``bits`` of fingerprints cost time and cannot change the result.
     """
     segments = _segments(docs, text_col, lang_col, segment_bytes)
-    size = (F.octet_length("codes") / 4).cast("bigint")
-    totals = segments.groupBy("lang").agg(F.sum(size).alias("words"))
-    # A segment sends a fingerprint once, so one fingerprint is a row per segment at most.
-    total = F.sum("count").over(Window.partitionBy("print"))
-
-    def step(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-        def work(row: pa.Table, frequent: pa.Table) -> pa.Table:
-            known = np.unique(frequent.column("print").to_numpy()).view(np.uint64)
-            return Segment(row, bits).parts(n, known) if len(known) else PART_ARROW.empty_table()
+    totals = segments.groupBy("lang").agg(F.sum("words").alias("words"))
+    all_words, all_different = segments.agg(F.sum("words"), F.sum("different")).first()
+    if not all_words:
+        return docs.sparkSession.createDataFrame([], PHRASE), totals
+    in_buckets = lambda sent: -(-sent // BUCKET)
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words, which rows of a segment do not share; rows that come one after the other are sent together."""
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for (segment, lang), own in groupby(rows, key=lambda row: (row["segment"], row["lang"])):
+            found = [(_hashes(row["vocabulary"].split()), np.frombuffer(row["counts"], np.int32)) for row in own]
+            hashes, counts = map(np.concatenate, zip(*found))
+            prints = (hashes & np.uint64((1 << bits) - 1)) ^ _of_language(lang, bits)
+            order = np.argsort(prints)
+            yield from _sent(segment, prints[order], counts[order], in_buckets(all_different), bits)
+
+    def step(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            segment, frequent = _gathered(batches, bits)
+            if frequent:
+                yield from segment.parts(n, frequent[n - 1], in_buckets(all_words))
 
         return work
 
+    def with_prints(levels: list[DataFrame]) -> GroupedData:
+        """A segment's rows, with length 0, and the rows of its fingerprints."""
+        whole = segments.drop("words", "different", "counts").withColumns({"n": F.lit(0), "prints": F.lit(None).cast("binary")})
+        own = reduce(DataFrame.unionByName, levels).drop("size")
+        return whole.unionByName(own, allowMissingColumns=True).groupBy("segment")
+
+    words_only = segments.select("segment", "lang", "vocabulary", "counts")
     levels: list[DataFrame] = []
     for n in range(1, words + 1):
-        if not levels:
-            parts = segments.groupBy("segment").applyInArrow(lambda row: Segment(row, bits).parts(1, None), PART)
-        else:
-            both = segments.groupBy("segment").cogroup(levels[-1].groupBy("segment"))
-            parts = both.applyInArrow(step(n), PART)
-        frequent = parts.withColumn("total", total).where(F.col("total") >= least).drop("total")
-        frequent = stored(frequent.withColumn("n", F.lit(n)), "phrase-prints")
+        parts = with_prints(levels[-1:]).applyInArrow(step(n), PART) if levels else words_only.mapInArrow(single, PART)
+        # A segment sends a run once, so a bucket has no more of one fingerprint than segments send.
+        frequent = parts.groupBy("bucket").applyInArrow(_frequent(least), FREQUENT)
+        frequent = stored(frequent.withColumn("n", F.lit(n)), "phrase-prints", options=LARGE_ROWS)
         if frequent.isEmpty():
             break
         levels.append(frequent)
     if not levels:
         return docs.sparkSession.createDataFrame([], PHRASE), totals
+    sizes = reduce(DataFrame.unionByName, levels).agg(F.sum("size"))
+    buckets = in_buckets(sizes.first()[0])
 
-    def shown(row: pa.Table, frequent: pa.Table) -> pa.Table:
-        if not len(frequent):
-            return PACKED_ARROW.empty_table()
-        return Segment(row, bits).phrases(frequent.combine_chunks(), buckets)
+    def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, frequent = _gathered(batches, bits)
+        for n, known in sorted(frequent.items()):
+            yield from segment.phrases(n, known, buckets)
 
-    pointers = reduce(DataFrame.unionByName, levels)
-    # A task of the last shuffle holds about so many phrases.
-    buckets = max(1, -(-pointers.count() // BUCKET))
-    both = segments.groupBy("segment").cogroup(pointers.groupBy("segment"))
     # Counted by their words: the sum under a fingerprint may have been that of several phrases.
-    packed = both.applyInArrow(shown, PACKED)
+    packed = with_prints(levels).applyInArrow(shown, SHOWN)
     return packed.groupBy("bucket").applyInArrow(_merged(least), PHRASE), totals
 
 
