@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from navloom.llm.common import picked, stored, text_slices
+from navloom.llm.common import give_back, picked, stored, text_slices
 from navloom.llm.words import Words, kinds, split_words
 
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
@@ -269,6 +269,16 @@ class Segment:
             }))
 
 
+def _frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """Returns the memory of each group: workers live on idle while others sort and join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def _frequent(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of a bucket, the fingerprints that occur often enough, for each segment that sent them."""
 
@@ -378,9 +388,9 @@ def frequent_phrases(
     words_only = segments.select("segment", "lang", "vocabulary", "counts")
     levels: list[DataFrame] = []
     for n in range(1, words + 1):
-        parts = with_prints(levels[-1:]).applyInArrow(step(n), PART) if levels else words_only.mapInArrow(single, PART)
+        parts = with_prints(levels[-1:]).applyInArrow(_frugal(step(n)), PART) if levels else words_only.mapInArrow(_frugal(single), PART)
         # A segment sends a run once, so a bucket has no more of one fingerprint than segments send.
-        frequent = parts.groupBy("bucket").applyInArrow(_frequent(least), FREQUENT)
+        frequent = parts.groupBy("bucket").applyInArrow(_frugal(_frequent(least)), FREQUENT)
         frequent = stored(frequent.withColumn("n", F.lit(n)), "phrase-prints", options=LARGE_ROWS)
         if frequent.isEmpty():
             break
@@ -396,8 +406,8 @@ def frequent_phrases(
             yield from segment.phrases(n, known, buckets)
 
     # Counted by their words: the sum under a fingerprint may have been that of several phrases.
-    packed = with_prints(levels).applyInArrow(shown, SHOWN)
-    return packed.groupBy("bucket").applyInArrow(_merged(least), PHRASE), totals
+    packed = with_prints(levels).applyInArrow(_frugal(shown), SHOWN)
+    return packed.groupBy("bucket").applyInArrow(_frugal(_merged(least)), PHRASE), totals
 
 
 def _exact(column: str, digits: int = 17) -> Column:
